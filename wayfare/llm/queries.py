@@ -13,7 +13,8 @@ from wayfare.llm.neardup import OP5_SQL, op5_neardup
 from wayfare.llm.packing import op4_packing
 from wayfare.llm.pii import op2_pii
 from wayfare.llm.quality import op10_quality
+from wayfare.llm.substrings import op8_substrings
 from wayfare.llm.syncmers import op9_syncmers
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_licenses, op2_pii, op3_hamming, op4_packing, op5_neardup, op6_bpe, op9_syncmers, op10_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_licenses, op2_pii, op3_hamming, op4_packing, op5_neardup, op6_bpe, op8_substrings, op9_syncmers, op10_quality)}
 SQL: dict[str, str] = {"op3_hamming": OP3_SQL, "op5_neardup": OP5_SQL}
