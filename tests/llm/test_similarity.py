@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import functions as F
 
 from wayfare.llm.hamming import search
-from wayfare.llm.neardup import near_duplicates
+from wayfare.llm.neardup import near_duplicates, one_of_each
 from wayfare.llm.syncmers import anchors, fingerprints, matches
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -58,6 +58,8 @@ def test_near_duplicates(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
     twice = near_duplicates(docs.where("doc_id = 5").union(docs.where("doc_id = 5"))).collect()
     assert [(r.component_id, r.kept) for r in twice] == [(5, True)] * 2
+    stays = sorted(r.doc_id for r in one_of_each(docs.union(docs)).collect())
+    assert stays == sorted(d for d, r in plain_components(rows).items() if r[2])
 
 
 def test_fingerprints(spark):

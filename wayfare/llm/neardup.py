@@ -176,7 +176,8 @@ def proposed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: set size, the smallest doc_id it reaches by links, and whether it is that one."""
+    """Per document: set size, the smallest doc_id it reaches by links, and whether it is that one;
+    ``text_hash`` tells rows of equal id apart."""
     found = store(signatures(docs), "signatures")
     full = found.where("cls is not null")
     classes = store(full.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
@@ -205,13 +206,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             labels = rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root"))
     top = classes.join(roots, classes.cls == roots.node).groupBy("root").agg(F.min("least").alias("component"))
     member = roots.join(top, "root").select(F.col("node").alias("cls"), "component")
-    out = found.select("doc_id", "n_shingles", "cls").join(classes.select("cls", "least"), "cls", "left").join(member, "cls", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "least", "doc_id").alias("component_id"))
+    out = found.select("doc_id", "text_hash", "n_shingles", "cls").join(classes.select("cls", "least"), "cls", "left").join(member, "cls", "left")
+    out = out.select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "least", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents less all but one of each group of near-duplicates, all columns."""
+    found = near_duplicates(docs).where("kept")
+    group = F.coalesce("component_id", "text_hash")
+    stays = found.groupBy("doc_id", group.alias("g")).agg(F.min("text_hash").alias("text_hash")).select(F.col("doc_id").alias("k_doc"), F.col("text_hash").alias("k_hash")).distinct()
+    rows = docs.withColumn("k_text", F.xxhash64("text"))
+    rows = rows.join(stays, rows.doc_id.eqNullSafe(stays.k_doc) & (rows.k_text == stays.k_hash), "left_semi")
+    return rows.dropDuplicates(["doc_id", "k_text"]).select(*docs.columns)
+
+
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir)).drop("text_hash")
 
 
 OP5_SQL = r"""

@@ -119,6 +119,28 @@ def sample_features(docs: DataFrame, labels: DataFrame, sample: int) -> list[tup
     return [(np.frombuffer(r.words, "<i4"), np.frombuffer(r.shape), max(0, min(2, r.grade))) for r in sorted(got, key=lambda r: r.doc_id)]
 
 
+def tails(texts: Iterable[pa.Scalar], model: dict, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's score, and its probabilities of grade 1 or more and of grade 2."""
+    scores = []
+    for text in texts:
+        words, shape = features(text.as_py() or "", hasher)
+        scores.append(model["words"][words].sum(dtype=float) + shape @ model["shape"])
+    score = np.array(scores, float)
+    return score, 1 / (1 + np.exp(np.clip(model["cuts"][:, None] - score, -35, 35)))
+
+
+def select_good(docs: DataFrame, model: dict | None, least: float = 0.5) -> DataFrame:
+    """The documents whose P(grade >= 2) is at least ``least``, all columns; all of them without a model."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for b in batches:
+            yield b.filter(pa.array(tails(b.column(place), model, hasher)[1][1] >= least))
+
+    return docs if model is None else docs.mapInArrow(run, docs.schema)
+
+
 def grade_documents(docs: DataFrame, model: dict | None, least: float = 0.5) -> DataFrame:
     """Score, expected grade and tail probabilities of every document; kept if P(grade >= 2) >= ``least``."""
 
@@ -129,11 +151,7 @@ def grade_documents(docs: DataFrame, model: dict | None, least: float = 0.5) ->
                 none = pa.nulls(len(b), pa.float64())
                 yield pa.RecordBatch.from_arrays([b.column(0), none, none, none, none, pa.array([True] * len(b))], names)
                 continue
-            score = np.zeros(len(b))
-            for i, text in enumerate(b.column(1)):
-                words, shape = features(text.as_py() or "", hasher)
-                score[i] = model["words"][words].sum(dtype=float) + shape @ model["shape"]
-            tail = 1 / (1 + np.exp(np.clip(model["cuts"][:, None] - score, -35, 35)))
+            score, tail = tails(b.column(1), model, hasher)
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, (score, tail.sum(0), tail[0], tail[1], tail[1] >= least))], names)
 
     names = ["doc_id", "score", "expected_grade", "p_at_least_1", "p_at_least_2", "kept"]
