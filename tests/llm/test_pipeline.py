@@ -27,7 +27,8 @@ def test_stages(spark):
         seen.append(docs.collect())
     raw, good, single, cut, clean = ({r.doc_id: r.text for r in rows} for rows in seen)
     assert 0.6 * len(raw) < len(good) < len(raw) and all(raw[d] == t for d, t in good.items())
-    assert single == {d: t for d, t in good.items() if plain_components(list(good.items()))[d][2]}
+    groups = plain_components(list(good.items()))
+    assert single == {d: t for d, t in good.items() if groups[d][2]}
     kept = {d: n - gone for d, n, gone, _, _ in brute([(d, t.encode()) for d, t in single.items()])}
     assert set(cut) == set(single) and all(kept[d] - 8 <= len(t.encode()) <= kept[d] for d, t in cut.items())
     assert clean == {d: masked(t) for d, t in cut.items()}
