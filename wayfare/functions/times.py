@@ -77,4 +77,4 @@ def iso_dow(d: Column | str) -> Column:
 def time_period(hour: Column, date: Column) -> Column:
     """Part of the day; Saturdays and Sundays are one period."""
     h = lambda a, b: (hour >= a) & (hour < b)
-    return F.when(F.weekday(date) >= 5, "Weekend").when(h(4, 6), "Early Morning").when(h(6, 9), "AM Peak").when(h(9, 15), "Midday").when(h(15, 19), "PM Peak").when(h(19, 22), "Evening").otherwise("Late Night")
+    return F.when(F.weekday(date) >= 5, "Weekend").when(h(4, 7), "Early Morning").when(h(7, 9), "AM Peak").when(h(9, 16), "Midday").when(h(16, 18), "PM Peak").when(h(18, 22), "Evening").otherwise("Late Night")

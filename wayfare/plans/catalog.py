@@ -121,8 +121,8 @@ def classify(s, d):
 
 
 @query("P-5_time_period", """
-SELECT event_id, CASE WHEN isodow(ts) >= 6 THEN 'Weekend' WHEN hour(ts) BETWEEN 4 AND 5 THEN 'Early Morning' WHEN hour(ts) BETWEEN 6 AND 8 THEN 'AM Peak'
-WHEN hour(ts) BETWEEN 9 AND 14 THEN 'Midday' WHEN hour(ts) BETWEEN 15 AND 18 THEN 'PM Peak' WHEN hour(ts) BETWEEN 19 AND 21 THEN 'Evening' ELSE 'Late Night' END AS period FROM events""")
+SELECT event_id, CASE WHEN isodow(ts) >= 6 THEN 'Weekend' WHEN hour(ts) BETWEEN 4 AND 6 THEN 'Early Morning' WHEN hour(ts) BETWEEN 7 AND 8 THEN 'AM Peak'
+WHEN hour(ts) BETWEEN 9 AND 15 THEN 'Midday' WHEN hour(ts) BETWEEN 16 AND 17 THEN 'PM Peak' WHEN hour(ts) BETWEEN 18 AND 21 THEN 'Evening' ELSE 'Late Night' END AS period FROM events""")
 def time_period(s, d):
     return table(s, d, "events").select("event_id", times.time_period(F.hour("ts"), day("ts")).alias("period"))
 
