@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.times import service_date
-from wayfare.plans import bus, checks, fares, metrics, rail, schedule
+from wayfare.plans import bus, checks, fares, metrics, rail, realtime, schedule
 from wayfare.plans.catalog import c, day, longs, query, table, text
 
 # --- views ------------------------------------------------------------------------
@@ -323,6 +323,65 @@ def fare_quality_card(s, d):
     return fares.fare_quality_card(card(s, d)).groupBy("invalid_reason").agg(F.count("*").alias("n"))
 
 
+PAID = """WITH x AS (SELECT o_orderkey AS id, o_custkey % 400 AS pay, CASE o_custkey % 3 WHEN 0 THEN 'flat_fare' WHEN 1 THEN 'incomplete_variable_fare' ELSE 'complete_variable_fare' END AS kind,
+  CASE o_orderkey % 4 WHEN 0 THEN 'Enter' WHEN 1 THEN 'Exit' WHEN 2 THEN 'Transfer entrance' ELSE 'Transfer exit' END AS action, o_totalprice AS charge, o_orderdate AS ts FROM orders)"""
+
+
+def paid(s, d) -> DataFrame:
+    k, pay = c("o_orderkey"), c("o_custkey") % 400
+    o = table(s, d, "orders")
+    kinds = F.when(k % 4 == 0, "Enter").when(k % 4 == 1, "Exit").when(k % 4 == 2, "Transfer entrance").otherwise("Transfer exit")
+    taps = o.select(k.alias("vendor_2_transaction_id"), c("o_orderdate").alias("transaction_timestamp_utc"), kinds.alias("fare_action"), F.lit("r").alias("route_id"), F.lit("l").alias("location_id"), k.cast("string").alias("device_id"))
+    charge = F.when(c("o_custkey") % 3 == 0, "flat_fare").when(c("o_custkey") % 3 == 1, "incomplete_variable_fare").otherwise("complete_variable_fare")
+    payments = o.select(k.alias("micropayment_id"), c("o_totalprice").alias("charge_amount"), charge.alias("charge_type"), pay.alias("funding_source_id"))
+    return fares.fare_transactions_open_payment(taps, o.select(k.alias("vendor_2_transaction_id"), k.alias("micropayment_id")), payments).withColumn("pay", c("token_id"))
+
+
+@query("D-F5_fare_transactions_open_payment", PAID + """ SELECT id AS transaction_id, CASE WHEN kind <> 'complete_variable_fare' OR action IN ('Exit', 'Transfer exit') THEN charge ELSE 0.0 END AS amount,
+  strftime(date_trunc('day', ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' - INTERVAL 4 HOUR), '%Y-%m-%d') AS service_date FROM x""")
+def fare_transactions_open_payment(s, d):
+    return plain(paid(s, d).select("transaction_id", "amount", "service_date"), "service_date")
+
+
+@query("D-F7_fare_quality_open_payment", PAID + """, b AS (SELECT pay, kind, count(*) FILTER (action IN ('Enter', 'Transfer entrance')) AS i, count(*) FILTER (action IN ('Exit', 'Transfer exit')) AS o FROM x WHERE kind = 'complete_variable_fare' GROUP BY 1, 2),
+r AS (SELECT x.id, CASE WHEN b.pay IS NULL THEN NULL WHEN i > 1 THEN 'Multiple entry records for complete variable fare' WHEN o > 1 THEN 'Multiple exit records for complete variable fare' WHEN i = 0 THEN 'No entry record for complete variable fare' WHEN o = 0 THEN 'No exit record for complete variable fare' END AS invalid_reason FROM x LEFT JOIN b USING (pay))
+SELECT invalid_reason, count(*) AS n FROM r GROUP BY 1""")
+def fare_quality_open_payment(s, d):
+    txns = paid(s, d).withColumn("micropayment_id", c("pay"))
+    return fares.fare_quality_open_payment(txns).groupBy("invalid_reason").agg(F.count("*").alias("n"))
+
+
+AVL = """WITH p AS (SELECT event_id AS id, CAST(date_trunc('day', ts - INTERVAL 4 HOUR) AS DATE) AS day, ts, CAST(user_id AS VARCHAR) AS trip, CASE WHEN event_id % 5 <> 0 THEN event_type END AS stop, user_id % 2 AS revenue,
+  CASE user_id % 4 WHEN 0 THEN 'DH1' WHEN 1 THEN 'X2' WHEN 2 THEN 'pi3' ELSE 'Z' END AS route, event_id % 9 AS apcon FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY day, route, trip, stop ORDER BY ts, md5(CAST(id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '-1-1.0-2.0-' || coalesce(stop, '_dbt_utils_surrogate_key_null_'))) AS n FROM p),
+v AS (SELECT *, coalesce(stop IS NOT NULL AND n = 1 AND revenue = 1, FALSE) AS visit FROM r)"""
+
+
+def positions(s, d) -> DataFrame:
+    e, u = c("event_id"), c("user_id")
+    ev = table(s, d, "events").withColumn("day", service_date("ts"))
+    pos = ev.select(e.alias("vehicleid"), e.alias("vehiclenumber"), F.lit(1).alias("vehicleworkid"), F.lit(1).alias("versionid"), u.alias("currenttripid"), F.when(e % 5 != 0, c("event_type")).alias("currentstopid"), text("ts").alias("locationupdatedts"), F.lit("a").alias("tripstartdts"), c("ts").alias("upddts"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), F.lit(0.0).alias("hdgdeg"), F.lit(0.0).alias("speed"), F.lit(0.0).alias("scheddev"), (e % 9).alias("apcon"), (e % 9).alias("apcoff"))
+    route = F.when(u % 4 == 0, "DH1").when(u % 4 == 1, "X2").when(u % 4 == 2, "pi3").otherwise("Z")
+    trips = ev.select(F.date_format("day", "yyyyMMdd").alias("ldate"), u.alias("vendor_1_tripid"), (u % 2).alias("isrevenue"), route.alias("route"), F.lit("01").alias("tapatternid"), F.lit(None).cast("timestamp").alias("tripstarttime"), F.lit(None).cast("timestamp").alias("tripendtime")).distinct()
+    stops = ev.select(F.lit(1).alias("versionid"), c("event_type").alias("stopid"), c("event_type").alias("geostopid"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude")).where("stopid is not null").distinct()
+    return realtime.vehicle_locations_realtime(realtime.stage_realtime(pos), realtime.stage_avl_trips(trips), realtime.stage_avl_stops(stops))
+
+
+@query("D-B16_vehicle_locations_realtime", AVL + " SELECT CAST(id AS VARCHAR) AS vehicle_id, route || '01' AS pattern_id, CASE WHEN revenue = 0 THEN CASE WHEN upper(route) LIKE 'DH%' THEN 'Deadhead' WHEN upper(route) LIKE 'PI%' THEN 'Pullin' ELSE 'Other not in service' END ELSE 'In service' END AS trip_type, visit AS is_stop_visit FROM v")
+def vehicle_locations_realtime(s, d):
+    return positions(s, d).select("vehicle_id", "pattern_id", "trip_type", "is_stop_visit")
+
+
+@query("D-B17_stop_visits_realtime", AVL + " SELECT CAST(id AS VARCHAR) AS vehicle_id, stop AS stop_id, CAST(apcon AS DOUBLE) AS boarding_1, CAST(NULL AS DOUBLE) AS boarding_2, TRUE AS is_valid FROM v WHERE visit")
+def stop_visits_realtime(s, d):
+    return realtime.stop_visits_realtime(positions(s, d)).select("vehicle_id", "stop_id", "boarding_1", "boarding_2", "is_valid")
+
+
+@query("D-B18_bus_ridership_total", "SELECT l_orderkey AS k, 'fare' AS source FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT o_orderkey, 'lp' FROM orders")
+def bus_ridership_total(s, d):
+    return bus.bus_ridership_total(table(s, d, "lineitem").where("l_linenumber = 1").select(c("l_orderkey").alias("k")), table(s, d, "orders").select(c("o_orderkey").alias("k")))
+
+
 # --- checks ---------------------------------------------------------------------------
 
 

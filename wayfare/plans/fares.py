@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfare.functions.casts import flex_cast
 from wayfare.functions.keys import surrogate_key
 from wayfare.functions.times import service_date, utc_to_local
 from wayfare.operators.select import classify, keep_valid, validity
@@ -23,6 +24,17 @@ def stage_fares(raw: DataFrame, stamp: str) -> DataFrame:
     return raw.withColumn(stamp, F.col(stamp).cast("timestamp")).withColumn("service_date", service_date(stamp))
 
 
+def stage_open_payment(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The open-payment tables: texts trimmed, ``*_utc`` as timestamps, amounts as doubles; a tap's ``type`` is ``lp_type``."""
+
+    def typed(name: str) -> Column:
+        kind = "timestamp" if name.endswith("_utc") else "double" if name.endswith("_amount") else None
+        c = flex_cast(name, kind, True) if kind else flex_cast(name, "string")
+        return c.alias("lp_type" if name == "type" else name)
+
+    return {table: df.select(*map(typed, df.columns)) for table, df in raw.items()}
+
+
 def sale_action() -> Column:
     kind = F.col("sale_transaction_type")
     return classify([(kind.isin(1, 3), "Activate"), (kind.isin(2, 4), "Add"), (kind == 0, "New"), (kind == 5, "Purchase"), (kind == 6, "Other")], "Unknown action type")
