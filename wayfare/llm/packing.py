@@ -19,14 +19,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm.bpe import stretches
+from wayfare.llm.bpe import WORD, byte_symbols, normal, stretches
 from wayfare.llm.common import documents
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int"
-KEPT_STRETCHES = 300_000
+#: Stretches kept in a worker's memory before the table starts again.
+KEPT_STRETCHES = 700_000
 
 
 def binary_lengths(n: int, limit: int) -> list[int]:
@@ -35,41 +37,61 @@ def binary_lengths(n: int, limit: int) -> list[int]:
     return [limit] * whole + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-@lru_cache(2)
-def tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
-    return t
+class LibraryWords(dict):
+    """Stretch of text without spaces -> its ids as bytes, by the tokenizers library's BPE model.
+
+    Only what the library would do to each stretch anyway (normal form, words, byte
+    symbols) happens here, once per distinct stretch and worker.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        whole = Tokenizer.from_file(path)
+        self.tokenize, self.words = whole.model.tokenize, {}
+        self.special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
+        self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.pattern, self.symbols = regex.compile(WORD), dict(enumerate(byte_symbols()))
+
+    def __missing__(self, stretch: str) -> bytes:
+        if len(self) >= KEPT_STRETCHES:
+            self.clear()
+            self.words.clear()
+        out = b""
+        for k, part in enumerate(self.marks.split(stretch) if self.marks and "<" in stretch else [stretch]):
+            if k % 2:
+                out += self.special[part].to_bytes(4, "little")
+            elif part:
+                out += b"".join([self.words.get(w) or self.word(w) for w in self.pattern.findall(normal(part))])
+        if len(stretch) <= 64:
+            self[stretch] = out
+        return out
+
+    def word(self, word: str) -> bytes:
+        out = np.asarray([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.symbols))], "<u4").tobytes()
+        if len(word) <= 64:
+            self.words[word] = out
+        return out
 
 
-def encoded(texts: list[str], path: str, kept: dict[str, bytes]) -> Iterator[bytes]:
-    """Each text's ids as bytes; every stretch without spaces is encoded once per ``kept``."""
-    cut = [stretches(x) for x in texts]
-    if len(kept) > KEPT_STRETCHES:
-        kept.clear()
-    if new := list({s for words in cut for s in words if s not in kept}):
-        for s, e in zip(new, tokenizer(path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-            kept[s] = np.asarray(e.ids, "<u4").tobytes()
-    for words in cut:
-        yield b"".join(map(kept.__getitem__, words))
+@lru_cache(2)
+def library_words(path: str) -> LibraryWords:
+    return LibraryWords(path)
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 2, limit: int = 4096) -> DataFrame:
     """One row per piece, with its place in its document and its sequence."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, bytes] = {}
+        words = library_words(path)
         end, part = np.asarray([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         used = [0] * limit.bit_length()
         for batch in batches:
             for at in range(0, len(batch), 256):
                 few, rows = batch.slice(at, 256), []
-                texts = [x or "" for x in few.column(1).to_pylist()]
-                for doc, ids in zip(few.column(0).to_pylist(), encoded(texts, path, kept), strict=True):
-                    ids += end
+                for doc, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist(), strict=True):
+                    ids = b"".join(map(words.__getitem__, stretches(text or ""))) + end
                     total, start = len(ids) // 4, 0
                     for n in binary_lengths(total, limit):
                         k = n.bit_length() - 1
