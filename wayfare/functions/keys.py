@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.casts import as_column
 
+#: What a surrogate key holds for NULL; fixed value.
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
 
 

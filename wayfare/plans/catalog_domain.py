@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.functions.times import service_date
 from wayfare.plans import bus, checks, fares, metrics, rail, realtime, schedule
 from wayfare.plans.catalog import c, day, longs, query, table, text
+from wayfare.streaming.incremental import tumbling as windows
 
 # --- views ------------------------------------------------------------------------
 
@@ -382,6 +383,11 @@ def bus_ridership_total(s, d):
     return bus.bus_ridership_total(table(s, d, "lineitem").where("l_linenumber = 1").select(c("l_orderkey").alias("k")), table(s, d, "orders").select(c("o_orderkey").alias("k")))
 
 
+@query("ST-4_tumbling", "SELECT strftime(time_bucket(INTERVAL 2 HOUR, ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York'), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n FROM events GROUP BY 1")
+def tumbling(s, d):
+    return windows(table(s, d, "events"), "ts", "2 hours", schedule.ZONE).groupBy(text("window_start").alias("window_start")).agg(F.count("*").alias("n"))
+
+
 # --- checks ---------------------------------------------------------------------------
 
 
