@@ -58,7 +58,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         ring = [sum(1 << b for b in c) for c in combinations(range(size), radius)]
         masks = F.array(*(F.lit(m).cast("bigint") for m in ring))
         probes = waiting.select("query", "segment", F.explode(F.transform(masks, lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
-        new = probes.join(table, ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code")).alias("distance"))
+        # a query's probes outgrow what the planner expects of an explode: never broadcast them
+        new = probes.join(table.hint("merge"), ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code")).alias("distance"))
         both = new if found is None else found.union(new).distinct()
         # per query, codes in order of distance until need ids are passed
         before = Window.partitionBy("query").orderBy("distance", "code").rowsBetween(Window.unboundedPreceding, -1)
