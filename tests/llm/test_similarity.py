@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from wayfare.llm import neardup
 from wayfare.llm.hamming import search
 from wayfare.llm.neardup import near_duplicates, one_of_each
 from wayfare.llm.syncmers import anchors, fingerprints, matches
@@ -62,6 +63,15 @@ def test_near_duplicates(spark):
     assert stays == sorted(d for d, r in plain_components(rows).items() if r[2])
 
 
+def test_near_duplicates_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 300)
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    rows = list(enumerate(made_texts()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect()}
+    assert got == plain_components(rows)
+
+
 def test_fingerprints(spark):
     rows = list(enumerate(made_texts()))
     docs = spark.createDataFrame([(d, t, "y") for d, t in rows], "doc_id long, text string, marks string").repartition(5)

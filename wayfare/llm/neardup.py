@@ -8,11 +8,14 @@ estimates the similarity of a proposed pair.  The estimate only drops pairs that
 lie far below the threshold (by some seven standard deviations); what remains is
 confirmed on the full sets.
 
-A band bucket never emits all its pairs.  In each round every bucket compares the
-members of one component, through its smallest member, with all members outside
-it; links merge components, and buckets whose members are all in one component
-leave.  After ``ROUNDS`` rounds the members still apart are compared across
-components, so no link that would join two components is lost.
+A band bucket never emits its pairs.  In each round every bucket compares one
+component's smallest member with all members outside that component; links merge
+components, and buckets whose members are all in one component leave.  What is
+still apart after ``ROUNDS`` rounds is gathered by shared buckets into clusters,
+clusters are cut into blocks of at most ``BLOCK`` shingles, and tasks compare two
+blocks each: sketches first, full sets where components differ, and only links that
+join two components come out.  So no link that matters is lost, and neither tasks
+nor tables grow with the square of a group.
 
 Null or blank text has an empty set and links with nothing.  With fewer than five
 words the whole sequence is the one shingle.  A null doc_id stays null; repeated
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,9 @@ ROWS, BANDS = 4, 24
 SAMPLES, SKETCH_WORDS = ROWS * BANDS, 8
 #: Pairs estimated below this are dropped unverified.
 LEAST_ESTIMATE = 0.6
-ROUNDS = 3
+ROUNDS = 2
+#: Shingles in a block of a cluster (8 bytes each).
+BLOCK = 4_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _RNG = np.random.default_rng(20240501)
@@ -175,6 +181,61 @@ def proposed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
 
 
+def joining_links(group: list[dict], cross: bool) -> Iterator[tuple[bytes, bytes]]:
+    """Links between members of different components; each found one merges the two.
+
+    Members: cls, root, block, sketch, items.  With ``cross`` only pairs of two blocks count.
+    """
+    if len({r["root"] for r in group}) < 2:
+        return
+    sets = [np.frombuffer(r["items"], np.uint64) for r in group]
+    size = np.array([len(x) for x in sets])
+    sketch = np.array([r["sketch"] for r in group], np.int64).view(np.uint64)
+    block = np.array([r["block"] for r in group])
+    names = {r: k for k, r in enumerate(dict.fromkeys(r["root"] for r in group))}
+    root = np.array([names[r["root"]] for r in group])
+    place = np.arange(len(group))
+    for i in range(len(group)):
+        near = (place > i) & (root != root[i]) & (100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i]))
+        js = np.flatnonzero(near & (block != block[i]) if cross else near)
+        if not len(js):
+            continue
+        apart = np.bitwise_count(sketch[js] ^ sketch[i]).sum(1)
+        keep = apart <= most_bits()
+        for j in js[keep][np.argsort(apart[keep], kind="stable")].tolist():
+            if root[j] != root[i]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= PERCENT * (size[i] + size[j] - both):
+                    root[root == root[j]] = root[i]
+                    yield group[i]["cls"], group[j]["cls"]
+
+
+def links_within(members: DataFrame) -> DataFrame:
+    """Links that join components, for members (cluster, cls, root, n_shingles, sketch, items)."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            for at in range(0, len(b), 64):
+                yield from b.slice(at, 64).to_pylist()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, i, j), group in groupby(rows(batches), key=lambda r: (r["cluster"], r["i"], r["j"])):
+            if found := list(joining_links(list(group), i != j)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
+
+    blocks = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("cluster", "cls", "root", "sketch", "items", "block", other)
+    pairs = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "root", "block", "sketch", "items")
+    return pairs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a binary, b binary")
+
+
+def open_buckets(labels: DataFrame) -> DataFrame:
+    """(key, lo, hi): of the buckets with several components, the members of least and largest component."""
+    return labels.groupBy("key").agg(F.min(F.struct("root", "cls")).alias("lo"), F.max(F.struct("root", "cls")).alias("hi")).where("lo.root <> hi.root")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: set size, the smallest doc_id it reaches by links, and whether it is that one;
     ``text_hash`` tells rows of equal id apart."""
@@ -187,23 +248,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = rows.select("cls").distinct().join(classes, "cls").select("one.doc_id", "one.text_hash", "cls")
     sets = store(shingle_sets(docs, wanted), "sets")
     labels, links = rows.select("cls", "key", F.col("cls").alias("root")), None
-    for step in range(ROUNDS + 1):
+    for step in range(ROUNDS):
         # a bucket with one component is done; else its pivot is the smallest member of one component,
         # from the low end first and from the high end next, where components are small
-        ends = labels.groupBy("key").agg(F.min(F.struct("root", "cls")).alias("lo"), F.max(F.struct("root", "cls")).alias("hi")).where("lo.root <> hi.root")
-        open_rows = labels.join(ends.select("key", (F.col("hi") if step % 2 else F.col("lo")).alias("pivot")), "key")
-        if step < ROUNDS:
-            pairs = open_rows.where("root <> pivot.root").select(F.least("pivot.cls", "cls").alias("a"), F.greatest("pivot.cls", "cls").alias("b")).distinct()
-        else:
-            x, y = (open_rows.select("key", F.col("root").alias(f"r_{s}"), F.col("cls").alias(s)) for s in "ab")
-            pairs = x.join(y, "key").where("r_a < r_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        ends = open_buckets(labels).select("key", (F.col("hi") if step % 2 else F.col("lo")).alias("pivot"))
+        pairs = labels.join(ends, "key").where("root <> pivot.root").select(F.least("pivot.cls", "cls").alias("a"), F.greatest("pivot.cls", "cls").alias("b")).distinct()
         new = store(confirm(proposed(pairs, classes), sets), "confirmed")
         links = new if links is None else links.union(new)
-        if step and new.isEmpty() and step == ROUNDS:
-            break
         roots = store(components(links), "roots")
-        if step < ROUNDS:
-            labels = rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root"))
+        labels = rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root"))
+    apart = labels.join(open_buckets(labels).select("key", F.col("lo.cls").alias("pivot")), "key")
+    apart = store(apart.select("cls", "root", "pivot").distinct(), "apart")
+    if not apart.isEmpty():
+        clusters = components(apart.select(F.col("pivot").alias("a"), F.col("cls").alias("b"))).withColumnsRenamed({"node": "cls", "root": "cluster"})
+        members = apart.select("cls", "root").distinct().join(clusters, "cls").join(classes.select("cls", "n_shingles", "sketch"), "cls").join(sets, "cls")
+        roots = store(components(links.union(links_within(members))), "roots")
     top = classes.join(roots, classes.cls == roots.node).groupBy("root").agg(F.min("least").alias("component"))
     member = roots.join(top, "root").select(F.col("node").alias("cls"), "component")
     out = found.select("doc_id", "text_hash", "n_shingles", "cls").join(classes.select("cls", "least"), "cls", "left").join(member, "cls", "left")
