@@ -9,7 +9,7 @@ Classes start from a word's ending.  In each exchange round every word counted
 ``EXCHANGED`` times or more gathers the classes before and after it from all
 training documents; tasks hold the class-pair counts (``CLASSES`` squared numbers),
 move each word to the class that raises the class bigram likelihood most, and
-update their own copy of the counts as they go.  Rarer and unseen words keep their
+update their own copy of the counts after every ``TOGETHER`` words.  Rarer and unseen words keep their
 ending's class.  The model's probability of a token is
 P(class | class before) * P(word | class), both smoothed by additive constants;
 each class also has mass for one unseen word.
@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,9 @@ from pyspark.sql import functions as F
 from wayfare.llm.common import LOWER_AZ, documents, store
 
 CLASSES, ROUNDS, EXCHANGED = 32, 2, 8
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
+#: Words that a task moves at a time against the same counts.
+TOGETHER = 128
 #: The end of a document; no word holds a line break.  Its class is its own.
 END = b"\n"
 ALPHA = 0.1
@@ -94,12 +95,17 @@ def chunks(docs: DataFrame, most: int = CHUNK_BYTES) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held")).mapInArrow(run, CHUNK)
 
 
-def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def numbers(column: pa.Array) -> np.ndarray:
+    """A one-row list column's values; none for a null list."""
+    return column.flatten().to_numpy(zero_copy_only=False)
+
+
+def unpacked(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's tokens, its documents' first places, and which tokens are learned from."""
-    lengths = np.array(row["lengths"])
-    planes = np.frombuffer(zstandard.decompress(row["tokens"]), np.uint8).reshape(4, -1)
+    lengths = numbers(row.column("lengths"))
+    planes = np.frombuffer(zstandard.decompress(row.column("tokens")[0].as_buffer()), np.uint8).reshape(4, -1)
     flat = np.ascontiguousarray(planes.T).view(np.int32).ravel()
-    return flat, np.cumsum(lengths) - lengths, np.repeat(~np.array(row["held"]), lengths)
+    return flat, np.cumsum(lengths) - lengths, np.repeat(~numbers(row.column("held")), lengths)
 
 
 def before_of(cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -111,7 +117,7 @@ def before_of(cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str]) -> DataFrame:
     """Chunks with ``at`` (places in the word list) and ``fields``, for the words in ``table``."""
     words = chunk_table.select("chunk", F.posexplode("words").alias("at", "word"))
-    found = words.join(table, "word").groupBy("chunk").agg(F.collect_list(F.struct("at", *fields)).alias("known"))
+    found = words.join(table.hint("shuffle_hash"), "word").groupBy("chunk").agg(F.collect_list(F.struct("at", *fields)).alias("known"))
     return chunk_table.join(found, "chunk", "left").withColumns({c: F.col(f"known.{c}") for c in ["at", *fields]}).drop("known")
 
 
@@ -121,10 +127,10 @@ def gathered(chunk_table: DataFrame, moved: DataFrame, words_too: bool) -> DataF
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(len(b)):
-                row = b.slice(i, 1).to_pylist()[0]
+                row = b.slice(i, 1)
                 flat, starts, learned = unpacked(row)
-                at, known = np.array(row["at"] or [], np.int64), np.array(row["cls"] or [], np.int64)
-                cls = np.array(row["first"], np.int64)
+                at, known = numbers(row.column("at")), numbers(row.column("cls"))
+                cls = numbers(row.column("first")).astype(np.int32)
                 cls[at] = known
                 now = cls[flat]
                 before = before_of(now, starts)
@@ -132,17 +138,21 @@ def gathered(chunk_table: DataFrame, moved: DataFrame, words_too: bool) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([pairs], pa.list_(pa.int64()))], names)
                 if not words_too or not len(at):
                     continue
-                which = np.full(len(cls), -1, np.int64)
-                which[at] = np.arange(len(at))
+                which = np.full(len(cls), -1, np.int32)
+                which[at] = np.arange(len(at), dtype=np.int32)
                 word = which[flat]
-                mine = learned & (word >= 0)
-                place = np.flatnonzero(mine)  # a word never ends a document: the end does
-                around = np.bincount(np.concatenate([word[place] * 2 * _WIDE + before[place], word[place] * 2 * _WIDE + _WIDE + now[place + 1]]), minlength=len(at) * 2 * _WIDE)
+                place = np.flatnonzero(learned & (word >= 0))  # a word never ends a document: the end does
+                row_of = word[place].astype(np.int64) * (2 * _WIDE)
+                around = np.bincount(row_of + before[place], minlength=len(at) * 2 * _WIDE)
+                around += np.bincount(row_of + _WIDE + now[place + 1], minlength=len(at) * 2 * _WIDE)
                 cell = np.flatnonzero(around)
-                ends = np.searchsorted(cell, np.arange(len(at) + 1) * 2 * _WIDE).tolist()
-                side, n = (cell % (2 * _WIDE)).astype(np.uint8).tobytes(), around[cell].astype("<u4").tobytes()
-                some = [k for k in range(len(at)) if ends[k] < ends[k + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array([row["words"][at[k]] for k in some], pa.binary()), pa.array([int(known[k]) for k in some], pa.int32()), pa.array([side[ends[k] : ends[k + 1]] for k in some], pa.binary()), pa.array([n[4 * ends[k] : 4 * ends[k + 1]] for k in some], pa.binary()), pa.nulls(len(some), pa.list_(pa.int64()))], names)
+                ends = np.searchsorted(cell, np.arange(len(at) + 1) * 2 * _WIDE).astype(np.int32)
+                some = np.flatnonzero(ends[1:] > ends[:-1])
+                bounds = np.append(ends[some], len(cell)).astype(np.int32)
+                packed = lambda values, size, o=bounds, n=len(some): pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(o * np.int32(size)), pa.py_buffer(values.tobytes())])
+                made = [row.column("words").flatten().take(pa.array(at[some])), pa.array(known[some], pa.int32()), packed((cell % (2 * _WIDE)).astype(np.uint8), 1), packed(around[cell].astype("<u4"), 4), pa.nulls(len(some), pa.list_(pa.int64()))]
+                whole = pa.RecordBatch.from_arrays(made, names)
+                yield from (whole.slice(k, 20_000) for k in range(0, len(some), 20_000))
 
     names = ["word", "cls", "side", "n", "pairs"]
     wanted = looked_up(chunk_table, moved, ["cls"]).select("held", "lengths", "tokens", "words", "first", "at", "cls")
@@ -162,31 +172,66 @@ def xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-9))
 
 
+def moves(n: np.ndarray, old: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The class to which each word, taken out of its own, adds most class bigram likelihood.
+
+    ``before`` and ``after`` count the classes around each word; ``n`` holds all class pairs.
+    """
+    each = np.arange(len(old))
+    rest = np.broadcast_to(n, (len(old), *n.shape)).copy()
+    rest[each, old] -= after
+    rest[each, :, old] -= before
+    now = xlogx(rest)
+    gain = (xlogx(rest + after[:, None, :]) - now).sum(2) + (xlogx(rest + before[:, :, None]) - now).sum(1)
+    for axis, around in ((2, after), (1, before)):
+        total = rest.sum(axis)
+        gain -= xlogx(total + around.sum(1)[:, None]) - xlogx(total)
+    return np.argmax(gain[:, :CLASSES], axis=1)
+
+
 def exchanged(found: DataFrame, pairs: np.ndarray) -> DataFrame:
     """(word, cls) after each word's best move."""
 
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    def values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """All values of a column of packed numbers, and how many each row has."""
+        size = np.dtype(kind).itemsize
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        return np.ascontiguousarray(data).view(kind), np.diff(ends) // size
+
+    def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """Sorted rows as (words, their classes, counts of the classes around them); a word comes once."""
+        held = None
         for b in batches:
-            yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+            if not len(b):
+                continue
+            coded = b.column(0).dictionary_encode()
+            which, words = coded.indices.to_numpy(), coded.dictionary
+            side, lengths = values(b.column(2), "u1")
+            n, _ = values(b.column(3), "<u4")
+            around = np.bincount(np.repeat(which.astype(np.int64), lengths) * 2 * _WIDE + side, n, len(words) * 2 * _WIDE).reshape(-1, 2 * _WIDE)
+            old = b.column(1).to_numpy()[np.unique(which, return_index=True)[1]]
+            if held and held[0].equals(words.slice(0, 1)):
+                around[0] += held[2][0]
+            elif held:
+                yield held
+            if len(words) > 1:
+                yield words.slice(0, len(words) - 1), old[:-1], around[:-1]
+            held = words.slice(len(words) - 1), old[-1:], around[-1:]
+        if held:
+            yield held
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, out = pairs.copy(), []
-        for word, parts in groupby(rows(batches), key=lambda r: r[0]):
-            around = np.zeros(2 * _WIDE)
-            for _, old, side, count in parts:
-                around[np.frombuffer(side, np.uint8)] += np.frombuffer(count, "<u4")
-            before, after = around[:_WIDE], around[_WIDE:]
-            n[old] -= after
-            n[:, old] -= before
-            gain = (xlogx(n + after) - xlogx(n)).sum(1) + (xlogx(n.T + before) - xlogx(n.T)).sum(1)
-            for total, size in ((n.sum(1), after.sum()), (n.sum(0), before.sum())):
-                gain -= xlogx(total + size) - xlogx(total)
-            new = int(np.argmax(gain[:CLASSES]))
-            n[new] += after
-            n[:, new] += before
-            out.append((word, new))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.binary()), pa.array([c for _, c in out], pa.int32())], ["word", "cls"])
+        n = pairs.copy()
+        for words, classes, counts in merged(batches):
+            for k in range(0, len(words), TOGETHER):
+                old, around = classes[k : k + TOGETHER], counts[k : k + TOGETHER]
+                before, after = around[:, :_WIDE], around[:, _WIDE:]
+                new = moves(n, old, before, after)
+                for cls, sign in ((old, -1), (new, 1)):
+                    np.add.at(n, cls, sign * after)
+                    np.add.at(n.T, cls, sign * before)
+                yield pa.RecordBatch.from_arrays([words.slice(k, TOGETHER), pa.array(new, pa.int32())], ["word", "cls"])
 
     words = found.where("word is not null").select("word", "cls", "side", "n").repartition("word").sortWithinPartitions("word")
     return store(words.mapInArrow(run, "word binary, cls int"), "moved")
@@ -213,17 +258,17 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(len(b)):
-                row = b.slice(i, 1).to_pylist()[0]
+                row = b.slice(i, 1)
                 flat, starts, _ = unpacked(row)
-                at = np.array(row["at"], np.int64)
-                c, cls = np.zeros(len(row["words"]), np.int64), np.zeros(len(row["words"]), np.int64)
-                c[at], cls[at] = row["c"], row["cls"]
+                at, size = numbers(row.column("at")), len(row.column("words").flatten())
+                c, cls = np.zeros(size, np.int64), np.zeros(size, np.int32)
+                c[at], cls[at] = numbers(row.column("c")), numbers(row.column("cls"))
                 log_c, now = np.log10(c + ALPHA), cls[flat]
                 own = np.add.reduceat(log_c[flat], starts)
-                n = np.array(row["lengths"])
+                n = numbers(row.column("lengths")).astype(np.int64)
                 score = own + np.add.reduceat(step[before_of(now, starts), now] - spread[now], starts)
                 known = np.add.reduceat((c > 0).astype(np.int64)[flat], starts)
-                yield pa.RecordBatch.from_arrays([pa.array(row["docs"], pa.int64()), pa.array(row["held"]), pa.array(n, pa.int64()), pa.array(known), pa.array([total] * len(n), pa.int64()), pa.array(own - n * base_spread), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                yield pa.RecordBatch.from_arrays([row.column("docs").flatten(), row.column("held").flatten(), pa.array(n), pa.array(known), pa.array([total] * len(n), pa.int64()), pa.array(own - n * base_spread), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     wanted = looked_up(chunk_table, table, ["c", "cls"]).select("docs", "held", "lengths", "tokens", "words", "at", "c", "cls")
     return wanted.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
