@@ -69,6 +69,15 @@ def test_pii(docs):
     assert find("http://me:pw@host ssn: 123-45-6789 account no 12345678") == [(7, 12, "login"), (23, 34, "ssn"), (46, 54, "account")]
 
 
+def test_iban_with_words_after_it():
+    for iban in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "gb82 west 1234 5698 7654 32", "NO9386011117947", "MT84MALT011000012345MTLCAST001S", "ZZ22 3704 0044 0532 0130 00"):
+        for before in ("iban ", "IBAN no: "):
+            for after in ("", ".", " for payment today", " and call", " a", " 1 2 3", "\nfor payment", " for payment by the twentieth of the month"):
+                assert find(before + iban + after)[:1] == [(len(before), len(before + iban), "iban")], iban + after
+                assert masked(before + iban + after) == before + "[IBAN]" + after
+    assert not [s for s in find("iban DE89370400440532013001 for payment today, iban DE8937040044053201300 0x") if s[2] == "iban"]
+
+
 def test_bpe_matches_the_library(docs):
     lib, own = Tokenizer.from_file(PATH), Encoder(PATH)
     rng = random.Random(1)

@@ -3,7 +3,8 @@
 One Aho-Corasick pass finds anchors: at-signs, plus signs, schemes and identifier
 cues.  A local parser grows each anchor to the left and right as far as its own
 grammar allows and validates what it got.  Digit groups are anchors too.  Parsers
-look at the anchor's neighbourhood only, in linear time, and never retry.
+look at the anchor's neighbourhood only, in linear time, and never retry; only an
+IBAN's end is tried at its country's length, or without one at up to 20 word ends.
 
 Kinds, in this order: email, ip, card, phone (the base kinds, leftmost and
 non-overlapping per kind), then login (user and password in an address), iban,
@@ -39,8 +40,19 @@ _CHAIN = re.compile(r"[0-9]++(?:\.[0-9]++){3,}+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _LOGIN = re.compile(r"[A-Za-z0-9._%+-]{1,256}:[^\s@/]{1,256}@")
 _IBAN = re.compile(r"[\s:#.]{0,4}((?:no|nr|number)?[\s:#.]{0,4})([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30})")
+_ALNUM = re.compile(r"[A-Za-z0-9]")
 _SSN = re.compile(r"[^0-9\n]{0,16}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _ACCOUNT = re.compile(r"[^0-9\n]{0,12}([0-9][0-9 -]{4,24}[0-9])(?![0-9])")
+#: Lengths of the IBANs of the countries in the registry.
+_IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 def luhn(digits: str) -> bool:
@@ -53,6 +65,18 @@ def iban_holds(found: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, most: int) -> int | None:
+    """Where the IBAN at ``start`` ends, at ``most`` or before.
+
+    Words may follow it.  It has its country's length; for other countries the
+    longest run of whole words whose checksum holds counts.
+    """
+    ends = [k + 1 for k in range(start, most) if text[k] != " "]
+    length = _IBAN_LENGTHS.get(text[start : start + 2].upper())
+    tries = ends[14:][::-1] if length is None else ends[length - 1 : length]
+    return next((e for e in tries if not _ALNUM.match(text, e) and iban_holds(text[start:e])), None)
+
+
 @lru_cache(1)
 def automaton():
     import ahocorasick
@@ -104,8 +128,11 @@ def find(text: str) -> list[tuple[int, int, str]]:
             m = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT}[kind].match(text, last + 1)
             if m and m.start(m.lastindex) >= cues.get(kind, 0):
                 span = m.span(m.lastindex)
-                if kind == "iban" and not iban_holds(text[slice(*span)]):
-                    continue
+                if kind == "iban":
+                    end = iban_end(text, *span)
+                    if end is None:
+                        continue
+                    span = (span[0], end)
                 cues[kind] = span[1]
                 out.append((*span, kind))
     for m in _CHAIN.finditer(text):
