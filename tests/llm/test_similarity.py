@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wayfare.llm import neardup
 from wayfare.llm.hamming import search
 from wayfare.llm.neardup import near_duplicates, one_of_each
-from wayfare.llm.syncmers import anchors, fingerprints, matches
+from wayfare.llm.syncmers import anchors, compared, fingerprints, matches
 
 sys.path.insert(0, os.path.dirname(__file__))
 from brute_syncmers import brute  # noqa: E402
@@ -89,6 +89,31 @@ def test_positional_matches(spark):
     assert len(row.m) >= 10 and {p.a - p.b for p in row.m} == {3}
 
 
+def test_repeated_anchors_match_in_order(spark):
+    line = " ".join(f"w{i}" for i in range(12))
+    row = spark.createDataFrame([(f"{line} {line} {line}", f"z {line} {line}")], "a string, b string").select(matches(anchors(F.col("a")), anchors(F.col("b"))).alias("m")).first()
+    inside = [p for p in row.m if p.a % 12 < 9]
+    assert {p.b - p.a for p in inside} == {1} and {p.a // 12 for p in inside} == {0, 1}
+
+
+def test_long_texts_keep_all_anchors(spark):
+    rng = random.Random(11)
+    words = [[f"v{rng.randint(0, 10**6)}" for _ in range(n)] for n in (20000, 3000, 900)]
+    words[1][500:560] = words[0][7000:7060]
+    rows = [(9, " ".join(words[0])), (8, " ".join(words[1])), (7, " ".join(words[2] + words[2]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    places = {r.doc_id: [(a.at, a.hash) for a in r.a] for r in docs.select("doc_id", anchors(F.col("text")).alias("a")).collect()}
+    sets = {d: {h for _, h in a} for d, a in places.items()}
+    got = {r.doc_id: r for r in compared(docs, 2).collect()}
+    for d, after in ((9, 8), (8, 7), (7, 9)):
+        r = got[d]
+        assert r.near_next == len(sets[d] & sets[after]) / len(sets[d] | sets[after])
+        assert r.fingerprint == "".join(f"{h % (1 << 64):016x}" for h in sorted(sets[d]))
+        at = {h: "+".join(str(a) for a, x in places[d] if x == h) for h in sorted(sets[d])} if d != 9 else None
+        assert at is None or r.places == ",".join(at.values())
+    assert got[9].near_next > 0 and got[9].matched_next >= 10 and got[9].near_edited > 0.4
+
+
 def test_exact_search(spark):
     rng = random.Random(4)
     rows = [(i, [rng.gauss(0, 1) for _ in range(70)]) for i in range(300)]

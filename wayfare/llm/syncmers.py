@@ -3,10 +3,11 @@
 A text's words are hashed; an s-mer is two words, a k-mer four.  A k-mer is chosen
 if the least of its three s-mers lies at its first or last place.  The choice
 depends on the k-mer alone, so equal passages give equal anchors wherever they
-stand.  The fingerprint holds the ``KEEP`` smallest distinct hashes of the chosen
-k-mers (all of them in a shorter text), and two fingerprints' likeness is the
-share of the smallest hashes of their union that both have: an estimate of the
-chosen k-mers' Jaccard similarity, exact for short texts.
+stand.  The fingerprint holds all chosen k-mers, each with its hash, its place and
+how many of the same hash stand before it.  Two fingerprints are matched by place:
+the n-th anchor of a hash with the n-th of the same hash.  Their likeness is the
+share of the distinct hashes of their union that are matched, which is the chosen
+k-mers' Jaccard similarity, exact for texts of any length.
 
 With fewer than four words the whole sequence is the one anchor.  Null or blank
 text has an empty fingerprint; two empty ones are alike (1.0).  Null ids come
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.common import documents
 
-K, S, KEEP = 4, 2, 256
+K, S = 4, 2
 
 
 def bound(value: Column, body) -> Column:
@@ -50,28 +51,63 @@ def anchors(text: Column) -> Column:
     return bound(hashes, of)
 
 
+def placed(anchors: Column) -> Column:
+    """(hash, nth, at) of all anchors, ascending; ``nth`` counts the anchors of one hash from 0."""
+
+    def of(x: Column) -> Column:
+        new = F.filter(F.transform(x, lambda y, i: F.when((i == 0) | (y["hash"] != F.get(x, i - 1)["hash"]), i)), lambda i: i.isNotNull())
+
+        def runs(starts: Column) -> Column:
+            until = lambda j: F.coalesce(F.get(starts, j + 1), F.size(x)) - 1
+            each = F.transform(starts, lambda start, j: F.transform(F.sequence(start, until(j)), lambda k: F.struct(F.get(x, k)["hash"].alias("hash"), (k - start).alias("nth"), F.get(x, k)["at"].alias("at"))))
+            return F.flatten(each)
+
+        return bound(new, runs)
+
+    return bound(F.sort_array(F.transform(anchors, lambda y: F.struct(y["hash"].alias("hash"), y["at"].alias("at")))), of)
+
+
 def fingerprint(text: Column) -> Column:
-    """The smallest distinct anchor hashes, ascending."""
-    return F.slice(F.array_sort(F.array_distinct(bound(anchors(text), lambda a: F.transform(a, lambda x: x["hash"])))), 1, KEEP)
+    """All anchors as (hash, nth, at), ascending."""
+    return placed(anchors(text))
+
+
+def distinct(marks: Column) -> Column:
+    return F.filter(marks, lambda x: x["nth"] == 0)
 
 
 def written(marks: Column) -> Column:
-    return F.array_join(F.transform(marks, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
+    """The distinct hashes, ascending."""
+    return F.array_join(F.transform(distinct(marks), lambda x: F.lower(F.lpad(F.hex(x["hash"]), 16, "0"))), "")
+
+
+def written_places(marks: Column) -> Column:
+    """Each distinct hash's places, joined by plus signs, in the order of ``written``."""
+    return F.substring(F.array_join(F.transform(marks, lambda x: F.concat(F.when(x["nth"] == 0, ",").otherwise("+"), x["at"].cast("string"))), ""), 2, 2**31 - 1)
+
 
+def matched(a: Column, b: Column) -> Column:
+    """Positional matching of two fingerprints: (place in a, place in b, nth) of all anchors that both hold."""
+    side = lambda marks, n: F.transform(marks, lambda x: F.struct(x["hash"].alias("hash"), x["nth"].alias("nth"), F.lit(n).alias("side"), x["at"].alias("at")))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of the smallest hashes of the union that both hold; 1 if both are empty."""
+    def pairs(u: Column) -> Column:
+        def pair(x: Column, y: Column) -> Column:
+            return F.when((x["hash"] == y["hash"]) & (x["nth"] == y["nth"]), F.struct(x["at"].alias("a"), y["at"].alias("b"), x["nth"].alias("nth")))
 
-    def share(u: Column) -> Column:
-        return F.when(F.size(u) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(F.array_intersect(a, b), u)) / F.size(u))
+        return F.filter(F.transform(u, lambda x, i: pair(x, F.get(u, i + 1))), lambda p: p.isNotNull())
 
-    return bound(F.slice(F.array_sort(F.array_union(a, b)), 1, KEEP), share).cast("double")
+    return bound(F.sort_array(F.concat(side(a, 0), side(b, 1))), pairs)
+
+
+def likeness(a: Column, b: Column, pairs: Column) -> Column:
+    """Share of the union's distinct hashes that ``pairs``, the matching of a and b, holds; 1 if both are empty."""
+    both = F.size(distinct(pairs))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(bound(both, lambda n: n / (F.size(distinct(a)) + F.size(distinct(b)) - n))).cast("double")
 
 
 def matches(a: Column, b: Column) -> Column:
-    """Positional matching: (place in a, place in b) of the anchors that two texts' anchor lists share."""
-    first = F.map_from_entries(F.transform(F.array_distinct(F.transform(b, lambda y: y["hash"])), lambda h: F.struct(h, F.array_min(F.transform(F.filter(b, lambda y: y["hash"] == h), lambda y: y["at"])))))
-    return bound(first, lambda m: F.filter(F.transform(a, lambda x: F.struct(x["at"].alias("a"), F.try_element_at(m, x["hash"]).alias("b"))), lambda p: p["b"].isNotNull()))
+    """Positional matching of two texts' anchor lists: (place in a, place in b, nth), by place in a."""
+    return F.sort_array(matched(placed(a), placed(b)))
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
@@ -99,16 +135,28 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     return marked.withColumn("after_marks", F.lead("marks").over(order)).where("guest = 0")
 
 
-def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """Fingerprint of each text and of its edited text, and their likenesses."""
+def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """Fingerprint and places of each text and of its edited text, the numbers of anchors
+    matched by place with the edited and the next text, and the likenesses."""
     parts = parts or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = with_next(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), parts)
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     d = d.select("doc_id", n.cast("long").alias("n_chars"), "marks", "after_marks", F.concat(F.left("text", n - cut), F.left("after", cut)).alias("edited"))
     d = d.select("doc_id", "n_chars", "marks", "after_marks", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_marks"))
-    return d.select("doc_id", "n_chars", "edited_sha256", written(F.col("marks")).alias("fingerprint"), written(F.col("edited_marks")).alias("edited_fingerprint"), likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"), likeness(F.col("marks"), F.col("after_marks")).alias("near_next"))
+    marks, edited, after = F.col("marks"), F.col("edited_marks"), F.col("after_marks")
+
+    def near(other: Column) -> Column:
+        return bound(matched(marks, other), lambda p: F.struct(F.size(p).cast("long").alias("n"), likeness(marks, other, p).alias("share")))
+
+    d = d.select("doc_id", "n_chars", "edited_sha256", written(marks).alias("fingerprint"), written(edited).alias("edited_fingerprint"), written_places(marks).alias("places"), written_places(edited).alias("edited_places"), near(edited).alias("edited"), near(after).alias("next"))
+    return d.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.col("edited.share").alias("near_edited"), F.col("next.share").alias("near_next"), "places", "edited_places", F.col("edited.n").alias("matched_edited"), F.col("next.n").alias("matched_next"))
+
+
+def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """Fingerprint of each text and of its edited text, and their likenesses."""
+    return compared(docs, parts).drop("places", "edited_places", "matched_edited", "matched_next")
 
 
 def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(documents(spark, sf_dir))
+    return compared(documents(spark, sf_dir))
