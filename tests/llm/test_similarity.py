@@ -114,6 +114,13 @@ def test_long_texts_keep_all_anchors(spark):
     assert got[9].near_next > 0 and got[9].matched_next >= 10 and got[9].near_edited > 0.4
 
 
+def test_four_words_have_an_anchor(spark):
+    rows = [(k, f"a{k} b{k} c{k} d{k}") for k in range(60)] + [(60, " \n")]
+    got = {r.doc_id: r for r in compared(spark.createDataFrame(rows, "doc_id long, text string"), 3).collect()}
+    assert all(len(got[k].fingerprint) == 16 and got[k].places == "0" and got[k].near_next == 0 for k in range(60))
+    assert (got[60].fingerprint, got[60].near_next) == ("", 0)
+
+
 def test_exact_search(spark):
     rng = random.Random(4)
     rows = [(i, [rng.gauss(0, 1) for _ in range(70)]) for i in range(300)]

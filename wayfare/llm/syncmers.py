@@ -9,7 +9,8 @@ the n-th anchor of a hash with the n-th of the same hash.  Their likeness is the
 share of the distinct hashes of their union that are matched, which is the chosen
 k-mers' Jaccard similarity, exact for texts of any length.
 
-With fewer than four words the whole sequence is the one anchor.  Null or blank
+With fewer than four words the whole sequence is the one anchor; the query does the
+same for four words whose one k-mer is not chosen (``always``).  Null or blank
 text has an empty fingerprint; two empty ones are alike (1.0).  Null ids come
 last in descending order; repeated ids are ordered by their text's hash.
 """
@@ -31,8 +32,8 @@ def bound(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def anchors(text: Column) -> Column:
-    """(position of the first word, hash) of every closed syncmer."""
+def anchors(text: Column, always: bool = False) -> Column:
+    """(position of the first word, hash) of every closed syncmer; ``always`` gives four words without one the whole sequence."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
 
@@ -46,7 +47,10 @@ def anchors(text: Column) -> Column:
 
     def of(h: Column) -> Column:
         none = F.array().cast("array<struct<at:int,hash:bigint>>")
-        return F.when(F.size(h) == 0, none).when(F.size(h) < K, F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(h).alias("hash")))).otherwise(bound(pairs(h), chosen))
+        whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(h).alias("hash")))
+        found = bound(pairs(h), chosen)
+        found = bound(found, lambda a: F.when(F.size(a) == 0, whole).otherwise(a)) if always else found
+        return F.when(F.size(h) == 0, none).when(F.size(h) < K, whole).otherwise(found)
 
     return bound(hashes, of)
 
@@ -67,9 +71,9 @@ def placed(anchors: Column) -> Column:
     return bound(F.sort_array(F.transform(anchors, lambda y: F.struct(y["hash"].alias("hash"), y["at"].alias("at")))), of)
 
 
-def fingerprint(text: Column) -> Column:
+def fingerprint(text: Column, always: bool = False) -> Column:
     """All anchors as (hash, nth, at), ascending."""
-    return placed(anchors(text))
+    return placed(anchors(text, always))
 
 
 def distinct(marks: Column) -> Column:
@@ -110,7 +114,7 @@ def matches(a: Column, b: Column) -> Column:
     return F.sort_array(matched(placed(a), placed(b)))
 
 
-def with_next(docs: DataFrame, parts: int) -> DataFrame:
+def with_next(docs: DataFrame, parts: int, always: bool = False) -> DataFrame:
     """Each document with ``after``, the text of the next one in descending doc_id; the first one's after the last.
 
     Ids are dealt to ``parts`` buckets by their quantiles.  A bucket's top document
@@ -131,19 +135,19 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     homes = F.when(F.col("doc_id").eqNullSafe(F.get(highest, F.col("bucket"))), F.array(F.col("bucket"), F.get(heirs, F.col("bucket")))).otherwise(F.array(F.col("bucket")))
     rows = dealt.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.posexplode(homes).alias("guest", "home"))
     order = Window.partitionBy("home").orderBy("guest", F.desc_nulls_last("doc_id"), "tie")
-    marked = rows.withColumn("after", F.lead("text").over(order)).withColumn("marks", fingerprint(F.col("text")))
+    marked = rows.withColumn("after", F.lead("text").over(order)).withColumn("marks", fingerprint(F.col("text"), always))
     return marked.withColumn("after_marks", F.lead("marks").over(order)).where("guest = 0")
 
 
-def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
+def compared(docs: DataFrame, parts: int | None = None, always: bool = True) -> DataFrame:
     """Fingerprint and places of each text and of its edited text, the numbers of anchors
     matched by place with the edited and the next text, and the likenesses."""
     parts = parts or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = with_next(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), parts)
+    d = with_next(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), parts, always)
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     d = d.select("doc_id", n.cast("long").alias("n_chars"), "marks", "after_marks", F.concat(F.left("text", n - cut), F.left("after", cut)).alias("edited"))
-    d = d.select("doc_id", "n_chars", "marks", "after_marks", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_marks"))
+    d = d.select("doc_id", "n_chars", "marks", "after_marks", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("edited"), always).alias("edited_marks"))
     marks, edited, after = F.col("marks"), F.col("edited_marks"), F.col("after_marks")
 
     def near(other: Column) -> Column:
@@ -154,8 +158,8 @@ def compared(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """Fingerprint of each text and of its edited text, and their likenesses."""
-    return compared(docs, parts).drop("places", "edited_places", "matched_edited", "matched_next")
+    """Fingerprint of each text and of its edited text, and their likenesses, from closed syncmers alone."""
+    return compared(docs, parts, always=False).drop("places", "edited_places", "matched_edited", "matched_next")
 
 
 def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
