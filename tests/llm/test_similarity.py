@@ -72,6 +72,22 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     assert got == plain_components(rows)
 
 
+def test_near_duplicates_at_other_thresholds(spark):
+    """Copies of similarity 0.80 to 0.85 go at 80 and stay at 85, op5's own."""
+    rng, rows = random.Random(3), []
+    for k in range(40):
+        words = [f"w{k}_{i}" for i in range(104)]
+        copy = words[: 104 - rng.choice([16, 19, 20, 21, 24])]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = {d: sets_of(t) for d, t in rows}
+    share = {d: len(sets[d] & sets[d + 1]) / len(sets[d] | sets[d + 1]) for d in range(0, 80, 2)}
+    for percent, stays in ((85, one_of_each(docs)), (80, one_of_each(docs, 80))):
+        want = {d for d, _ in rows if d % 2 == 0 or 100 * share[d - 1] < percent}
+        assert {r.doc_id for r in stays.collect()} == want
+    assert {0.8, 0.81} <= set(share.values()) and min(share.values()) < 0.8
+
+
 def test_fingerprints(spark):
     rows = list(enumerate(made_texts()))
     docs = spark.createDataFrame([(d, t, "y") for d, t in rows], "doc_id long, text string, marks string").repartition(5)

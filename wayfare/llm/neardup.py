@@ -37,11 +37,10 @@ from pyspark.sql import functions as F
 from wayfare.llm.common import LOWER_AZ, documents, store
 from wayfare.llm.graph import components
 
+#: ``PERCENT`` is op5's threshold; other callers give their own.
 WIDTH, PERCENT = 5, 85
 ROWS, BANDS = 4, 24
 SAMPLES, SKETCH_WORDS = ROWS * BANDS, 8
-#: Pairs estimated below this are dropped unverified.
-LEAST_ESTIMATE = 0.6
 ROUNDS = 2
 #: Shingles in a block of a cluster (8 bytes each).
 BLOCK = 4_000_000
@@ -113,9 +112,15 @@ def odd_sketches(mins: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
 
 
-def most_bits(estimate: float = LEAST_ESTIMATE) -> int:
-    """The XOR count at which the estimated similarity falls to ``estimate``."""
-    size = 64 * SKETCH_WORDS
+def least_estimate(percent: int) -> float:
+    """Pairs estimated below this, some seven deviations under the threshold, are dropped unverified."""
+    share = percent / 100
+    return round(share - 7 * float(np.sqrt(share * (1 - share) / SAMPLES)), 1)
+
+
+def most_bits(percent: int) -> int:
+    """The XOR count at which the estimated similarity falls to the least that ``percent`` allows."""
+    size, estimate = 64 * SKETCH_WORDS, least_estimate(percent)
     return int(np.ceil(size / 2 * (1 - np.exp(-4 * SAMPLES * (1 - estimate) / size))))
 
 
@@ -156,8 +161,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "cls binary, items binary").dropDuplicates(["cls"])
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the pairs (a, b), those with 100 * intersection >= PERCENT * union of their full sets."""
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those with 100 * intersection >= percent * union of their full sets."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,7 +170,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(b.column(2), b.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("cls").alias("a"), F.col("items").alias("items_a"))
@@ -173,15 +178,15 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "items_a", "items_b").mapInArrow(run, "a binary, b binary")
 
 
-def proposed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def proposed(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose set sizes and odd sketches allow the threshold."""
     side = lambda x: classes.select(F.col("cls").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     apart = sum((F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("s_a")[0].bitwiseXOR(F.col("s_b")[0])))
-    near = (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")) & (apart <= most_bits())
+    near = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (apart <= most_bits(percent))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(near).select("a", "b")
 
 
-def joining_links(group: list[dict], cross: bool) -> Iterator[tuple[bytes, bytes]]:
+def joining_links(group: list[dict], cross: bool, percent: int) -> Iterator[tuple[bytes, bytes]]:
     """Links between members of different components; each found one merges the two.
 
     Members: cls, root, block, sketch, items.  With ``cross`` only pairs of two blocks count.
@@ -196,21 +201,21 @@ def joining_links(group: list[dict], cross: bool) -> Iterator[tuple[bytes, bytes
     root = np.array([names[r["root"]] for r in group])
     place = np.arange(len(group))
     for i in range(len(group)):
-        near = (place > i) & (root != root[i]) & (100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i]))
+        near = (place > i) & (root != root[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
         js = np.flatnonzero(near & (block != block[i]) if cross else near)
         if not len(js):
             continue
         apart = np.bitwise_count(sketch[js] ^ sketch[i]).sum(1)
-        keep = apart <= most_bits()
+        keep = apart <= most_bits(percent)
         for j in js[keep][np.argsort(apart[keep], kind="stable")].tolist():
             if root[j] != root[i]:
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= PERCENT * (size[i] + size[j] - both):
+                if 100 * both >= percent * (size[i] + size[j] - both):
                     root[root == root[j]] = root[i]
                     yield group[i]["cls"], group[j]["cls"]
 
 
-def links_within(members: DataFrame) -> DataFrame:
+def links_within(members: DataFrame, percent: int) -> DataFrame:
     """Links that join components, for members (cluster, cls, root, n_shingles, sketch, items)."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -220,7 +225,7 @@ def links_within(members: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, i, j), group in groupby(rows(batches), key=lambda r: (r["cluster"], r["i"], r["j"])):
-            if found := list(joining_links(list(group), i != j)):
+            if found := list(joining_links(list(group), i != j, percent)):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
 
     blocks = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
@@ -236,8 +241,8 @@ def open_buckets(labels: DataFrame) -> DataFrame:
     return labels.groupBy("key").agg(F.min(F.struct("root", "cls")).alias("lo"), F.max(F.struct("root", "cls")).alias("hi")).where("lo.root <> hi.root")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: set size, the smallest doc_id it reaches by links, and whether it is that one;
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per document: set size, the smallest doc_id it reaches by links of ``percent`` or more, and whether it is that one;
     ``text_hash`` tells rows of equal id apart."""
     found = store(signatures(docs), "signatures")
     full = found.where("cls is not null")
@@ -253,7 +258,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         # from the low end first and from the high end next, where components are small
         ends = open_buckets(labels).select("key", (F.col("hi") if step % 2 else F.col("lo")).alias("pivot"))
         pairs = labels.join(ends, "key").where("root <> pivot.root").select(F.least("pivot.cls", "cls").alias("a"), F.greatest("pivot.cls", "cls").alias("b")).distinct()
-        new = store(confirm(proposed(pairs, classes), sets), "confirmed")
+        new = store(confirm(proposed(pairs, classes, percent), sets, percent), "confirmed")
         links = new if links is None else links.union(new)
         roots = store(components(links), "roots")
         labels = rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root"))
@@ -262,7 +267,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not apart.isEmpty():
         clusters = components(apart.select(F.col("pivot").alias("a"), F.col("cls").alias("b"))).withColumnsRenamed({"node": "cls", "root": "cluster"})
         members = apart.select("cls", "root").distinct().join(clusters, "cls").join(classes.select("cls", "n_shingles", "sketch"), "cls").join(sets, "cls")
-        roots = store(components(links.union(links_within(members))), "roots")
+        roots = store(components(links.union(links_within(members, percent))), "roots")
     top = classes.join(roots, classes.cls == roots.node).groupBy("root").agg(F.min("least").alias("component"))
     member = roots.join(top, "root").select(F.col("node").alias("cls"), "component")
     out = found.select("doc_id", "text_hash", "n_shingles", "cls").join(classes.select("cls", "least"), "cls", "left").join(member, "cls", "left")
@@ -270,9 +275,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents less all but one of each group of near-duplicates, all columns."""
-    found = near_duplicates(docs).where("kept")
+    found = near_duplicates(docs, percent).where("kept")
     group = F.coalesce("component_id", "text_hash")
     stays = found.groupBy("doc_id", group.alias("g")).agg(F.min("text_hash").alias("text_hash")).select(F.col("doc_id").alias("k_doc"), F.col("text_hash").alias("k_hash")).distinct()
     rows = docs.withColumn("k_text", F.xxhash64("text"))
