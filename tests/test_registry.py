@@ -46,6 +46,18 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
+def test_whole_tables(spark):
+    orders, customers = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "customer"))
+    got = {n: entry.QUERIES[n](spark, SF) for n in NAMES if n.endswith("_whole")}
+    assert len(got) == 5
+    assert got["D-G9_calendar_exceptions_whole"].count() == orders.count()
+    assert got["D-G8_calendar_long_whole"].select("service_id").distinct().count() == orders.count()
+    keys = [r.o_custkey for r in orders.select("o_custkey").distinct().collect()]
+    for n in ("J-5_match_ranges_whole", "J-13_as_of_version_whole"):
+        rows = got[n].collect()
+        assert max(r.point for r in rows) > 40 and {r.point for r in rows} <= set(keys) and len(rows) <= 2 * customers.count()
+
+
 def test_names():
     assert all(re.match(r"[A-Z]+(-[A-Z]*\d+)+_|op\d+_|pipeline", n) for n in entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -30,10 +30,10 @@ def expand_ranges(df: DataFrame, start: str, end: str, out: str, unit: str = "da
     return df.where(F.col(start) <= F.col(end)).withColumn(out, F.explode(steps))
 
 
-def match_ranges(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str) -> DataFrame:
-    """Points joined to the closed date ranges that hold them, by equal days rather than by comparison."""
+def match_ranges(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, on: tuple[str, ...] = ()) -> DataFrame:
+    """Points joined to the closed date ranges that hold them, by equal days (and keys) rather than by comparison."""
     days = expand_ranges(ranges.withColumns({"_s": F.col(start).cast("date"), "_e": F.col(end).cast("date")}), "_s", "_e", "_day").drop("_s", "_e")
-    return points.withColumn("_day", F.col(point).cast("date")).join(days, "_day").where(F.col(point).between(F.col(start), F.col(end))).drop("_day")
+    return points.withColumn("_day", F.col(point).cast("date")).join(days, ["_day", *on]).where(F.col(point).between(F.col(start), F.col(end))).drop("_day")
 
 
 def within_box(a: DataFrame, b: DataFrame, on: list[str], a_at: tuple[str, str], b_at: tuple[str, str], radius_m: float = 300.0) -> DataFrame:
@@ -90,9 +90,9 @@ def align_nth(a: DataFrame, b: DataFrame, keys: list[str], a_order: Sequence[Col
     return n(a, a_order).join(n(b, b_order), [*keys, "nth"], how)
 
 
-def as_of_version(points: DataFrame, versions: DataFrame, keys: list[str], point: str, start: str, end: str, order: list[Column], ready: Column | None = None) -> DataFrame:
+def as_of_version(points: DataFrame, versions: DataFrame, keys: list[str], point: str, start: str, end: str, order: list[Column], ready: Column | None = None, on: tuple[str, ...] = ()) -> DataFrame:
     """For each point, the first by ``order`` of the versions that hold it and were ready in time."""
-    found = match_ranges(points, versions, point, start, end)
+    found = match_ranges(points, versions, point, start, end, on)
     found = found if ready is None else found.where(ready)
     return found.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 

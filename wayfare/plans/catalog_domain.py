@@ -214,9 +214,15 @@ l AS (SELECT id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS
 x AS (SELECT id, a + CAST(id % 25 AS INT) AS day, CASE WHEN id % 2 = 0 THEN TRUE ELSE FALSE END AS has FROM k)"""
 
 
-def calendars(s, d) -> tuple[DataFrame, DataFrame]:
+# the same over all orders
+WHOLE_CALENDAR = """WITH k AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INT) AS b FROM orders),
+l AS (SELECT id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM k), m AS (SELECT id, day, (id + isodow(day)) % 3 <> 0 AS has FROM l),
+x AS (SELECT id, a + CAST(id % 25 AS INT) AS day, CASE WHEN id % 2 = 0 THEN TRUE ELSE FALSE END AS has FROM k)"""
+
+
+def calendars(s, d, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     k, start = c("o_orderkey"), day("o_orderdate")
-    o = table(s, d, "orders").where("o_custkey % 5 = 0")
+    o = table(s, d, "orders") if whole else table(s, d, "orders").where("o_custkey % 5 = 0")
     flags = [((k + i + 1) % 3 != 0).alias(w) for i, w in enumerate(schedule.WEEKDAYS)]
     calendar = o.select(F.lit("f").alias("_feed_hash"), k.alias("service_id"), start.alias("start_date"), F.date_add(start, (k % 20).cast("int")).alias("end_date"), *flags)
     dates = o.select(F.lit("f").alias("_feed_hash"), k.alias("service_id"), F.date_add(start, (k % 25).cast("int")).alias("date"), F.when(k % 2 == 0, 1).otherwise(2).alias("exception_type"))
@@ -239,6 +245,22 @@ def daily_services(s, d):
     return plain(schedule.daily_services(schedule.calendar_long(calendar), schedule.calendar_exceptions(dates)).drop("_feed_hash"), "service_date")
 
 
+@query("D-G8_calendar_long_whole", WHOLE_CALENDAR + " SELECT id AS service_id, strftime(day, '%Y-%m-%d') AS service_date, has AS has_service FROM m")
+def calendar_long_whole(s, d):
+    return plain(schedule.calendar_long(calendars(s, d, whole=True)[0]).drop("_feed_hash"), "service_date")
+
+
+@query("D-G9_calendar_exceptions_whole", WHOLE_CALENDAR + " SELECT id AS service_id, strftime(day, '%Y-%m-%d') AS service_date, has AS has_service FROM x")
+def calendar_exceptions_whole(s, d):
+    return plain(schedule.calendar_exceptions(calendars(s, d, whole=True)[1]).drop("_feed_hash"), "service_date")
+
+
+@query("D-G10_daily_services_whole", WHOLE_CALENDAR + " SELECT coalesce(m.id, x.id) AS service_id, strftime(coalesce(m.day, x.day), '%Y-%m-%d') AS service_date FROM m FULL OUTER JOIN x ON m.id = x.id AND m.day = x.day WHERE coalesce(x.has, m.has)")
+def daily_services_whole(s, d):
+    calendar, dates = calendars(s, d, whole=True)
+    return plain(schedule.daily_services(schedule.calendar_long(calendar), schedule.calendar_exceptions(dates)).drop("_feed_hash"), "service_date")
+
+
 @query("D-G12_trip_summary", """
 SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, count(*) AS num_scheduled_stops, count(DISTINCT l_suppkey) AS num_distinct_stops_serviced, arg_min(l_suppkey, (l_linenumber, l_suppkey)) AS first_scheduled_stop_id, arg_max(l_suppkey, (l_linenumber, l_suppkey)) AS last_scheduled_stop_id,
   bool_or(l_partkey % 2 <> 1) AS has_rider_service, CAST(min(l_linenumber * 100) AS BIGINT) AS first_arrival, CAST(max(l_linenumber * 100 + 30) AS BIGINT) AS last_departure FROM lineitem GROUP BY l_orderkey""")
