@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+from wayfare.llm import classlm
 from wayfare.llm.classlm import score_documents
 
 
@@ -32,3 +33,19 @@ def test_scores(spark):
     assert score_documents(docs.limit(0)).count() == 0
     null = score_documents(docs.selectExpr("cast(null as long) doc_id", "text").limit(2)).collect()
     assert len(null) == 2 and all(r.held_out for r in null)
+
+
+def test_all_training_words_move_however_they_are_dealt(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    seen, plain = [], classlm.gathered
+    monkeypatch.setattr(classlm, "gathered", lambda chunks, moved, words_too: (seen.append(moved.count()), plain(chunks, moved, words_too))[1])
+    parts, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("2", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got.append({r.doc_id: r.score for r in score_documents(docs).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    learned = [r.text for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 10]
+    assert set(seen) == {len({w for t in learned for w in split(t)} - {"\n"})}
+    assert all(abs(got[0][d] - got[1][d]) <= 1e-9 * abs(got[0][d]) for d in got[0])

@@ -5,12 +5,12 @@ numbered word list, so that what a chunk must learn about its words (count, clas
 is one row per distinct word of the chunk and never one per token, and no table of
 all words is ever broadcast.
 
-Classes start from a word's ending.  In each exchange round every word counted
-``EXCHANGED`` times or more gathers the classes before and after it from all
-training documents; tasks hold the class-pair counts (``CLASSES`` squared numbers),
-move each word to the class that raises the class bigram likelihood most, and
-update their own copy of the counts after every ``TOGETHER`` words.  Rarer and unseen words keep their
-ending's class.  The model's probability of a token is
+Classes start from a word's ending.  In each exchange round every training word
+gathers the classes before and after it from all training documents; tasks hold the
+round's class-pair counts (``CLASSES`` squared numbers) and move each word to the class
+that raises the class bigram likelihood most.  All words of a round move against the
+same counts, so classes do not depend on how words are dealt to tasks.  Unseen words
+keep their ending's class.  The model's probability of a token is
 P(class | class before) * P(word | class), both smoothed by additive constants;
 each class also has mass for one unseen word.
 
@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.common import LOWER_AZ, documents, store
 
-CLASSES, ROUNDS, EXCHANGED = 32, 2, 8
+CLASSES, ROUNDS = 32, 2
 CHUNK_BYTES = 16 << 20
-#: Words that a task moves at a time against the same counts.
-TOGETHER = 128
+#: Words that a task works on at a time; it does not change what comes out.
+TOGETHER = 1024
 #: The end of a document; no word holds a line break.  Its class is its own.
 END = b"\n"
 ALPHA = 0.1
@@ -143,14 +143,12 @@ def gathered(chunk_table: DataFrame, moved: DataFrame, words_too: bool) -> DataF
                 word = which[flat]
                 place = np.flatnonzero(learned & (word >= 0))  # a word never ends a document: the end does
                 row_of = word[place].astype(np.int64) * (2 * _WIDE)
-                around = np.bincount(row_of + before[place], minlength=len(at) * 2 * _WIDE)
-                around += np.bincount(row_of + _WIDE + now[place + 1], minlength=len(at) * 2 * _WIDE)
-                cell = np.flatnonzero(around)
+                cell, around = np.unique(np.concatenate([row_of + before[place], row_of + _WIDE + now[place + 1]]), return_counts=True)
                 ends = np.searchsorted(cell, np.arange(len(at) + 1) * 2 * _WIDE).astype(np.int32)
                 some = np.flatnonzero(ends[1:] > ends[:-1])
                 bounds = np.append(ends[some], len(cell)).astype(np.int32)
                 packed = lambda values, size, o=bounds, n=len(some): pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(o * np.int32(size)), pa.py_buffer(values.tobytes())])
-                made = [row.column("words").flatten().take(pa.array(at[some])), pa.array(known[some], pa.int32()), packed((cell % (2 * _WIDE)).astype(np.uint8), 1), packed(around[cell].astype("<u4"), 4), pa.nulls(len(some), pa.list_(pa.int64()))]
+                made = [row.column("words").flatten().take(pa.array(at[some])), pa.array(known[some], pa.int32()), packed((cell % (2 * _WIDE)).astype(np.uint8), 1), packed(around.astype("<u4"), 4), pa.nulls(len(some), pa.list_(pa.int64()))]
                 whole = pa.RecordBatch.from_arrays(made, names)
                 yield from (whole.slice(k, 20_000) for k in range(0, len(some), 20_000))
 
@@ -177,16 +175,19 @@ def moves(n: np.ndarray, old: np.ndarray, before: np.ndarray, after: np.ndarray)
 
     ``before`` and ``after`` count the classes around each word; ``n`` holds all class pairs.
     """
-    each = np.arange(len(old))
-    rest = np.broadcast_to(n, (len(old), *n.shape)).copy()
-    rest[each, old] -= after
-    rest[each, :, old] -= before
-    now = xlogx(rest)
-    gain = (xlogx(rest + after[:, None, :]) - now).sum(2) + (xlogx(rest + before[:, :, None]) - now).sum(1)
-    for axis, around in ((2, after), (1, before)):
-        total = rest.sum(axis)
+    gain = np.zeros((len(old), CLASSES))
+    classes = np.arange(CLASSES)
+    for pairs, around, other in ((n, after, before), (n.T, before, after)):
+        # pairs[c, d]: a word of class c would stand next to class d; only classes around the word count
+        word, d = np.nonzero(around)
+        out_of = old[word]
+        rest = pairs[:CLASSES, d].T - (classes == out_of[:, None]) * around[word, d][:, None] - (d == out_of)[:, None] * other[word, :CLASSES]
+        rows, first = np.unique(word, return_index=True)
+        if len(rows):
+            gain[rows] += np.add.reduceat(xlogx(rest + around[word, d][:, None]) - xlogx(rest), first)
+        total = pairs.sum(1)[:CLASSES] - (classes == old[:, None]) * around.sum(1)[:, None] - other[:, :CLASSES]
         gain -= xlogx(total + around.sum(1)[:, None]) - xlogx(total)
-    return np.argmax(gain[:, :CLASSES], axis=1)
+    return np.argmax(gain, axis=1)
 
 
 def exchanged(found: DataFrame, pairs: np.ndarray) -> DataFrame:
@@ -222,15 +223,10 @@ def exchanged(found: DataFrame, pairs: np.ndarray) -> DataFrame:
             yield held
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = pairs.copy()
         for words, classes, counts in merged(batches):
             for k in range(0, len(words), TOGETHER):
                 old, around = classes[k : k + TOGETHER], counts[k : k + TOGETHER]
-                before, after = around[:, :_WIDE], around[:, _WIDE:]
-                new = moves(n, old, before, after)
-                for cls, sign in ((old, -1), (new, 1)):
-                    np.add.at(n, cls, sign * after)
-                    np.add.at(n.T, cls, sign * before)
+                new = moves(pairs, old, around[:, :_WIDE], around[:, _WIDE:])
                 yield pa.RecordBatch.from_arrays([words.slice(k, TOGETHER), pa.array(new, pa.int32())], ["word", "cls"])
 
     words = found.where("word is not null").select("word", "cls", "side", "n").repartition("word").sortWithinPartitions("word")
@@ -242,7 +238,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     entries = chunk_table.select(F.explode(F.arrays_zip("words", "counts", "first")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"), F.col("w.first").alias("first"))
     words = store(entries.groupBy("word").agg(F.sum("c").alias("c"), F.first("first").alias("first")), "words")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    moved = words.where((F.col("c") >= EXCHANGED) & (F.col("word") != F.lit(bytearray(END)))).select("word", F.col("first").alias("cls"))
+    moved = words.where((F.col("c") > 0) & (F.col("word") != F.lit(bytearray(END)))).select("word", F.col("first").alias("cls"))
     for _ in range(rounds):
         found = gathered(chunk_table, moved, True)
         moved = exchanged(found, pair_counts(found))
