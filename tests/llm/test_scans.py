@@ -91,6 +91,13 @@ def test_bpe_matches_the_library(docs):
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_running_text(spark):
+    rows = [(0, "one two, three"), (1, "äöß 中国😀 x"), (2, ""), (3, "a " * 70000), (4, None)]
+    want = {0: "one two , three ", 1: "äöß 中国 😀 x ", 2: "", 3: "a " * 70000, 4: ""}
+    got = {r.doc_id: r.running_sha256 for r in bpe_digest(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()}
+    assert got == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in want.items()}
+
+
 def test_bpe_streams_in_constant_memory():
     m = Encoder(PATH).merges
     word = "".join(random.Random(2).choices("abcdetinghx", k=20000)).encode()

@@ -35,7 +35,7 @@ SPACE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u30
 #: The vocabulary's own word pattern; fixed value, from its file.
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 END = "</w>"
-SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, running_sha256 string"
 #: Words kept in a worker's memory before the table starts again.
 CACHE_WORDS = 300_000
 
@@ -223,10 +223,11 @@ def encoder(path: str) -> Encoder:
 
 
 def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: number of ids, digest of the ids, digest of their decoded form.
+    """Per document: number of ids, digest of the ids, digest of their decoded form,
+    digest of their running text.
 
     The vocabulary names no decoder, so its decoded form is the tokens' names
-    joined by spaces; :class:`TextDecoder` gives running text instead.
+    joined by spaces; :class:`TextDecoder` gives the running text.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,12 +238,15 @@ def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
             for text in batch.column(1):
                 ids = enc.encode(text.as_py() or "")
                 back = np.frombuffer(ids, "<u4")
-                digest = hashlib.sha256()
+                digest, running, decoder = hashlib.sha256(), hashlib.sha256(), TextDecoder(enc.merges)
                 for i in range(0, len(back), 65536):
-                    digest.update(b" " * (i > 0) + b" ".join(map(names.__getitem__, back[i : i + 65536].tolist())))
-                out.append((len(back), hashlib.sha256(ids).hexdigest(), digest.hexdigest()))
-            n, a, b = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    some = back[i : i + 65536].tolist()
+                    digest.update(b" " * (i > 0) + b" ".join(map(names.__getitem__, some)))
+                    running.update(decoder.push(some).encode())
+                running.update(decoder.finish().encode())
+                out.append((len(back), hashlib.sha256(ids).hexdigest(), digest.hexdigest(), running.hexdigest()))
+            n, a, b, c = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "running_sha256"])
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, SCHEMA)
 
