@@ -36,11 +36,11 @@ def sets_of(text):
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
 
 
-def plain_components(rows):
+def plain_components(rows, percent=85):
     sets = {d: sets_of(t) for d, t in rows}
     root = {d: d for d in sets}
     changed = True
-    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     while changed:
         changed = False
         for a, b in links:

@@ -34,7 +34,7 @@ def test_repeats(spark):
     docs = spark.createDataFrame([(d, t, 1, "k") for d, t in rows], "doc_id long, text string, n int, key string").repartition(4)
     want = brute([(d, (t or "").encode()) for d, t in rows])
     for large in (20_000, 2):
-        assert sorted(map(tuple, remove_repeats(docs, large).collect()), key=str) == want
+        assert sorted(map(tuple, remove_repeats(docs, large=large).collect()), key=str) == want
     assert remove_repeats(docs.limit(0)).count() == 0
 
 

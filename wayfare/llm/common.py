@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: A-Z to a-z on UTF-8 bytes; every other byte stays.
 LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+#: Spark's setting by which a query's shuffle files go when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -31,8 +34,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
+    """Write ``df`` to the shared folder and read it back, which cuts its lineage.
+
+    The shuffle files of the write go as soon as it has ended; the folder stays until :func:`drop`.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables whose last reader has been written or collected."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

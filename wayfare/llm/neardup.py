@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import LOWER_AZ, documents, store
+from wayfare.llm.common import LOWER_AZ, documents, drop, store
 from wayfare.llm.graph import components
 
 #: ``PERCENT`` is op5's threshold; other callers give their own.
@@ -247,12 +247,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = store(signatures(docs), "signatures")
     full = found.where("cls is not null")
     classes = store(full.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
-    rows = classes.select("cls", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
-    rows = store(rows.join(shared.select("key"), "key"), "buckets")
+    slim = store(found.select("doc_id", "text_hash", "n_shingles", "cls"), "documents")
+    drop(found)
+    held = classes.select("cls", F.explode("bands").alias("key"))
+    shared = held.groupBy("key").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
+    rows = store(held.join(shared.select("key"), "key"), "buckets")
     wanted = rows.select("cls").distinct().join(classes, "cls").select("one.doc_id", "one.text_hash", "cls")
     sets = store(shingle_sets(docs, wanted), "sets")
-    labels, links = rows.select("cls", "key", F.col("cls").alias("root")), None
+    labels, links, done = rows.select("cls", "key", F.col("cls").alias("root")), None, []
     for step in range(ROUNDS):
         # a bucket with one component is done; else its pivot is the smallest member of one component,
         # from the low end first and from the high end next, where components are small
@@ -260,29 +262,37 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = labels.join(ends, "key").where("root <> pivot.root").select(F.least("pivot.cls", "cls").alias("a"), F.greatest("pivot.cls", "cls").alias("b")).distinct()
         new = store(confirm(proposed(pairs, classes, percent), sets, percent), "confirmed")
         links = new if links is None else links.union(new)
-        roots = store(components(links), "roots")
-        labels = rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root"))
+        roots = components(links)
+        labels = store(rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root")), "labels")
+        done += [new, roots, labels]
     apart = labels.join(open_buckets(labels).select("key", F.col("lo.cls").alias("pivot")), "key")
     apart = store(apart.select("cls", "root", "pivot").distinct(), "apart")
+    done.append(apart)
     if not apart.isEmpty():
-        clusters = components(apart.select(F.col("pivot").alias("a"), F.col("cls").alias("b"))).withColumnsRenamed({"node": "cls", "root": "cluster"})
-        members = apart.select("cls", "root").distinct().join(clusters, "cls").join(classes.select("cls", "n_shingles", "sketch"), "cls").join(sets, "cls")
-        roots = store(components(links.union(links_within(members, percent))), "roots")
+        clusters = components(apart.select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
+        members = apart.select("cls", "root").distinct().join(clusters.withColumnsRenamed({"node": "cls", "root": "cluster"}), "cls").join(classes.select("cls", "n_shingles", "sketch"), "cls").join(sets, "cls")
+        new = store(links_within(members, percent), "within")
+        roots = components(links.union(new))
+        done += [clusters, new, roots]
     top = classes.join(roots, classes.cls == roots.node).groupBy("root").agg(F.min("least").alias("component"))
     member = roots.join(top, "root").select(F.col("node").alias("cls"), "component")
-    out = found.select("doc_id", "text_hash", "n_shingles", "cls").join(classes.select("cls", "least"), "cls", "left").join(member, "cls", "left")
-    out = out.select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "least", "doc_id").alias("component_id"))
+    out = slim.join(classes.select("cls", "least"), "cls", "left").join(member, "cls", "left")
+    out = store(out.select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "least", "doc_id").alias("component_id")), "neardup")
+    drop(classes, rows, slim, sets, *done)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents less all but one of each group of near-duplicates, all columns."""
+    """The documents less all but one of each group of near-duplicates, all columns.
+
+    Rows of equal id and text are one document, whatever else they hold: one of them stays.
+    """
     found = near_duplicates(docs, percent).where("kept")
     group = F.coalesce("component_id", "text_hash")
-    stays = found.groupBy("doc_id", group.alias("g")).agg(F.min("text_hash").alias("text_hash")).select(F.col("doc_id").alias("k_doc"), F.col("text_hash").alias("k_hash")).distinct()
-    rows = docs.withColumn("k_text", F.xxhash64("text"))
-    rows = rows.join(stays, rows.doc_id.eqNullSafe(stays.k_doc) & (rows.k_text == stays.k_hash), "left_semi")
-    return rows.dropDuplicates(["doc_id", "k_text"]).select(*docs.columns)
+    stays = found.groupBy("doc_id", group.alias("group")).agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct()
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"))
+    rows = rows.join(stays, rows.doc_id.eqNullSafe(stays.doc_id) & (rows.text_hash == stays.text_hash), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
 
 
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
