@@ -2,13 +2,15 @@
 
 quality     documents that the ordinal classifier rejects go
 neardup     one document of each group of near-duplicates stays
-substrings  byte strings of 400 that occur elsewhere are cut out
+substrings  passages of over 50 words (or 400 bytes) that occur elsewhere are cut out
 pii         personal data is replaced by its kind in brackets
 packing     every document is cut into power-of-two sequences
 
 Each stage works on all that its predecessor kept and returns the columns of
 ``documents``, but the last, which returns the pieces.  A cut may split a character;
-its remaining bytes go.  ``n_chars`` follows the text.  Null texts stay null.
+its remaining bytes go.  ``n_chars``, if there, follows the text.  Null texts stay null;
+an empty table gives no pieces; further columns, whatever their names, stay as they are.
+Repeated rows, and rows of equal id and text, are one document after the second stage.
 """
 
 from __future__ import annotations
@@ -18,26 +20,40 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfare.llm import neardup, packing, pii, quality, substrings
 from wayfare.llm.common import documents, store
 
 #: SQL has no form for the classifier or the tokens; the stages are tested against brute force.
 ORACLE_SQL = None
+#: Near-duplicates are five-word shingle sets that are so many hundredths alike.
+SIMILAR = 80
+#: Strings of so many bytes that occur again are found; a run of them goes if it has more than so many words, or 400 bytes.
+REPEATED_BYTES, REPEATED_WORDS = 240, 50
 
 
-def rewritten(docs: DataFrame, change: Callable[..., str], *more: str) -> DataFrame:
-    """``docs`` with each text changed by ``change(text, *more columns)``; the columns in ``more`` go."""
-    columns = [c for c in docs.columns if c not in more]
+def rewritten(docs: DataFrame, change: Callable[..., str], found: DataFrame | None = None) -> DataFrame:
+    """``docs`` with each text changed by ``change(text)``, or by ``change(text, spans)`` with the spans ``found`` for it."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"))
+    rows = rows.withColumn("spans", F.lit(None)) if found is None else substrings.on_doc(rows, found, "left")
+    place, plain = docs.columns.index("text"), found is None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            given = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("text", *more)]
-            made = pa.array([None if x[0] is None else change(*x) for x in zip(*given, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([made if c == "text" else b.column(b.schema.get_field_index(c)) for c in columns], columns)
+            texts, spans = b.column(0).field(place).to_pylist(), b.column(1).to_pylist()
+            made = [t if t is None or not (plain or s) else change(t) if plain else change(t, s) for t, s in zip(texts, spans, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.string())], ["row", "made"])
 
-    out = docs.mapInArrow(run, docs.select(columns).schema)
-    return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    kinds = StructType([StructField("row", docs.schema), StructField("made", StringType())])
+    out = rows.select("row", "spans").mapInArrow(run, kinds)
+    length = {"n_chars": F.coalesce(F.length("made"), F.lit(0)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return out.select(*(length[c].alias(c) if c in length else F.col("made").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+
+
+def a_passage(run: bytes) -> bool:
+    """Whether a repeated run is long enough to go: over 50 words, or 400 bytes."""
+    return len(run) >= substrings.LENGTH or len(run.split()) > REPEATED_WORDS
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +61,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.one_of_each(docs)
+    return neardup.one_of_each(docs, SIMILAR)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.withColumn("text_hash", F.xxhash64("text"))
-    found = substrings.on_doc(rows, substrings.repeated_spans(docs), "left").drop("text_hash")
-    return rewritten(found, lambda text, spans: substrings.cut(text.encode(), spans)[0].decode(errors="ignore") if spans else text, "spans")
+    found = substrings.repeated_spans(docs, REPEATED_BYTES)
+    return rewritten(docs, lambda text, spans: substrings.cut(text.encode(), spans, a_passage)[0].decode(errors="ignore"), found)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
