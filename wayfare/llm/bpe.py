@@ -18,10 +18,11 @@ import codecs
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 END = "</w>"
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, running_sha256 string"
 #: Words kept in a worker's memory before the table starts again.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 
 def byte_symbols() -> list[str]:
@@ -63,6 +64,8 @@ class Merges:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         rules = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.pairs = {(a, b): (rank, made) for rank, (a, b, made) in reversed(list(enumerate(rules)))}
+        self.ranks = {pair: rank for pair, (rank, _) in self.pairs.items()}
+        self.made = [made for _, _, made in rules]
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + END] for s in symbols]
@@ -74,19 +77,19 @@ class Merges:
 
     def merge(self, ids: list[int]) -> list[int]:
         """All merges, lowest rank first and leftmost among equals."""
-        pairs = self.pairs
         if len(ids) < 64:
-            none = (1 << 30, 0)
-            next_to = [pairs.get(p, none) for p in zip(ids, ids[1:], strict=False)]
-            while next_to and (best := min(next_to))[0] < 1 << 30:
-                i = next_to.index(best)
-                ids[i : i + 2] = [best[1]]
-                del next_to[i]
-                if i < len(next_to):
-                    next_to[i] = pairs.get((ids[i], ids[i + 1]), none)
+            rank, made, none = self.ranks.get, self.made, len(self.made)
+            ranks = list(map(rank, zip(ids, ids[1:], strict=False), repeat(none)))
+            while ranks and (best := min(ranks)) < none:
+                i = ranks.index(best)
+                ids[i : i + 2] = [made[best]]
+                del ranks[i]
+                if i < len(ranks):
+                    ranks[i] = rank((ids[i], ids[i + 1]), none)
                 if i:
-                    next_to[i - 1] = pairs.get((ids[i - 1], ids[i]), none)
+                    ranks[i - 1] = rank((ids[i - 1], ids[i]), none)
             return ids
+        pairs = self.pairs
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*pairs[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in pairs]
@@ -167,6 +170,11 @@ class TextDecoder:
         return self.state.decode(b"", final=True)
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder(dict):
     """Stretch of text without spaces -> its ids as little-endian unsigned 32-bit bytes."""
 
@@ -180,24 +188,25 @@ class Encoder(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
             self.words.clear()
-        ids = array("I")
-        for k, part in enumerate(self.marks.split(stretch) if self.marks else [stretch]):
+        out, word = b"", self.words.get
+        parts = self.marks.split(stretch) if any(m in stretch for m in self.merges.special) else [stretch]
+        for k, part in enumerate(parts):
             if k % 2:
-                ids.append(self.merges.special[part])
+                out += packed([self.merges.special[part]])
             elif part:
-                for word in self.pattern.findall(normal(part)):
-                    ids.extend(self.words.get(word) or self.word(word))
-        out = np.asarray(ids, "<u4").tobytes()
+                out += b"".join([word(w) or self.word(w) for w in self.pattern.findall(normal(part))])
         if len(stretch) <= 64:
             self[stretch] = out
         return out
 
-    def word(self, word: str) -> list[int]:
-        t, raw = Transducer(self.merges), word.encode()
-        ids = [x for i in range(0, len(raw), 4096) for x in t.push(raw[i : i + 4096])] + t.finish()
-        if len(word) <= 64:
-            self.words[word] = ids
-        return ids
+    def word(self, word: str) -> bytes:
+        m, raw = self.merges, word.encode()
+        if len(word) > 64:
+            t = Transducer(m)
+            return b"".join([*(packed(list(t.push(raw[i : i + 4096]))) for i in range(0, len(raw), 4096)), packed(t.finish())])
+        # a word that no window would cut
+        self.words[word] = out = packed(m.merge([*map(m.inner.__getitem__, raw[:-1]), m.last[raw[-1]]]))
+        return out
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, stretches(text)))
