@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import LOWER_AZ, documents, store
+from wayfare.llm.common import LOWER_AZ, documents, drop, store
 
 CLASSES, ROUNDS = 32, 2
 CHUNK_BYTES = 16 << 20
@@ -114,9 +114,9 @@ def before_of(cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str]) -> DataFrame:
-    """Chunks with ``at`` (places in the word list) and ``fields``, for the words in ``table``."""
-    words = chunk_table.select("chunk", F.posexplode("words").alias("at", "word"))
+def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str], by: str) -> DataFrame:
+    """Chunks with ``at`` (places in the word list) and ``fields``, for what ``table`` has as ``word``: words, or their ids."""
+    words = chunk_table.select("chunk", F.posexplode(by).alias("at", "word"))
     found = words.join(table.hint("shuffle_hash"), "word").groupBy("chunk").agg(F.collect_list(F.struct("at", *fields)).alias("known"))
     return chunk_table.join(found, "chunk", "left").withColumns({c: F.col(f"known.{c}") for c in ["at", *fields]}).drop("known")
 
@@ -135,7 +135,7 @@ def gathered(chunk_table: DataFrame, moved: DataFrame, words_too: bool) -> DataF
                 now = cls[flat]
                 before = before_of(now, starts)
                 pairs = np.bincount(before[learned] * _WIDE + now[learned], minlength=_WIDE * _WIDE)
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.binary()), pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([pairs], pa.list_(pa.int64()))], names)
+                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([pairs], pa.list_(pa.int64()))], names)
                 if not words_too or not len(at):
                     continue
                 which = np.full(len(cls), -1, np.int32)
@@ -148,13 +148,13 @@ def gathered(chunk_table: DataFrame, moved: DataFrame, words_too: bool) -> DataF
                 some = np.flatnonzero(ends[1:] > ends[:-1])
                 bounds = np.append(ends[some], len(cell)).astype(np.int32)
                 packed = lambda values, size, o=bounds, n=len(some): pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(o * np.int32(size)), pa.py_buffer(values.tobytes())])
-                made = [row.column("words").flatten().take(pa.array(at[some])), pa.array(known[some], pa.int32()), packed((cell % (2 * _WIDE)).astype(np.uint8), 1), packed(around.astype("<u4"), 4), pa.nulls(len(some), pa.list_(pa.int64()))]
+                made = [row.column("ids").flatten().take(pa.array(at[some])), pa.array(known[some], pa.int32()), packed((cell % (2 * _WIDE)).astype(np.uint8), 1), packed(around.astype("<u4"), 4), pa.nulls(len(some), pa.list_(pa.int64()))]
                 whole = pa.RecordBatch.from_arrays(made, names)
                 yield from (whole.slice(k, 20_000) for k in range(0, len(some), 20_000))
 
     names = ["word", "cls", "side", "n", "pairs"]
-    wanted = looked_up(chunk_table, moved, ["cls"]).select("held", "lengths", "tokens", "words", "first", "at", "cls")
-    return store(wanted.mapInArrow(run, "word binary, cls int, side binary, n binary, pairs array<long>"), "around")
+    wanted = looked_up(chunk_table, moved, ["cls"], "ids").select("held", "lengths", "tokens", "ids", "first", "at", "cls")
+    return store(wanted.mapInArrow(run, "word long, cls int, side binary, n binary, pairs array<long>"), "around")
 
 
 def pair_counts(found: DataFrame) -> np.ndarray:
@@ -230,20 +230,28 @@ def exchanged(found: DataFrame, pairs: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([words.slice(k, TOGETHER), pa.array(new, pa.int32())], ["word", "cls"])
 
     words = found.where("word is not null").select("word", "cls", "side", "n").repartition("word").sortWithinPartitions("word")
-    return store(words.mapInArrow(run, "word binary, cls int"), "moved")
+    return store(words.mapInArrow(run, "word long, cls int"), "moved")
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    chunk_table = store(chunks(docs), "chunks")
+    ids = F.transform("words", lambda w: F.xxhash64(w))
+    chunk_table = store(chunks(docs).withColumn("ids", ids), "chunks")
     entries = chunk_table.select(F.explode(F.arrays_zip("words", "counts", "first")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"), F.col("w.first").alias("first"))
     words = store(entries.groupBy("word").agg(F.sum("c").alias("c"), F.first("first").alias("first")), "words")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    moved = words.where((F.col("c") > 0) & (F.col("word") != F.lit(bytearray(END)))).select("word", F.col("first").alias("cls"))
+    # in the exchange, words go by their 64-bit ids; should two share one, they share a class
+    moved = words.where((F.col("c") > 0) & (F.col("word") != F.lit(bytearray(END)))).groupBy(F.xxhash64("word").alias("word")).agg(F.min("first").alias("cls"))
+    moved = store(moved, "moved")
     for _ in range(rounds):
-        found = gathered(chunk_table, moved, True)
+        found, old = gathered(chunk_table, moved, True), moved
         moved = exchanged(found, pair_counts(found))
-    pairs = pair_counts(gathered(chunk_table, moved, False))
-    table = store(words.join(moved, "word", "left").select("word", "c", F.coalesce("cls", "first").alias("cls")), "classes")
+        drop(found, old)
+    found = gathered(chunk_table, moved, False)
+    pairs = pair_counts(found)
+    drop(found)
+    table = words.withColumn("id", F.xxhash64("word")).join(moved.withColumnsRenamed({"word": "id", "cls": "own"}), "id", "left")
+    table = store(table.select("word", "c", F.when(F.col("c") > 0, F.coalesce("own", "first")).otherwise(F.col("first")).alias("cls")), "classes")
+    drop(words, moved)
     sizes, kinds = np.zeros(_WIDE), np.zeros(_WIDE)
     for r in table.where("c > 0").groupBy("cls").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
         sizes[r.cls], kinds[r.cls] = r.c, r.n
@@ -266,7 +274,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 known = np.add.reduceat((c > 0).astype(np.int64)[flat], starts)
                 yield pa.RecordBatch.from_arrays([row.column("docs").flatten(), row.column("held").flatten(), pa.array(n), pa.array(known), pa.array([total] * len(n), pa.int64()), pa.array(own - n * base_spread), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    wanted = looked_up(chunk_table, table, ["c", "cls"]).select("docs", "held", "lengths", "tokens", "words", "at", "c", "cls")
+    wanted = looked_up(chunk_table, table, ["c", "cls"], "words").select("docs", "held", "lengths", "tokens", "words", "at", "c", "cls")
     return wanted.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
