@@ -18,7 +18,7 @@ from wayfare.llm.pii import masked  # noqa: E402
 SF = "/root/testdata/sf0.001"
 
 
-def plain_cut(texts, length=p.REPEATED_BYTES):
+def plain_cut(texts, length=p.substrings.PASSAGE_BYTES):
     """Repeated byte strings of the length; runs of over 50 words, or of 400 bytes, go."""
     seen = Counter(t[i : i + length] for t in texts.values() for i in range(len(t) - length + 1))
     out = {}

@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
-from wayfare.llm.substrings import remove_repeats
+from wayfare.llm.substrings import SEGMENT, remove_repeats
 from wayfare.llm.suffixes import sorted_order
 
 
@@ -36,6 +36,36 @@ def test_repeats(spark):
     for large in (20_000, 2):
         assert sorted(map(tuple, remove_repeats(docs, large=large).collect()), key=str) == want
     assert remove_repeats(docs.limit(0)).count() == 0
+    both = remove_repeats(docs, passage=240).collect()
+    assert sorted((tuple(r)[:5] for r in both), key=str) == want
+    texts = [(d, (t or "").encode()) for d, t in rows]
+    short = {d: spans for (d, _), spans in zip(texts, repeated_runs(texts, 240), strict=True)}
+    for r in both:
+        if r.doc_id not in (6, None):
+            assert r.n_passages == sum(len(x) >= 400 or len(x.split()) > 50 for x in short[r.doc_id])
+
+
+def repeated_runs(rows, length):
+    seen = Counter(t[i : i + length] for _, t in rows for i in range(len(t) - length + 1))
+    for _, t in rows:
+        mark = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                mark[i : i + length] = b"\1" * length
+        ends = [0, *(i for i in range(1, len(t)) if mark[i] != mark[i - 1]), len(t)]
+        yield [t[a:b] for a, b in zip(ends, ends[1:], strict=False) if b > a and mark[a]]
+
+
+def test_across_segments(spark):
+    """A passage over the seam of two segments of a text longer than one, and texts of one period."""
+    rng = random.Random(5)
+    noise = lambda n: bytes(rng.choices(range(97, 123), k=n)).decode()
+    shared, long = noise(900), noise(2 * SEGMENT)
+    seam = long[: SEGMENT - 450] + shared + long[SEGMENT - 450 :]
+    docs = spark.createDataFrame([(1, seam), (2, noise(50) + shared), (3, "word " * 300_000)], "doc_id long, text string")
+    got = {r.doc_id: r for r in remove_repeats(docs).collect()}
+    assert [(got[d].n_removed, got[d].n_spans) for d in (1, 2, 3)] == [(900, 1), (900, 1), (1_500_000, 1)]
+    assert got[1].kept_sha256 == hashlib.sha256(long.encode()).hexdigest()
 
 
 def test_deep_shallow_order():

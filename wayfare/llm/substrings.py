@@ -44,6 +44,8 @@ from wayfare.llm.common import documents, drop, store
 from wayfare.llm.suffixes import common, sorted_order
 
 LENGTH, GRAM = 400, 32
+#: Passages: repeated runs, of strings of so many bytes, with more than so many words.
+PASSAGE_BYTES, PASSAGE_WORDS = 240, 50
 LARGE = 4_000
 SEGMENT = (1 << 20) - 1024
 #: Places of a document that a task holds at a time.
@@ -286,22 +288,50 @@ def cut(text: bytes, spans: list[dict] | None, goes: Callable[[bytes], bool] = b
     return b"".join([*kept, text[done:]]), gone
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, large: int = LARGE) -> DataFrame:
-    """Per document: bytes, bytes removed, maximal removed runs, digest of what stays."""
+def is_passage(run: bytes) -> bool:
+    """Whether a repeated run is a passage: over PASSAGE_WORDS words, or LENGTH bytes."""
+    return len(run) >= LENGTH or len(run.split()) > PASSAGE_WORDS
+
+
+def holding(spans: DataFrame, length: int) -> DataFrame:
+    """(doc_id, text_hash) of the documents with a run of ``length`` bytes or more."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [any(e - s >= length for s, e in joined((x["start"], x["end"]) for x in found)) for found in b.column(2).to_pylist()]
+            yield b.select(["doc_id", "text_hash"]).filter(pa.array(keep, pa.bool_()))
+
+    return spans.select("doc_id", "text_hash", "spans").mapInArrow(run, "doc_id long, text_hash long")
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, large: int = LARGE, passage: int | None = None) -> DataFrame:
+    """Per document: bytes, bytes removed, maximal removed runs, digest of what stays.
+
+    With ``passage``, also ``n_passages``: the repeated runs of strings of so many bytes
+    that :func:`is_passage` holds for.  Only documents with such a run of ``length`` bytes
+    can hold a repeated string of that length, so the others are not searched for it.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text, spans in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+            for text, spans, short in zip(b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 text = raw(text)
                 kept, gone = cut(text, spans)
-                rows.append((len(text), len(text) - len(kept), gone, hashlib.sha256(kept).hexdigest()))
-            cols = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string()], strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                rows.append((len(text), len(text) - len(kept), gone, hashlib.sha256(kept).hexdigest(), cut(text, short, is_passage)[1]))
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string(), pa.int64()], strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages"])
 
-    found = on_doc(keyed(docs), repeated_spans(docs, length, large), "left").select("doc_id", "text", "spans")
-    return found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    if passage is None:
+        spans = repeated_spans(docs, length, large).withColumn("short", F.lit(None).cast("array<struct<start:int,end:int>>"))
+    else:
+        short = repeated_spans(docs, passage, large)
+        searched = on_doc(keyed(docs), holding(short, length), "left_semi")
+        spans = on_doc(short.withColumnRenamed("spans", "short"), repeated_spans(searched, length, large), "left")
+    found = on_doc(keyed(docs), spans, "left").select("doc_id", "text", "spans", "short")
+    out = found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long")
+    return out if passage else out.drop("n_passages")
 
 
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(documents(spark, sf_dir))
+    return remove_repeats(documents(spark, sf_dir), passage=PASSAGE_BYTES)
