@@ -29,8 +29,6 @@ from wayfare.llm.common import documents, store
 ORACLE_SQL = None
 #: Near-duplicates are five-word shingle sets that are so many hundredths alike.
 SIMILAR = 80
-#: Strings of so many bytes that occur again are found; a run of them goes if it has more than so many words, or 400 bytes.
-REPEATED_BYTES, REPEATED_WORDS = 240, 50
 
 
 def rewritten(docs: DataFrame, change: Callable[..., str], found: DataFrame | None = None) -> DataFrame:
@@ -51,11 +49,6 @@ def rewritten(docs: DataFrame, change: Callable[..., str], found: DataFrame | No
     return out.select(*(length[c].alias(c) if c in length else F.col("made").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
-def a_passage(run: bytes) -> bool:
-    """Whether a repeated run is long enough to go: over 50 words, or 400 bytes."""
-    return len(run) >= substrings.LENGTH or len(run.split()) > REPEATED_WORDS
-
-
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.select_good(docs, quality.train(spark, docs, sf_dir))
 
@@ -65,8 +58,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = substrings.repeated_spans(docs, REPEATED_BYTES)
-    return rewritten(docs, lambda text, spans: substrings.cut(text.encode(), spans, a_passage)[0].decode(errors="ignore"), found)
+    found = substrings.repeated_spans(docs, substrings.PASSAGE_BYTES)
+    return rewritten(docs, lambda text, spans: substrings.cut(text.encode(), spans, substrings.is_passage)[0].decode(errors="ignore"), found)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
