@@ -86,6 +86,64 @@ def test_types_and_partitions(spark, tmp_path):
     assert writers.check_schema(df.select("id"), schema).first() == (1, None)
 
 
+@pytest.fixture
+def by_day(spark, tmp_path):
+    rows = [(i, f"2024-01-0{1 + i // 4} 0{i % 4}:00:00") for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, at string").withColumn("at", F.col("at").cast("timestamp"))
+    writers.create_partitioned(df, f"{tmp_path}/t", "at", "day")
+    return df, f"{tmp_path}/t"
+
+
+def test_partitions_stay(spark, by_day):
+    df, target = by_day
+    table = lambda: sorted((r.id, str(r.at_day)) for r in spark.read.parquet(target).collect())
+    days = [(i, f"2024-01-0{1 + i // 4}") for i in range(12)]
+    before = {x[2] for x in writers.data_files(spark, target)}
+    new = df.where("id in (4, 5)").withColumn("id", F.col("id") + 100)
+    r = writers.write(new, target, strategy="time_between", col="at", start="2024-01-02 00:00:00", end="2024-01-02 02:00:00")
+    assert (r.rows, r.replaced) == (2, 2)
+    assert table() == sorted([(i, d) for i, d in days if i not in (4, 5)] + [(104, "2024-01-02"), (105, "2024-01-02")])
+    after = {x[2] for x in writers.data_files(spark, target)}
+    assert all("at_day=2024-01-02" in x for x in before ^ after) and writers.partition_columns(spark, target) == ["at_day"]
+    assert writers.append(df.where("id = 0"), target).rows == 1 and writers.partition_columns(spark, target) == ["at_day"]
+    with pytest.raises(ValueError):
+        writers.append(df.withColumn("more", F.lit(1)), target)
+    rows = table()
+    assert writers.compact(spark, target) >= 2 and table() == rows and writers.compact(spark, target) == 0
+    writers.truncate(spark, target)
+    assert table() == [] and set(spark.read.parquet(target).columns) == {"id", "at", "at_day"}
+    assert writers.write(df, target, strategy="full").rows == 12 and len(table()) == 12
+
+
+def test_rows_of_other_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id long, k string")
+    with pytest.raises(ValueError):
+        writers.write_partition(df, f"{tmp_path}/q", "k", "x")
+
+
+def test_a_crash_is_completed(spark, by_day, monkeypatch):
+    df, target = by_day
+    plain = writers.finish
+    monkeypatch.setattr(writers, "finish", lambda spark, target: None)
+    writers.write(df.where("id = 4").withColumn("id", F.lit(50).cast("long")), target, strategy="date_equals", col="at", value="2024-01-02")
+    assert spark.read.parquet(target).count() == 12  # the journal is there, nothing has moved
+    monkeypatch.setattr(writers, "finish", plain)
+    writers.append(df.where("id = 0"), target)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [0, 0, 1, 2, 3, 8, 9, 10, 11, 50]
+
+
+def test_batches_of_one_window(spark, tmp_path):
+    target = f"{tmp_path}/s"
+    df = lambda *rows: spark.createDataFrame(list(rows), "n long, w string")
+    ids = lambda: sorted((r.w, r.n) for r in spark.read.parquet(target).collect())
+    writers.stream_replace(df((1, "a"), (1, "a"), (2, "b")), 0, target, "w")
+    writers.stream_replace(df((3, "a")), 1, target, "w")
+    writers.stream_replace(df((3, "a")), 1, target, "w")
+    assert ids() == [("a", 1), ("a", 1), ("a", 3), ("b", 2)]
+    writers.stream_replace(df((7, "a")), 0, target, "w", load="next")
+    assert ids() == [("a", 7), ("b", 2)]
+
+
 def test_incremental_is_repeatable(spark, tmp_path):
     target = f"{tmp_path}/inc"
     rows = [(date(2024, 1, 1 + i % 9), i) for i in range(90)]

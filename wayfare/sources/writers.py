@@ -1,21 +1,28 @@
 """Sinks on Parquet tables: append, replacement by value, day or window, compaction.
 
-Replacements write to a folder beside the table first and then swap whole partitions,
-so a lost executor or a failed job leaves the table as it was.
+A replacement rewrites only the files that hold rows of its window, and keeps the table's
+partitions.  New files are made beside the table; a journal then names what comes and what
+goes, and the files are moved.  A job that fails before the journal leaves the table as it
+was; what a crash cuts off later is completed by the next write (or :func:`finish`).
+Writers of one table take turns; a reader during the move may see a window twice.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import tempfile
 import uuid
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType, StringType, StructType
+from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 log = logging.getLogger(__name__)
 TRANSFORMS = ("identity", "hour", "day", "month", "year")
+SHAPES = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 STRATEGIES = ("identity_equals", "date_equals", "time_between", "full")
 
 
@@ -53,20 +60,79 @@ def exists(spark: SparkSession, target: str) -> bool:
     return fs.exists(path)
 
 
-def _swap(spark: SparkSession, made: str, target: str) -> None:
-    (new, fs), (old, _), (aside, _) = _path(spark, made), _path(spark, target), _path(spark, f"{target}.{uuid.uuid4().hex}.old")
-    if fs.exists(old):
-        fs.rename(old, aside)
-    fs.rename(new, old)
-    fs.delete(aside, True)
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below ``spark.checkpoint.dir``; a local session may go without the setting."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return f"{(base or tempfile.mkdtemp(prefix='wayfare-')).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def data_files(spark: SparkSession, target: str) -> list[tuple[str, str, str, int]]:
+    """(folder below the table, name, path, bytes) of a table's files, from the file system."""
+    root, fs = _path(spark, target)
+    top = fs.getFileStatus(root).getPath().toString().rstrip("/") + "/"
+    out, found = [], fs.listFiles(root, True)
+    while found.hasNext():
+        status = found.next()
+        path = status.getPath().toString()
+        folder, _, name = path.removeprefix(top).rpartition("/")
+        if not any(x.startswith(("_", ".")) for x in path.removeprefix(top).split("/")):
+            out.append((folder, name, path, status.getLen()))
+    return out
+
+
+def partition_columns(spark: SparkSession, target: str) -> list[str]:
+    """The columns that a table's folders are named by."""
+    files = data_files(spark, target)
+    return [x.partition("=")[0] for x in files[0][0].split("/") if "=" in x] if files else []
+
+
+def stored(spark: SparkSession, target: str, paths: list[str] | None = None) -> DataFrame:
+    """A table, or some of its files; partition columns are texts, as the folders have them."""
+    parts = partition_columns(spark, target)
+    schema = StructType([StructField(f.name, StringType() if f.name in parts else f.dataType) for f in spark.read.parquet(target).schema])
+    return spark.read.schema(schema).option("basePath", target).parquet(*([target] if paths is None else paths))
+
+
+JOURNAL = "_replacing"
+
+
+def _commit(spark: SparkSession, target: str, made: str, stale: list[str], prefix: str = "") -> None:
+    """Moves the files of ``made`` into the table, with ``prefix`` before their names, and removes ``stale``."""
+    draft, fs = _path(spark, f"{target}/{JOURNAL}.{uuid.uuid4().hex}")
+    fs.mkdirs(draft.getParent())
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps({"made": made, "stale": stale, "prefix": prefix}).encode()))
+    out.close()
+    fs.rename(draft, _path(spark, f"{target}/{JOURNAL}")[0])
+    finish(spark, target)
+
+
+def finish(spark: SparkSession, target: str) -> None:
+    """Completes the replacement that the table's journal names, if any; doing it again changes nothing."""
+    journal, fs = _path(spark, f"{target}/{JOURNAL}")
+    if not fs.exists(journal):
+        return
+    stream = fs.open(journal)
+    plan = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    if exists(spark, plan["made"]):
+        for folder, name, path, _ in data_files(spark, plan["made"]):
+            goal = _path(spark, "/".join(x for x in (target, folder, plan["prefix"] + name) if x))[0]
+            fs.mkdirs(goal.getParent())
+            fs.rename(_path(spark, path)[0], goal)
+    for path in plan["stale"]:
+        fs.delete(_path(spark, path)[0], False)
+    fs.delete(_path(spark, plan["made"])[0], True)
+    fs.delete(journal, False)
 
 
 def partition_column(col: str, transform: str) -> tuple[str, Column]:
     """Name and expression of a transform's partition column; unknown transforms are taken as identity."""
     if transform in ("identity", "") or transform not in TRANSFORMS:
         return col, F.col(col)
-    shape = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}[transform]
-    return f"{col}_{transform}", F.date_format(col, shape)
+    return f"{col}_{transform}", F.date_format(col, SHAPES[transform])
 
 
 def check_schema(df: DataFrame, target: StructType) -> DataFrame:
@@ -91,9 +157,34 @@ def create_partitioned(df: DataFrame, target: str, col: str, transform: str = "i
     df.withColumn(name, expr).write.mode("errorifexists").partitionBy(name).parquet(target)
 
 
+def _fitted(df: DataFrame, target: str) -> tuple[DataFrame, list[str], DataFrame]:
+    """``df`` in the table's columns, the table's partition columns (computed anew where they derive from a column), and the table."""
+    spark = df.sparkSession
+    old, parts = stored(spark, target), partition_columns(spark, target)
+    for part in parts:
+        col, _, transform = part.rpartition("_")
+        if transform in TRANSFORMS[1:] and col in old.columns and col in df.columns:
+            df = df.withColumn(part, partition_column(col, transform)[1])
+    return check_schema(df, old.schema), parts, old
+
+
+def _put(df: DataFrame, path: str, parts: list[str], mode: str = "errorifexists", more: DataFrame | None = None) -> int:
+    """Writes ``df`` (and ``more``); the number of rows of ``df``."""
+
+    def put(d: DataFrame) -> None:
+        w = (d if more is None else d.unionByName(more)).write.mode(mode)
+        (w.partitionBy(*parts) if parts else w).parquet(path)
+
+    return _count_written(df, put)
+
+
 def append(df: DataFrame, target: str) -> WriteReport:
-    rows = _count_written(df, lambda d: d.write.mode("append").parquet(target))
-    return WriteReport(rows, 0, "append")
+    """Adds rows; columns that the table does not have are an error."""
+    parts: list[str] = []
+    if exists(df.sparkSession, target):
+        finish(df.sparkSession, target)
+        df, parts, _ = _fitted(df, target)
+    return WriteReport(_put(df, target, parts, "append"), 0, "append")
 
 
 def _count_written(df: DataFrame, put) -> int:
@@ -104,29 +195,48 @@ def _count_written(df: DataFrame, put) -> int:
     return seen.get["n"]
 
 
+def _within_folders(parts: list[str], strategy: str, col: str | None, value: object, start: object, end: object) -> Column:
+    """What a window means for the partition columns that derive from its column, so that other folders are not read."""
+    if strategy == "date_equals":
+        start = date.fromisoformat(str(value)[:10])
+        end = start + timedelta(days=1)
+    cond = F.lit(True)
+    if strategy in ("date_equals", "time_between"):
+        for t in TRANSFORMS[1:]:
+            if f"{col}_{t}" in parts:
+                low, high = (F.date_format(F.lit(x).cast("timestamp"), SHAPES[t]) for x in (start, end))
+                cond = cond & F.col(f"{col}_{t}").between(low, high)
+    return cond
+
+
 def write(df: DataFrame, target: str, mode: str = "overwrite", strategy: str | None = "full", col: str | None = None, value: object = None, start: object = None, end: object = None) -> WriteReport:
-    """Append, or replace the rows of a window: what lies outside it stays."""
+    """Append, or replace the rows of a window: what lies outside it stays, and files without a row of it are not touched."""
     if mode == "append":
         return append(df, target)
-    spark, cond = df.sparkSession, window_condition(strategy or "full", col, value, start, end)
-    replaced = 0
-    if exists(spark, target):
-        old = spark.read.parquet(target)
-        df = check_schema(df, old.schema)
-        replaced = old.where(cond).count()
-        rest = old.where(~F.coalesce(cond, F.lit(False)))
-    else:
-        rest = df.limit(0)
+    spark, strategy = df.sparkSession, strategy or "full"
+    cond = window_condition(strategy, col, value, start, end)
+    if not exists(spark, target):
+        return WriteReport(_put(df, target, []), 0, strategy, start, end, value)
+    finish(spark, target)
+    df, parts, old = _fitted(df, target)
+    inside = F.coalesce(cond, F.lit(False))
+    hit = old.where(inside & _within_folders(parts, strategy, col, value, start, end)).groupBy(F.col("_metadata.file_path").alias("path")).count().collect()
+    uri = spark._jvm.java.net.URI
+    touched = [spark._jvm.org.apache.hadoop.fs.Path(uri(r.path)).toString() for r in hit]
+    stale = [path for _, _, path, _ in data_files(spark, target)] if strategy == "full" else touched
+    rest = stored(spark, target, touched).where(~inside) if touched and strategy != "full" else None
     made = f"{target}.{uuid.uuid4().hex}.new"
-    rows = _count_written(df, lambda d: d.unionByName(rest).write.parquet(made))
-    _swap(spark, made, target)
-    return WriteReport(rows, replaced, strategy or "full", start, end, value)
+    rows = _put(df, made, parts, more=rest)
+    _commit(spark, target, made, stale)
+    return WriteReport(rows, sum(r["count"] for r in hit), strategy, start, end, value)
 
 
 def write_partition(df: DataFrame, target: str, col: str, value: object) -> None:
-    """Replaces one partition of a partitioned table and no other."""
+    """Replaces one partition of a partitioned table and no other; rows of another partition are an error."""
     df = df if col in df.columns else df.withColumn(col, F.lit(value))
-    df.where(F.col(col) == F.lit(value)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(target)
+    if not df.where(~F.col(col).eqNullSafe(F.lit(value))).isEmpty():
+        raise ValueError(f"rows of other partitions than {col}={value!r}")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(target)
 
 
 def replace_partitions(df: DataFrame, target: str, col: str) -> None:
@@ -134,31 +244,52 @@ def replace_partitions(df: DataFrame, target: str, col: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(target)
 
 
-def stream_replace(batch: DataFrame, batch_id: int, target: str, window_col: str) -> None:
-    """For ``foreachBatch``: each window in the batch is replaced once, whatever the batch is run again."""
-    replace_partitions(batch.dropDuplicates(), target, window_col)
-
+def stream_replace(batch: DataFrame, batch_id: int, target: str, window_col: str, load: str = "load") -> None:
+    """For ``foreachBatch``: the first batch of a window in a load replaces the window, later ones add to it.
 
-def file_sizes(spark: SparkSession, target: str) -> DataFrame:
-    """(path, bytes) of a table's files."""
-    return spark.read.parquet(target).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
+    Files carry their load and batch in their names, so a batch that runs again replaces its own
+    rows only.  A later load, by another name, starts its windows anew.  Repeated rows stay.
+    """
+    spark, made = batch.sparkSession, f"{target}.{uuid.uuid4().hex}.new"
+    own = f"{load}.{batch_id}."
+    batch.write.partitionBy(window_col).parquet(made)
+    windows = {folder for folder, *_ in data_files(spark, made)}
+    stale = []
+    if exists(spark, target):
+        finish(spark, target)
+        stale = [path for folder, name, path, _ in data_files(spark, target) if folder in windows and (name.startswith(own) or not name.startswith(f"{load}."))]
+    _commit(spark, target, made, stale, own)
 
 
 def compact(spark: SparkSession, target: str, max_bytes: int = 128 << 20) -> int:
-    """Rewrites a table's small files as files of about ``max_bytes``; returns how many there were."""
-    sizes = file_sizes(spark, target).agg(F.count_if(F.col("bytes") < max_bytes).alias("small"), F.sum("bytes").alias("bytes")).first()
-    if sizes.small < 2:
+    """Rewrites the small files of each folder that has several as files of about ``max_bytes``; returns how many there were.
+
+    Large files and the table's partitions stay as they are.
+    """
+    finish(spark, target)
+    small: dict[str, list[tuple[str, int]]] = {}
+    for folder, _, path, size in data_files(spark, target):
+        if size < max_bytes:
+            small.setdefault(folder, []).append((path, size))
+    several = {f: v for f, v in small.items() if len(v) > 1}
+    if not several:
         return 0
-    parts = -(-sizes.bytes // max_bytes)
-    made = f"{target}.{uuid.uuid4().hex}.new"
-    spark.read.parquet(target).repartition(parts).write.parquet(made)
-    _swap(spark, made, target)
-    return sizes.small
+    parts, made = partition_columns(spark, target), f"{target}.{uuid.uuid4().hex}.new"
+    files = [x for v in several.values() for x in v]
+    rows = stored(spark, target, [path for path, _ in files])
+    n = -(-sum(size for _, size in files) // max_bytes)
+    # one task per folder and max_bytes of it: a folder's rows never make more files than its bytes ask for
+    most = max(-(-sum(size for _, size in v) // max_bytes) for v in several.values())
+    rows = rows.repartition(max(n, len(several)), *parts, *([F.floor(F.rand(1) * most)] if most > 1 else [])) if parts else rows.repartition(n)
+    _put(rows, made, parts)
+    _commit(spark, target, made, [path for path, _ in files])
+    return len(files)
 
 
 def truncate(spark: SparkSession, target: str) -> None:
-    """An empty table of the same columns."""
-    made = f"{target}.{uuid.uuid4().hex}.new"
-    spark.read.parquet(target).limit(0).write.parquet(made)
-    _swap(spark, made, target)
-
+    """An empty table of the same columns and partitions."""
+    finish(spark, target)
+    parts, made = partition_columns(spark, target), f"{target}.{uuid.uuid4().hex}.new"
+    folder = "".join(f"/{c}=__HIVE_DEFAULT_PARTITION__" for c in parts)
+    stored(spark, target).drop(*parts).limit(0).write.parquet(f"{made}{folder}")
+    _commit(spark, target, made, [path for _, _, path, _ in data_files(spark, target)])
