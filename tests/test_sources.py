@@ -27,6 +27,7 @@ def test_feed_bundles(spark, tmp_path):
     assert sorted((r.stop_id, r.stop_name, r.stop_lat) for r in stops) == [("1", "Main", None)] * 2 + [("2", None, None)] * 2 + [("9", "Two, lines", None)]
     assert len({r.feed_hash for r in stops}) == 2  # a and c hold the same members
     all_rows = readers.read_bundles(spark, f"{tmp_path}/*.zip")
+    assert [r.path.rsplit("/", 1)[1] for r in readers.broken_bundles(spark, f"{tmp_path}/*.zip").collect()] == ["broken.zip"]
     meta = readers.feed_metadata(all_rows, "America/New_York")
     assert meta.count() == 2
     assert readers.new_bundles(meta, meta.limit(1)).count() == 1

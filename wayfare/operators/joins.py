@@ -31,9 +31,10 @@ def expand_ranges(df: DataFrame, start: str, end: str, out: str, unit: str = "da
 
 
 def match_ranges(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, on: tuple[str, ...] = ()) -> DataFrame:
-    """Points joined to the closed date ranges that hold them, by equal days (and keys) rather than by comparison."""
-    days = expand_ranges(ranges.withColumns({"_s": F.col(start).cast("date"), "_e": F.col(end).cast("date")}), "_s", "_e", "_day").drop("_s", "_e")
-    return points.withColumn("_day", F.col(point).cast("date")).join(days, ["_day", *on]).where(F.col(point).between(F.col(start), F.col(end))).drop("_day")
+    """Points joined to the closed date ranges that hold them, by equal months (and keys) rather than by comparison."""
+    ends = {"_s": F.trunc(start, "month"), "_e": F.trunc(end, "month")}
+    months = expand_ranges(ranges.where(F.col(start) <= F.col(end)).withColumns(ends), "_s", "_e", "_month", "month").drop("_s", "_e")
+    return points.withColumn("_month", F.trunc(point, "month")).join(months, ["_month", *on]).where(F.col(point).between(F.col(start), F.col(end))).drop("_month")
 
 
 def within_box(a: DataFrame, b: DataFrame, on: list[str], a_at: tuple[str, str], b_at: tuple[str, str], radius_m: float = 300.0) -> DataFrame:
@@ -52,7 +53,7 @@ def nearest(a: DataFrame, b: DataFrame, on: list[str], a_at: tuple[str, str], b_
     factor = (steps if steps is not None else F.lit(0)) + 1
     weighted = haversine_m(F.col(a_at[0]), F.col(a_at[1]), F.col(b_at[0]), F.col(b_at[1])) * factor
     rank = F.when(F.col(tie).isNotNull(), F.struct(weighted.alias("w"), factor.alias("f"), F.col(tie).alias("t")))
-    best = pairs.groupBy(a_key).agg(F.min(F.struct(rank.alias("r"), F.col(pick).alias("p"))).alias("first"), F.min_by(F.col(pick), rank).alias(pick), F.min(rank).alias("r"))
+    best = pairs.groupBy(a_key).agg(F.min_by(F.col(pick), rank).alias(pick), F.min(rank).alias("r"))
     return best.select(a_key, pick, F.col("r.w").alias("weighted"))
 
 

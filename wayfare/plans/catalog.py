@@ -182,51 +182,29 @@ def expand_ranges(s, d):
     return j.expand_ranges(o, "a", "b", "day").select("o_orderkey", c("day").cast("string").alias("service_date"))
 
 
+# a point takes the versions of its own key only
 VERSIONS = """WITH v AS (SELECT o_custkey AS k, o_orderkey AS version, CAST(o_orderdate AS DATE) AS a,
-  coalesce(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey), CAST(o_orderdate AS DATE) + 90) AS b FROM orders WHERE o_custkey <= 40),
-p AS (SELECT c_custkey AS point, CAST(DATE '1995-01-01' + CAST(c_custkey * 7 % 700 AS INT) AS DATE) AS day FROM customer WHERE c_custkey <= 400)"""
-
-
-def versions(s, d):
-    o = table(s, d, "orders").where("o_custkey <= 40").select(c("o_custkey").alias("k"), c("o_orderkey").alias("version"), day("o_orderdate").alias("a"))
-    v = w.close_intervals(o, ["k"], "a", F.date_add("a", 90), "version", "b")
-    points = table(s, d, "customer").where("c_custkey <= 400").select(c("c_custkey").alias("point"), F.date_add(F.lit("1995-01-01").cast("date"), (c("c_custkey") * 7 % 700).cast("int")).alias("day"))
-    return v, points
-
-
-@query("J-5_match_ranges", VERSIONS + " SELECT point, version FROM p JOIN v ON day BETWEEN a AND b")
-def match_ranges(s, d):
-    v, points = versions(s, d)
-    return j.match_ranges(points, v, "day", "a", "b").select("point", "version")
-
-
-@query("J-13_as_of_version", VERSIONS + """ SELECT point, version FROM (SELECT point, version, row_number() OVER (PARTITION BY point ORDER BY a DESC, version DESC) AS n FROM p JOIN v ON day BETWEEN a AND b WHERE a <= day - 2) WHERE n = 1""")
-def as_of_version(s, d):
-    v, points = versions(s, d)
-    return j.as_of_version(points, v, ["point"], "day", "a", "b", [F.desc("a"), F.desc("version")], c("a") <= F.date_sub("day", 2)).select("point", "version")
-
-
-# the same over all orders and customers, where a point takes the versions of its own key only
-WHOLE_VERSIONS = """WITH v AS (SELECT o_custkey AS k, o_orderkey AS version, CAST(o_orderdate AS DATE) AS a,
   coalesce(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey), CAST(o_orderdate AS DATE) + 90) AS b FROM orders),
 p AS (SELECT c_custkey AS point, c_custkey AS k, CAST(DATE '1995-01-01' + CAST(c_custkey * 7 % 700 AS INT) AS DATE) AS day FROM customer)"""
 
 
-def whole_versions(s, d):
+def versions(s, d):
     o = table(s, d, "orders").select(c("o_custkey").alias("k"), c("o_orderkey").alias("version"), day("o_orderdate").alias("a"))
     points = table(s, d, "customer").select(c("c_custkey").alias("point"), c("c_custkey").alias("k"), F.date_add(F.lit("1995-01-01").cast("date"), (c("c_custkey") * 7 % 700).cast("int")).alias("day"))
     return w.close_intervals(o, ["k"], "a", F.date_add("a", 90), "version", "b"), points
 
 
-@query("J-5_match_ranges_whole", WHOLE_VERSIONS + " SELECT point, version FROM p JOIN v ON p.k = v.k AND day BETWEEN a AND b")
-def match_ranges_whole(s, d):
-    v, points = whole_versions(s, d)
+@query("J-5_match_ranges", VERSIONS + " SELECT point, version FROM p JOIN v ON p.k = v.k AND day BETWEEN a AND b")
+@query("J-5_match_ranges_whole", VERSIONS + " SELECT point, version FROM p JOIN v ON p.k = v.k AND day BETWEEN a AND b")
+def match_ranges(s, d):
+    v, points = versions(s, d)
     return j.match_ranges(points, v, "day", "a", "b", ("k",)).select("point", "version")
 
 
-@query("J-13_as_of_version_whole", WHOLE_VERSIONS + """ SELECT point, version FROM (SELECT point, version, row_number() OVER (PARTITION BY point ORDER BY a DESC, version DESC) AS n FROM p JOIN v ON p.k = v.k AND day BETWEEN a AND b WHERE a <= day - 2) WHERE n = 1""")
-def as_of_version_whole(s, d):
-    v, points = whole_versions(s, d)
+@query("J-13_as_of_version", VERSIONS + """ SELECT point, version FROM (SELECT point, version, row_number() OVER (PARTITION BY point ORDER BY a DESC, version DESC) AS n FROM p JOIN v ON p.k = v.k AND day BETWEEN a AND b WHERE a <= day - 2) WHERE n = 1""")
+@query("J-13_as_of_version_whole", VERSIONS + """ SELECT point, version FROM (SELECT point, version, row_number() OVER (PARTITION BY point ORDER BY a DESC, version DESC) AS n FROM p JOIN v ON p.k = v.k AND day BETWEEN a AND b WHERE a <= day - 2) WHERE n = 1""")
+def as_of_version(s, d):
+    v, points = versions(s, d)
     return j.as_of_version(points, v, ["point"], "day", "a", "b", [F.desc("a"), F.desc("version")], c("a") <= F.date_sub("day", 2), ("k",)).select("point", "version")
 
 

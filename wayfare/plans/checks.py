@@ -72,9 +72,12 @@ def not_null_proportion(df: DataFrame, col: str, at_least: float, where: str | N
     return _where(df, where).agg(safe_ratio(F.count(col), F.count("*"), 6).alias("proportion")).where(F.col("proportion") < at_least)
 
 
-def mutually_exclusive_ranges(df: DataFrame, low: str, high: str, keys: list[str], gaps: bool = True) -> DataFrame:
-    """Ranges that reach over the next one's start; without ``gaps``, also those that end before it."""
-    after = F.lead(low).over(Window.partitionBy(*keys).orderBy(low, high))
+def mutually_exclusive_ranges(df: DataFrame, low: str, high: str, keys: list[str], gaps: bool = True, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Ranges that reach over the next one's start; without ``gaps``, also those that end before it.
+
+    ``tie`` orders equal ranges; without it, which of them is named is open.
+    """
+    after = F.lead(low).over(Window.partitionBy(*keys).orderBy(low, high, *tie))
     return df.withColumn("next_start", after).where(F.col(high) > F.col("next_start") if gaps else F.col(high) != F.col("next_start"))
 
 

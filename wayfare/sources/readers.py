@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wayfare.sources.writers import scratch
+
 #: The schedule tables that a bundle may hold; fixed values.
 FEED_TABLES = ("agency", "calendar", "calendar_dates", "feed_info", "routes", "shapes", "stop_times", "stops", "timepoints", "timepoint_times", "trips")
 
@@ -60,7 +62,7 @@ def read_bundles(spark: SparkSession, glob: str) -> DataFrame:
     """(feed_hash, path, retrieved, table, row): each CSV row of each bundle as a map of texts.
 
     The hash covers member names and contents in name order, so a bundle zipped anew is the same feed.
-    Bundles are read one per task; a broken one gives no rows.
+    Bundles are read one per task; a broken one gives no rows here and is named by :func:`broken_bundles`.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,10 +90,30 @@ def read_bundles(spark: SparkSession, glob: str) -> DataFrame:
     return files.mapInArrow(run, "feed_hash string, path string, retrieved timestamp, table string, row map<string,string>")
 
 
-def read_feed_bundles(spark: SparkSession, glob: str, columns: dict[str, list[str]]) -> dict[str, DataFrame]:
-    """One all-text table per member named in ``columns``, with its feed's hash."""
+def broken_bundles(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, error) of the files that are no ZIP archives."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                try:
+                    zipfile.ZipFile(io.BytesIO(content))
+                except zipfile.BadZipFile as e:
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([str(e)])], ["path", "error"])
+
+    return spark.read.format("binaryFile").load(glob).select("path", "content").mapInArrow(run, "path string, error string")
+
+
+def read_feed_bundles(spark: SparkSession, glob: str, columns: dict[str, list[str]], folder: str | None = None) -> dict[str, DataFrame]:
+    """One all-text table per member named in ``columns``, with its feed's hash.
+
+    Bundles are parsed once, to ``folder`` (partitioned by table); each table reads its own part.
+    """
+    folder = folder or scratch(spark)
     rows = read_bundles(spark, glob)
-    return {t: rows.where(F.col("table") == t).select("feed_hash", *(F.nullif(F.try_element_at("row", F.lit(c)), F.lit("")).alias(c) for c in cols)) for t, cols in columns.items()}
+    rows.write.partitionBy("table").parquet(folder)
+    parsed = spark.read.schema(rows.schema).parquet(folder)
+    return {t: parsed.where(F.col("table") == t).select("feed_hash", *(F.nullif(F.try_element_at("row", F.lit(c)), F.lit("")).alias(c) for c in cols)) for t, cols in columns.items()}
 
 
 def new_bundles(bundles: DataFrame, known: DataFrame) -> DataFrame:
