@@ -59,10 +59,15 @@ def date_spine(spark: SparkSession, start: str, end_exclusive: str, unit: str =
 
 
 def read_bundles(spark: SparkSession, glob: str) -> DataFrame:
-    """(feed_hash, path, retrieved, table, row): each CSV row of each bundle as a map of texts.
+    """The rows of all bundles in files, as :func:`parse_bundles` gives them; broken files are named by :func:`broken_bundles`."""
+    return parse_bundles(spark.read.format("binaryFile").load(glob).select("path", F.col("modificationTime").alias("retrieved"), "content"))
+
+
+def parse_bundles(files: DataFrame) -> DataFrame:
+    """(feed_hash, path, retrieved, table, row): each CSV row of each bundle (path, retrieved, content) as a map of texts.
 
     The hash covers member names and contents in name order, so a bundle zipped anew is the same feed.
-    Bundles are read one per task; a broken one gives no rows here and is named by :func:`broken_bundles`.
+    Bundles are read one at a time; a broken one gives no rows.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,8 +91,7 @@ def read_bundles(spark: SparkSession, glob: str) -> DataFrame:
                             n = len(part)
                             yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()] * n), pa.array([path] * n), pa.array([at] * n, b.schema.field(1).type), pa.array([known] * n), pa.array(part, pa.map_(pa.string(), pa.string()))], ["feed_hash", "path", "retrieved", "table", "row"])
 
-    files = spark.read.format("binaryFile").load(glob).select("path", F.col("modificationTime").alias("retrieved"), "content")
-    return files.mapInArrow(run, "feed_hash string, path string, retrieved timestamp, table string, row map<string,string>")
+    return files.select("path", "retrieved", "content").mapInArrow(run, "feed_hash string, path string, retrieved timestamp, table string, row map<string,string>")
 
 
 def broken_bundles(spark: SparkSession, glob: str) -> DataFrame:
@@ -104,18 +108,22 @@ def broken_bundles(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select("path", "content").mapInArrow(run, "path string, error string")
 
 
-def read_feed_bundles(spark: SparkSession, glob: str, columns: dict[str, list[str]], folder: str | None = None) -> dict[str, DataFrame]:
+def bundle_tables(rows: DataFrame, columns: dict[str, list[str]], folder: str | None = None) -> dict[str, DataFrame]:
     """One all-text table per member named in ``columns``, with its feed's hash.
 
     Bundles are parsed once, to ``folder`` (partitioned by table); each table reads its own part.
     """
+    spark = rows.sparkSession
     folder = folder or scratch(spark)
-    rows = read_bundles(spark, glob)
     rows.write.partitionBy("table").parquet(folder)
     parsed = spark.read.schema(rows.schema).parquet(folder)
     return {t: parsed.where(F.col("table") == t).select("feed_hash", *(F.nullif(F.try_element_at("row", F.lit(c)), F.lit("")).alias(c) for c in cols)) for t, cols in columns.items()}
 
 
+def read_feed_bundles(spark: SparkSession, glob: str, columns: dict[str, list[str]], folder: str | None = None) -> dict[str, DataFrame]:
+    return bundle_tables(read_bundles(spark, glob), columns, folder)
+
+
 def new_bundles(bundles: DataFrame, known: DataFrame) -> DataFrame:
     return bundles.join(known.select("feed_hash"), "feed_hash", "left_anti")
 
