@@ -123,3 +123,22 @@ def test_packing(docs):
     assert all(s == set(range(n)) for (_, n), s in seen.items())
     assert len({r.sequence_id for _, r in rows}) == len({(r.sequence_id, r.length) for _, r in rows}) == len(rows)
     assert pack(docs.limit(0), PATH).count() == 0
+
+
+def test_pii_anchors_and_long_values(spark):
+    secret = "k" * 5000 + "1"
+    assert find(f"ftp://{'u' * 400}:{'p' * 3000}@host") == [(6, 6 + 400 + 1 + 3000, "login")]
+    assert find(f'token = "{secret}" password: hunter22, token = words api_key=12345') == [(9, 9 + len(secret), "secret"), (9 + len(secret) + 12, 9 + len(secret) + 20, "secret")]
+    assert find("x1.2.3.4.5.6.7.256 and 4111-1111 1111 1111.") == [(1, 8, "ip"), (23, 42, "card")]
+    long = ("word 12 " * 200_000) + "a@b.org 10.0.0.1"
+    assert [k for _, _, k in find(long)] == ["email", "ip"]
+    docs = spark.createDataFrame([(1, long, "x")], "doc_id long, text string, spans string")
+    assert find_pii(docs).first().n_ip == 1
+    for empty in (find_pii(docs.limit(0)), scan_licences(docs.limit(0)), bpe_digest(docs.limit(0), public_tokenizers.path("word_bpe_49k.json"))):
+        assert empty.count() == 0
+
+
+def test_licence_labels(spark):
+    texts = {"// SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "This is free and unencumbered software released into the public domain.": "unlicense", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc", "the MIT of licence words": "", "made available under the terms of the Eclipse Public License 2.0": "epl-2.0"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in scan_licences(docs).collect()} == dict(enumerate(texts.values()))

@@ -12,7 +12,9 @@ The three base phrases are templates whose words are all mandatory; every place
 of theirs is found, for any such place holds the phrase's rarest word.
 
 Null text counts as empty: no words, null first and last word, no labels, score
-0.  Repeated rows are scanned once each; other columns are ignored.
+0.  An empty table gives an empty one.  Texts are read whole, however long.  Of equal
+scores the value is the same; words of equal frequency rank by their bytes.  Repeated
+rows are scanned once each; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,7 +44,14 @@ TEMPLATES = [
     ("gpl-2.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2", ["gnu general public license", "free software foundation"]),
     ("lgpl", "gnu lesser general public license", ["gnu lesser general public license"]),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ["permission to use copy modify and or distribute this software", "with or without fee"]),
+    ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software", "public domain"]),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", ["eclipse public license"]),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ["provided as is without any express or implied warranty", "in no event will the authors be held liable"]),
 ]
+#: Label and the identifier's words in a source file's licence line.
+SPDX = {"mit": "mit", "apache-2.0": "apache 2 0", "bsd": "bsd 3 clause", "gpl-2.0": "gpl 2 0", "gpl-3.0": "gpl 3 0", "lgpl": "lgpl 3 0", "mpl-2.0": "mpl 2 0", "isc": "isc", "unlicense": "unlicense", "epl-2.0": "epl 2 0", "zlib": "zlib"}
+TEMPLATES += [(label, f"spdx license identifier {words}", [f"spdx license identifier {words}"]) for label, words in SPDX.items()]
 RARE, SLACK = 5, 2
 #: A-Z lower-cased; separators become spaces; bytes from 0x80 up belong to words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))

@@ -1,17 +1,20 @@
 """Operator 2: personal data by anchor expansion.
 
-One Aho-Corasick pass finds anchors: at-signs, plus signs, schemes and identifier
-cues.  A local parser grows each anchor to the left and right as far as its own
-grammar allows and validates what it got.  Digit groups are anchors too.  Parsers
-look at the anchor's neighbourhood only, in linear time, and never retry; only an
-IBAN's end is tried at its country's length, or without one at up to 20 word ends.
+One Aho-Corasick pass finds anchors: at-signs, plus signs, digits, schemes and
+identifier cues.  A local parser grows each anchor to the left and right as far as its
+own grammar allows and validates what it got.  Parsers look at the anchor's
+neighbourhood only, in linear time, and never retry; only an IBAN's end is tried at its
+country's length, or without one at up to 20 word ends.  A social-security number stands
+within 16 characters of its cue, an account number within 12, a secret (8 characters or
+more, a digit among them) after the cue's colon or equals sign: that is what the kinds mean.
 
 Kinds, in this order: email, ip, card, phone (the base kinds, leftmost and
 non-overlapping per kind), then login (user and password in an address), iban,
-ssn and account (a number after a cue).  Places are code points, end exclusive.
+ssn and account (a number after a cue), secret.  Places are code points, end exclusive.
 
-Null text counts as empty; an empty text has no spans.  Repeated rows give
-repeated results; other columns are ignored.
+Null text counts as empty; an empty text has no spans, an empty table no rows.  Texts
+are read whole, however long.  Repeated rows give repeated results; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,18 +30,20 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.common import documents
 
-KINDS = ("email", "ip", "card", "phone", "login", "iban", "ssn", "account")
+KINDS = ("email", "ip", "card", "phone", "login", "iban", "ssn", "account", "secret")
 BASE = KINDS[:4]
 SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_other long"
 #: Anchors and what they announce.
-ANCHORS = {"@": "at", "+": "plus", "http://": "scheme", "https://": "scheme", "ftp://": "scheme", "iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "acct": "account", "konto": "account", "compte": "account", "cuenta": "account"}
+ANCHORS = {"@": "at", "+": "plus", "http://": "scheme", "https://": "scheme", "ftp://": "scheme", "iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "acct": "account", "konto": "account", "compte": "account", "cuenta": "account", "password": "secret", "passwd": "secret", "secret": "secret", "token": "secret", "api_key": "secret", "api-key": "secret", "apikey": "secret", **dict.fromkeys("0123456789", "digit")}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+")
 _CHAIN = re.compile(r"[0-9]++(?:\.[0-9]++){3,}+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
-_LOGIN = re.compile(r"[A-Za-z0-9._%+-]{1,256}:[^\s@/]{1,256}@")
+_LOGIN = re.compile(r"[A-Za-z0-9._%+-]++:[^\s@/]++@")
+_DIGITS = re.compile(r"[0-9]+")
+_SECRET = re.compile(r"""["']?[ \t]*[:=][ \t]*["']?([^\s"',;<>]{8,})""")
 _IBAN = re.compile(r"[\s:#.]{0,4}((?:no|nr|number)?[\s:#.]{0,4})([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30})")
 _ALNUM = re.compile(r"[A-Za-z0-9]")
 _SSN = re.compile(r"[^0-9\n]{0,16}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
@@ -103,10 +108,33 @@ def email_at(text: str, at: int, floor: int) -> tuple[int, int] | None:
     return (start, found.end()) if found else None
 
 
+def chain_at(text: str, at: int) -> tuple[int, list[tuple[int, int, str]]]:
+    """Where the dotted chain of numbers (or the digits) at ``at`` ends, and its addresses of four parts."""
+    m, out = _CHAIN.match(text, at), []
+    if not m:
+        return _DIGITS.match(text, at).end(), out
+    parts = m.group().split(".")
+    for k in range(0, len(parts) - 3, 4):
+        end = at + len(".".join(parts[k : k + 4]))
+        if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in parts[k : k + 4]):
+            out.append((at, end, "ip"))
+        at = end + 1
+    return m.end(), out
+
+
+def card_at(text: str, at: int) -> tuple[int, list[tuple[int, int, str]]]:
+    """Where the digits at ``at``, with single spaces or dashes among them, end, and whether they are a card number."""
+    m = _CARD.match(text, at)
+    if not m:
+        return at + 1, []
+    digits = m.group().replace(" ", "").replace("-", "")
+    return m.end(), [(*m.span(), "card")] if 14 <= len(digits) <= 19 and luhn(digits) else []
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """All spans (start, end, kind), by start, then kind as listed."""
     out: list[tuple[int, int, str]] = []
-    floor = 0
+    floor = chain = card = 0
     cues: dict[str, int] = {}
     for last, (size, kind) in automaton().iter(folded(text)):
         at = last - size + 1
@@ -121,11 +149,20 @@ def find(text: str) -> list[tuple[int, int, str]]:
                     end -= 1
                 if end - at >= 4 and 10 <= sum(c.isdigit() for c in text[at:end]) <= 15:
                     out.append((at, end, "phone"))
+        elif kind == "digit":
+            if at >= chain:
+                chain, found = chain_at(text, at)
+                out += found
+            if at >= card:
+                card, found = card_at(text, at)
+                out += found
         elif kind == "scheme":
             if m := _LOGIN.match(text, last + 1):
                 out.append((last + 1, m.end() - 1, "login"))
         else:
-            m = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT}[kind].match(text, last + 1)
+            m = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT, "secret": _SECRET}[kind].match(text, last + 1)
+            if m and kind == "secret" and not _DIGITS.search(m[1]):
+                continue
             if m and m.start(m.lastindex) >= cues.get(kind, 0):
                 span = m.span(m.lastindex)
                 if kind == "iban":
@@ -135,17 +172,6 @@ def find(text: str) -> list[tuple[int, int, str]]:
                     span = (span[0], end)
                 cues[kind] = span[1]
                 out.append((*span, kind))
-    for m in _CHAIN.finditer(text):
-        at, parts = m.start(), m.group().split(".")
-        for k in range(0, len(parts) - 3, 4):
-            end = at + len(".".join(parts[k : k + 4]))
-            if all(len(p.lstrip("0")) <= 3 and int(p[-3:]) <= 255 for p in parts[k : k + 4]):
-                out.append((at, end, "ip"))
-            at = end + 1
-    for m in _CARD.finditer(text):
-        digits = m.group().replace(" ", "").replace("-", "")
-        if 14 <= len(digits) <= 19 and luhn(digits):
-            out.append((*m.span(), "card"))
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -65,14 +65,18 @@ def features(text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(hasher.__getitem__, words), np.int64, len(words)), shape
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 500, ridge: float = 1e-3) -> dict | None:
-    """Full-batch Adam on the ordinal log likelihood; words that few sampled documents have get no weight."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 500, ridge: float = 1e-3, least_share: int | None = LEAST_SHARE) -> dict | None:
+    """Full-batch Adam on the ordinal log likelihood.
+
+    Words that fewer than one in ``least_share`` of the sampled documents have get no weight;
+    with None every word of the sample gets one, and only the ridge holds it.
+    """
     if len({g for _, _, g in rows}) < 2:
         return None
     seen = np.zeros(1 << BITS, np.int32)
     for words, _, _ in rows:
         seen[np.unique(words)] += 1
-    kept = np.flatnonzero(seen >= max(3, len(rows) // LEAST_SHARE))
+    kept = np.flatnonzero(seen >= (1 if least_share is None else max(3, len(rows) // least_share)))
     column = np.full(1 << BITS, -1, np.int32)
     column[kept] = np.arange(len(kept))
     cols = [c[c >= 0] for c in (column[w] for w, _, _ in rows)]
