@@ -151,4 +151,4 @@ def outside_band(df: DataFrame, a: str, b: str, low: float = 0.5, high: float =
 
 def written_count(stored: DataFrame, where: Column, reported: int) -> DataFrame:
     """One row if the window does not hold as many rows as the write report says."""
-    return stored.where(where).agg(F.count("*").alias("n_stored")).withColumn("n_reported", F.lit(reported)).where("n_stored <> n_reported")
+    return stored.where(where).agg(F.count("*").alias("n_stored")).withColumn("n_reported", F.lit(reported).cast("bigint")).where("n_stored <> n_reported")
