@@ -106,7 +106,7 @@ def joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_parts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def find_parts(docs: DataFrame, length: int = LENGTH, among: DataFrame | None = None) -> DataFrame:
     names = ["doc_id", "text_hash", "group", "ctx", "lo", "hi", "at"]
     kinds = [pa.int64()] * 4 + [pa.int32()] * 3
 
@@ -135,7 +135,8 @@ def find_parts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return keyed(docs).mapInArrow(run, PARTS)
+    texts = keyed(docs) if among is None else on_doc(keyed(docs), among, "left_semi")
+    return texts.mapInArrow(run, PARTS)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -246,16 +247,20 @@ def counted(found: DataFrame, length: int = LENGTH) -> DataFrame:
     return again
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, large: int = LARGE) -> DataFrame:
-    """(doc_id, text_hash, spans) of the documents that hold repeated strings of ``length`` bytes."""
-    parts = store(find_parts(docs, length), "parts")
+def repeated_spans(docs: DataFrame, length: int = LENGTH, large: int = LARGE, among: DataFrame | None = None) -> DataFrame:
+    """(doc_id, text_hash, spans) of the documents that hold repeated strings of ``length`` bytes.
+
+    ``among`` (doc_id, text_hash) names the documents that can hold one, if that is known.
+    """
+    parts = store(find_parts(docs, length, among), "parts")
     place = F.struct("text_hash", "at", "doc_id", "lo", "hi")
     differ = lambda low, high: (F.col(f"{low}.text_hash") != F.col(f"{high}.text_hash")) | (F.col(f"{low}.at") != F.col(f"{high}.at"))
     # copies of a text have the same places: they alone make no group
     groups = parts.where("group is not null").groupBy("group").agg(F.min(F.struct("text_hash", "at")).alias("low"), F.max(F.struct("text_hash", "at")).alias("high")).where(differ("low", "high"))
-    shared = store(parts.join(groups.select("group"), "group"), "shared")
+    groups = store(groups.select("group"), "groups")
+    shared = store(parts.join(groups, "group"), "shared")
     within = store(parts.where("group is null").select("doc_id", "text_hash", F.col("lo").alias("start"), F.col("hi").alias("end")), "within")
-    drop(parts)
+    drop(parts, groups)
     classes = shared.groupBy("group", "ctx").agg(F.min(place).alias("one"), F.max(place).alias("other"))
     classes = store(classes.select("group", "ctx", "one", (~differ("one", "other")).alias("alone")), "classes")
     whole = shared.join(classes.where("not alone").select("group", "ctx"), ["group", "ctx"]).select("doc_id", "text_hash", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
@@ -326,8 +331,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, large: int = LARGE, pa
         spans = repeated_spans(docs, length, large).withColumn("short", F.lit(None).cast("array<struct<start:int,end:int>>"))
     else:
         short = repeated_spans(docs, passage, large)
-        searched = on_doc(keyed(docs), holding(short, length), "left_semi")
-        spans = on_doc(short.withColumnRenamed("spans", "short"), repeated_spans(searched, length, large), "left")
+        spans = on_doc(short.withColumnRenamed("spans", "short"), repeated_spans(docs, length, large, holding(short, length)), "left")
     found = on_doc(keyed(docs), spans, "left").select("doc_id", "text", "spans", "short")
     out = found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long")
     return out if passage else out.drop("n_passages")
