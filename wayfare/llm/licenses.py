@@ -2,7 +2,7 @@
 
 Templates are short licence texts.  Their words' document frequencies are counted
 over all documents; the index holds, for each template, the positions of its
-rarest words only.  A document looks its words up there; every hit votes for a
+rarest words only (words that no document has come last: they find nothing).  A document looks its words up there; every hit votes for a
 template at a relative position, and a place where enough rare words agree is
 verified: all key phrases of the template must stand where the place says, give
 or take ``SLACK`` words.  The score is the largest share of a template's words
@@ -87,7 +87,7 @@ class Index:
             found.append(Template(label, words, [(at(k.encode().split()), k.encode().split()) for k in keys], False))
         index = cls(found)
         for t, template in enumerate(found):
-            rare = sorted(set(template.words), key=lambda w: (frequency.get(w, 0), w))[: 1 if template.base else RARE]
+            rare = sorted(set(template.words), key=lambda w: (w not in frequency, frequency.get(w, 0), w))[: 1 if template.base else RARE]
             for i, w in enumerate(template.words):
                 if w in rare:
                     index.postings[w].append((t, i))
