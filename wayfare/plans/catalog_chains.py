@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.functions.times import service_date
 from wayfare.plans import bus, fares, rail, realtime, schedule
 from wayfare.plans.catalog import SQL, c, day, longs, query, table, text
-from wayfare.plans.catalog_domain import CARD, GATES, PINGS, card, gates, paid, pings, plain
+from wayfare.plans.catalog_domain import CARD, PINGS, STATIONS, card, paid, pings, plain, station_events_of
 
 SECOND = "'%Y-%m-%d %H:%M:%S'"
 
@@ -264,22 +264,6 @@ def fare_transactions(s, d):
     return valid.groupBy("source_system").agg(F.count("*").alias("n"))
 
 
-STATIONS = GATES + """, y AS (SELECT CAST(date_trunc('day', o_orderdate - INTERVAL 4 HOUR) AS DATE) AS service_date, o_orderdate AS ts, 'A' || (10 + n_nationkey) AS stop_id, CASE o_orderkey % 4 WHEN 0 THEN 'Enter' WHEN 1 THEN 'Exit' WHEN 2 THEN 'Transfer entrance' ELSE 'Transfer exit' END AS kind
-  FROM orders JOIN nation ON n_nationkey = o_custkey % 30 WHERE n_nationkey % 2 = 0),
-z AS (SELECT service_date, stop_id, ts, kind, 'faregate_data_ORGN' AS source FROM g WHERE stop_id IS NOT NULL UNION ALL SELECT service_date, stop_id, ts, kind, 'FARE_USE' FROM y)"""
-
-
-def station_events_of(s, d) -> DataFrame:
-    """Gate events, and fare transactions at mezzanines (a nation each) of which every second is a rail stop."""
-    k = c("o_orderkey")
-    gate_events = rail.passenger_events_fact(rail.passenger_events_quality(rail.passenger_events(gates(s, d))))
-    action = F.when(k % 4 == 0, "Enter").when(k % 4 == 1, "Exit").when(k % 4 == 2, "Transfer entrance").otherwise("Transfer exit")
-    txns = table(s, d, "orders").select((c("o_custkey") % 30).cast("string").alias("stop_id"), service_date("o_orderdate").alias("service_date"), c("o_orderdate").cast("timestamp").alias("event_timestamp"), action.alias("fare_action"), F.lit("FARE_USE").alias("source_system"))
-    seed = table(s, d, "nation").select(c("n_nationkey").alias("mezzanine_id"), F.concat(F.lit("A"), (c("n_nationkey") + 10).cast("string")).alias("station_code"))
-    stops = txns.select("service_date", c("stop_id").alias("_id")).distinct().join(seed.where("mezzanine_id % 2 = 0"), c("_id") == c("mezzanine_id").cast("string")).select("service_date", c("station_code").alias("stop_id"))
-    return rail.station_events(gate_events, txns, seed, stops)
-
-
 @query("D-R1_station_events", STATIONS + " SELECT strftime(service_date, '%Y-%m-%d') AS service_date, stop_id, kind AS event_type, source AS source_system, kind IN ('Enter', 'Transfer entrance') AS is_entry_transaction, count(*) AS n FROM z GROUP BY ALL")
 def station_events(s, d):
     keep = ["service_date", "stop_id", "event_type", "source_system", "is_entry_transaction"]

@@ -272,36 +272,49 @@ def passenger_events(s, d):
     return rail.passenger_events_fact(rail.passenger_events_quality(rail.passenger_events(gates(s, d)))).select("_row_id", "passenger_event_id", "event_type")
 
 
-ACTIVITIES = GATES + """, k AS (SELECT service_date, stop_id, hour(ts) AS h, ts, kind, row_number() OVER (PARTITION BY service_date, stop_id, ts, kind) AS n FROM g WHERE stop_id IS NOT NULL),
-a AS (SELECT service_date, stop_id, h, count(*) FILTER (kind = 'Passenger entry') AS total_entries, count(*) FILTER (kind = 'Passenger exit') AS total_exits FROM k WHERE n = 1 GROUP BY 1, 2, 3)"""
+STATIONS = GATES + """, y AS (SELECT CAST(date_trunc('day', o_orderdate - INTERVAL 4 HOUR) AS DATE) AS service_date, o_orderdate AS ts, 'A' || (10 + n_nationkey) AS stop_id, CASE o_orderkey % 4 WHEN 0 THEN 'Enter' WHEN 1 THEN 'Exit' WHEN 2 THEN 'Transfer entrance' ELSE 'Transfer exit' END AS kind
+  FROM orders JOIN nation ON n_nationkey = o_custkey % 30 WHERE n_nationkey % 2 = 0),
+z AS (SELECT service_date, stop_id, ts, kind, 'faregate_data_ORGN' AS source FROM g WHERE stop_id IS NOT NULL UNION ALL SELECT service_date, stop_id, ts, kind, 'FARE_USE' FROM y)"""
+
+
+def station_events_of(s, d) -> DataFrame:
+    """Gate events, and fare transactions at mezzanines (a nation each) of which every second is a rail stop."""
+    k = c("o_orderkey")
+    gate_events = rail.passenger_events_fact(rail.passenger_events_quality(rail.passenger_events(gates(s, d))))
+    action = F.when(k % 4 == 0, "Enter").when(k % 4 == 1, "Exit").when(k % 4 == 2, "Transfer entrance").otherwise("Transfer exit")
+    txns = table(s, d, "orders").select((c("o_custkey") % 30).cast("string").alias("stop_id"), service_date("o_orderdate").alias("service_date"), c("o_orderdate").cast("timestamp").alias("event_timestamp"), action.alias("fare_action"), F.lit("FARE_USE").alias("source_system"))
+    seed = table(s, d, "nation").select(c("n_nationkey").alias("mezzanine_id"), F.concat(F.lit("A"), (c("n_nationkey") + 10).cast("string")).alias("station_code"))
+    stops = txns.select("service_date", c("stop_id").alias("_id")).distinct().join(seed.where("mezzanine_id % 2 = 0"), c("_id") == c("mezzanine_id").cast("string")).select("service_date", c("station_code").alias("stop_id"))
+    return rail.station_events(gate_events, txns, seed, stops)
+
+
+ACTIVITIES = STATIONS + """, k AS (SELECT *, hour(ts) AS h, row_number() OVER (PARTITION BY service_date, stop_id, ts, kind, source) AS n FROM z),
+a AS (SELECT service_date, stop_id, h, count(*) FILTER (kind = 'Passenger entry') AS total_entries, count(*) FILTER (kind = 'Passenger exit') AS total_exits,
+  count(*) FILTER (kind IN ('Enter', 'Transfer entrance')) AS entry_transactions, count(*) FILTER (kind IN ('Exit', 'Transfer exit')) AS exit_transactions FROM k WHERE n = 1 GROUP BY 1, 2, 3)"""
 
 
 def activities(s, d) -> DataFrame:
-    events = rail.passenger_events_fact(rail.passenger_events_quality(rail.passenger_events(gates(s, d))))
-    none = s.createDataFrame([], "stop_id string, service_date date, event_timestamp timestamp, fare_action string, source_system string")
-    seed = s.createDataFrame([(1, "A01", "Main")], "mezzanine_id int, station_code string, mezzanine_name string")
-    stops = s.createDataFrame([], "service_date date, stop_id string")
-    return rail.station_activities(rail.station_events_quality(rail.station_events(events, none, seed, stops)))
+    return rail.station_activities(rail.station_events_quality(station_events_of(s, d)))
 
 
 @query("D-R3_station_activities", ACTIVITIES + """ SELECT strftime(service_date, '%Y-%m-%d') AS service_date, stop_id, strftime(service_date + to_hours(h), '%Y-%m-%d %H:%M:%S') AS starts, strftime(service_date + to_hours(h + 1), '%Y-%m-%d %H:%M:%S') AS ends,
   CASE WHEN isodow(service_date) >= 6 THEN 'Weekend' WHEN h BETWEEN 4 AND 6 THEN 'Early Morning' WHEN h BETWEEN 7 AND 8 THEN 'AM Peak' WHEN h BETWEEN 9 AND 15 THEN 'Midday' WHEN h BETWEEN 16 AND 17 THEN 'PM Peak' WHEN h BETWEEN 18 AND 21 THEN 'Evening' ELSE 'Late Night' END AS time_period_category,
-  total_entries, total_exits FROM a""")
+  total_entries, total_exits, entry_transactions, exit_transactions, entry_transactions + exit_transactions AS number_of_transactions FROM a""")
 def station_activities(s, d):
     out = activities(s, d).withColumns({"starts": text("time_period_start"), "ends": text("time_period_end")})
-    return plain(out.select("service_date", "stop_id", "starts", "ends", "time_period_category", "total_entries", "total_exits"), "service_date")
+    return plain(out.select("service_date", "stop_id", "starts", "ends", "time_period_category", "total_entries", "total_exits", "entry_transactions", "exit_transactions", "number_of_transactions"), "service_date")
 
 
-@query("D-M3_hourly_station_ridership", ACTIVITIES + " SELECT strftime(service_date, '%Y-%m-%d') AS service_date, stop_id, strftime(service_date + to_hours(h), '%Y-%m-%d %H:%M:%S') AS starts, total_entries + total_exits AS total_activity FROM a")
+@query("D-M3_hourly_station_ridership", ACTIVITIES + " SELECT strftime(service_date, '%Y-%m-%d') AS service_date, stop_id, strftime(service_date + to_hours(h), '%Y-%m-%d %H:%M:%S') AS starts, total_entries + total_exits AS total_activity, entry_transactions + exit_transactions AS number_of_transactions FROM a")
 def hourly_station_ridership(s, d):
     out = metrics.hourly_station_ridership(activities(s, d)).withColumn("starts", text("time_period_start"))
-    return plain(out.select("service_date", "stop_id", "starts", "total_activity"), "service_date")
+    return plain(out.select("service_date", "stop_id", "starts", "total_activity", "number_of_transactions"), "service_date")
 
 
-@query("D-M4_daily_station_ridership", ACTIVITIES + " SELECT strftime(service_date, '%Y-%m-%d') AS service_date, stop_id, CAST(sum(total_entries) AS BIGINT) AS total_entries, CAST(sum(total_exits) AS BIGINT) AS total_exits, CAST(sum(total_entries + total_exits) AS BIGINT) AS total_activity FROM a GROUP BY 1, 2")
+@query("D-M4_daily_station_ridership", ACTIVITIES + " SELECT strftime(service_date, '%Y-%m-%d') AS service_date, stop_id, CAST(sum(total_entries) AS BIGINT) AS total_entries, CAST(sum(total_exits) AS BIGINT) AS total_exits, CAST(sum(total_entries + total_exits) AS BIGINT) AS total_activity, CAST(sum(entry_transactions) AS BIGINT) AS entry_transactions, CAST(sum(exit_transactions) AS BIGINT) AS exit_transactions FROM a GROUP BY 1, 2")
 def daily_station_ridership(s, d):
     out = metrics.daily_station_ridership(metrics.hourly_station_ridership(activities(s, d)))
-    return plain(out.select("service_date", "stop_id", "total_entries", "total_exits", "total_activity"), "service_date")
+    return plain(out.select("service_date", "stop_id", "total_entries", "total_exits", "total_activity", "entry_transactions", "exit_transactions"), "service_date")
 
 
 def card(s, d) -> DataFrame:
