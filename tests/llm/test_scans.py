@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wayfare.llm.bpe import Encoder, TextDecoder, Transducer, bpe_digest
-from wayfare.llm.licenses import BASE, scan_licences
+from wayfare.llm.licenses import BASE, RARE, SLACK, TEMPLATES, Index, document_frequencies, licence_words, scan_licences, words_of
 from wayfare.llm.packing import pack
 from wayfare.llm.pii import BASE as PII_BASE
 from wayfare.llm.pii import find, find_pii, luhn, masked
@@ -142,3 +142,46 @@ def test_licence_labels(spark):
     texts = {"// SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "This is free and unencumbered software released into the public domain.": "unlicense", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "isc", "the MIT of licence words": "", "made available under the terms of the Eclipse Public License 2.0": "epl-2.0"}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.labels for r in scan_licences(docs).collect()} == dict(enumerate(texts.values()))
+
+
+def plain_labels(text, frequency):
+    """Labels and places by trying every template at every place."""
+    words, out = words_of(text), set()
+    for label, full, keys in TEMPLATES:
+        full, keys = full.encode().split(), [k.encode().split() for k in keys]
+        if not {w for k in keys for w in k} <= set(words):
+            continue
+        rare = sorted({w for w in full if w in words}, key=lambda w: (frequency.get(w, 0), w))[:RARE]
+        need = (min(len(set(full)), RARE) + 1) // 2
+        hits = [p - i for i, w in enumerate(full) if w in rare for p, x in enumerate(words) if x == w]
+        for at in set(hits):
+            stands = lambda k: any(words[p : p + len(k)] == k for i in range(len(full)) if full[i : i + len(k)] == k for p in range(max(at + i - SLACK, 0), at + i + SLACK + 1))  # noqa: B023, E731
+            if sum(abs(h - at) <= SLACK for h in hits) >= need and all(map(stands, keys)):
+                out.add((label, max(at, 0)))
+    return out
+
+
+def test_licence_labels_by_brute_force(spark):
+    rng, texts = random.Random(11), [None, "", "word " * 300_000 + "Released under the MIT License."]
+    for _ in range(300):  # licence texts with words lost, added and changed, several in one file
+        parts = []
+        for _, full, _ in rng.sample(TEMPLATES, rng.randint(1, 3)):
+            words = [w for w in full.split() if rng.random() > 0.03]
+            words.insert(rng.randint(0, len(words)), "other") if rng.random() < 0.3 else None
+            parts += [*rng.choices(licence_words(), k=rng.randint(0, 5)), *words]
+        texts.append(" ".join(parts))
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, labels string").repartition(4)
+    frequency = document_frequencies(docs)
+    assert frequency == {w.encode(): n for w in licence_words() if (n := sum(w.encode() in words_of(t) for t in texts))}
+    found = {r.doc_id: set(filter(None, r.places.split(","))) for r in scan_licences(docs).collect()}
+    assert found == {i: {f"{label}:{at}" for label, at in plain_labels(t, frequency)} for i, t in enumerate(texts)}
+    assert sum(map(len, found.values())) > 300
+
+
+def test_rare_words_are_the_file_s_own():
+    index = Index.build({w.encode(): i for i, w in enumerate(licence_words())})
+    text = next(t for label, t, _ in TEMPLATES if label == "isc").encode().split()
+    everything, less = index.rare_words(set(text)), index.rare_words(set(text) - {b"appear", b"all", b"above"})
+    t = next(i for i, x in enumerate(index.templates) if x.label == "isc")
+    of = lambda places: {w for w, at in places.items() if any(k == t for k, _ in at)}
+    assert len(of(everything)) == len(of(less)) == RARE and of(everything) != of(less)

@@ -1,12 +1,13 @@
 """Operator 1: licence scan with a positional rare-token index.
 
 Templates are short licence texts.  Their words' document frequencies are counted
-over all documents; the index holds, for each template, the positions of its
-rarest words only (words that no document has come last: they find nothing).  A document looks its words up there; every hit votes for a
-template at a relative position, and a place where enough rare words agree is
-verified: all key phrases of the template must stand where the place says, give
-or take ``SLACK`` words.  The score is the largest share of a template's words
-found in place.
+over all documents, and the index holds the positions of each word in each template.
+A file's licence words are ranked by that frequency: of every template whose key
+phrases' words it has, it looks up the ``RARE`` rarest that stand in the file, so a
+template is found by what this file has of it.  Every hit votes for a template at a
+relative position, and a place where enough rare words agree is verified: all key
+phrases of the template must stand where the place says, give or take ``SLACK``
+words.  The score is the largest share of a template's words found in place.
 
 The three base phrases are templates whose words are all mandatory; every place
 of theirs is found, for any such place holds the phrase's rarest word.
@@ -68,15 +69,23 @@ class Template:
     words: list[bytes]
     keys: list[tuple[int, list[bytes]]]
     base: bool
+    #: its words from rare to frequent, and those that a file must have
+    ranked: list[bytes] = field(default_factory=list)
+    must: set[bytes] = field(default_factory=set)
+
+    @property
+    def need(self) -> int:
+        """So many rare words must agree on a place."""
+        return 1 if self.base else (min(len(self.ranked), RARE) + 1) // 2
 
 
 @dataclass
 class Index:
-    """Postings (template, position) of each template's rarest words."""
+    """Postings (template, word): its positions there."""
 
     templates: list[Template]
-    postings: dict[bytes, list[tuple[int, int]]] = field(default_factory=lambda: defaultdict(list))
-    need: list[int] = field(default_factory=list)
+    postings: dict[tuple[int, bytes], list[int]] = field(default_factory=lambda: defaultdict(list))
+    known: set[bytes] = field(default_factory=set)
 
     @classmethod
     def build(cls, frequency: dict[bytes, int]) -> Index:
@@ -87,22 +96,29 @@ class Index:
             found.append(Template(label, words, [(at(k.encode().split()), k.encode().split()) for k in keys], False))
         index = cls(found)
         for t, template in enumerate(found):
-            rare = sorted(set(template.words), key=lambda w: (w not in frequency, frequency.get(w, 0), w))[: 1 if template.base else RARE]
+            template.ranked = sorted(set(template.words), key=lambda w: (frequency.get(w, 0), w))
+            template.must = {w for _, key in template.keys for w in key}
             for i, w in enumerate(template.words):
-                if w in rare:
-                    index.postings[w].append((t, i))
-            index.need.append(1 if template.base else (len(rare) + 1) // 2)
-        index.postings = dict(index.postings)
+                index.postings[t, w].append(i)
+            index.known.update(template.words)
         return index
 
+    def rare_words(self, present: set[bytes]) -> dict[bytes, list[tuple[int, int]]]:
+        """The places (template, position) of the rarest words that a file with the licence words ``present`` has of each template."""
+        out: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for t, template in enumerate(self.templates):
+            if template.must <= present:
+                for w in [w for w in template.ranked if w in present][: 1 if template.base else RARE]:
+                    out[w] += [(t, i) for i in self.postings[t, w]]
+        return out
+
     def scan(self, words: list[bytes]) -> dict:
         votes: Counter[tuple[int, int]] = Counter()
-        hits = self.postings.keys() & set(words)
-        if hits:
+        rare = self.rare_words(self.known & set(words))
+        if rare:
             for i, w in enumerate(words):
-                if w in hits:
-                    for t, j in self.postings[w]:
-                        votes[t, i - j] += 1
+                for t, j in rare.get(w, ()):
+                    votes[t, i - j] += 1
         starts, base, labels, score, places = [], set(), set(), 0.0, []
         for (t, at), _ in sorted(votes.items()):
             template = self.templates[t]
@@ -111,7 +127,7 @@ class Index:
                     starts.append(at)
                     base.add(template.label)
                     score = 1.0
-            elif sum(votes.get((t, at + d), 0) for d in range(-SLACK, SLACK + 1)) >= self.need[t] and all(self.stands(words, at + k, key) for k, key in template.keys):
+            elif sum(votes.get((t, at + d), 0) for d in range(-SLACK, SLACK + 1)) >= template.need and all(self.stands(words, at + k, key) for k, key in template.keys):
                 labels.add(template.label)
                 same = sum(0 <= at + i < len(words) and words[at + i] == w for i, w in enumerate(template.words))
                 places.append(f"{template.label}:{max(at, 0)}")
