@@ -63,6 +63,12 @@ def test_near_duplicates(spark):
     assert stays == sorted(d for d, r in plain_components(rows).items() if r[2])
 
 
+def test_near_duplicates_of_blank_texts_alone(spark):
+    docs = spark.createDataFrame([(3, None), (2, ""), (1, " \n ")], "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs).collect()} == {(d, 0, d, True) for d in (1, 2, 3)}
+    assert one_of_each(docs).count() == 3
+
+
 def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 300)
     monkeypatch.setattr(neardup, "ROUNDS", 1)

@@ -109,7 +109,7 @@ def odd_sketches(mins: np.ndarray) -> np.ndarray:
     n = len(mins)
     bit = mix((mins.astype(np.uint64) + np.uint64(1)) * _SALT) % np.uint64(64 * SKETCH_WORDS)
     parity = np.bincount((np.arange(n)[:, None] * 64 * SKETCH_WORDS + bit.astype(np.int64)).ravel(), minlength=n * 64 * SKETCH_WORDS) & 1
-    return np.packbits(parity.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
+    return np.packbits(parity.astype(np.uint8).reshape(n, 64 * SKETCH_WORDS), axis=1).view(np.int64)
 
 
 def least_estimate(percent: int) -> float:
