@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import groupby
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -60,3 +61,42 @@ def test_stages(spark):
     assert {r.doc_id: r.doc_tokens for r in pieces} == tokens
     assert sum(r.length for r in pieces) == sum(tokens.values())
     assert p.run(spark, SF).count() == len(pieces)
+
+
+def odd_documents(spark):
+    """Nulls, repeats, an own id for rows of one text, a very long text, and columns with the operators' names."""
+    whole = documents(spark, SF).select("doc_id", "text", "n_chars")
+    rows = whole.union(whole.limit(5))
+    extra = spark.createDataFrame([(None, "no id, " * 30, None), (900001, None, None), (900002, "", 0), (900003, " \n", 2), (900004, "word soup " * 150_000, 1), (900005, "tie of words here now", 1), (900006, "tie of words here now", 1)], rows.schema)
+    names = ("text_hash", "spans", "k_text", "k_doc", "k_hash", "g", "row", "made", "start", "length", "sequence_id", "component_id")
+    return rows.union(extra).select("*", *(F.lit(n).alias(n) for n in names))
+
+
+def test_stages_on_odd_tables(spark):
+    docs = odd_documents(spark)
+    for name, stage in p.STAGES[:-1]:
+        before = docs.count()
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+        assert out.where("text_hash <> 'text_hash' or spans <> 'spans' or g <> 'g' or `row` <> 'row'").count() == 0
+        docs = store(out, name)
+        assert 0 < docs.count() <= before and (name in ("quality", "neardup") or docs.count() == before)
+    texts = [r.text for r in docs.collect()]
+    assert texts.count("tie of words here now") <= 1
+    pieces = p.STAGES[-1][1](spark, docs, SF)
+    assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    assert pieces.where("length > 4096").count() == 0
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = documents(spark, SF).limit(0)
+    for name, stage in p.STAGES[:-1]:
+        docs = store(stage(spark, docs, SF), name)
+        assert docs.count() == 0
+    assert p.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_stages_without_labels_keep_all(spark, tmp_path):
+    documents(spark, SF).limit(20).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert p.good_quality(spark, documents(spark, str(tmp_path)), str(tmp_path)).count() == 20
