@@ -3,24 +3,25 @@
 A vector's code has one bit per dimension (set where the component is above 0).
 Codes are cut into segments; two codes at distance D agree on some segment up to
 floor(D / segments) bits.  Round r therefore probes every segment's values at
-Hamming distance exactly r from the query's; after it all codes closer than
-segments * (r + 1) are known.  A query leaves once its k-th verified distance is
-that small, so results are exact.
+Hamming distance exactly r from the query's, made by
+one bit after the other; after it all codes closer than segments * (r + 1) are
+known.  A query leaves once its k-th verified distance is that small, so results
+are exact.  The k-th distance comes from a query's counts per distance.
 
 Equal codes are one row with their k + 1 smallest ids, so copies of one vector
 cannot swell a bucket.  Neighbours are ordered by distance, then id; a vector is
 not its own neighbour.  Rows with a null id or vector take no part; equal rows
-count once; missing components count as 0.
+count once; missing components count as 0.  Vectors of any length are read whole.
+An empty table, or one without other vectors, gives no rows.  Further columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import store
+from wayfare.llm.common import drop, store
 
 
 def packed(bits: Column, start: int, size: int) -> Column:
@@ -39,6 +40,15 @@ def codes(vectors: DataFrame, dims: int) -> DataFrame:
     return rows.select("vec_id", "bits", F.array(*(packed(F.col("bits"), i, 64) for i in range(0, dims, 64))).alias("code")).dropDuplicates(["vec_id", "code"])
 
 
+def ring(segments: DataFrame, radius: int, width: Column) -> DataFrame:
+    """(query, segment, value) for every value that differs in ``radius`` of the segment's ``width`` bits; each further bit stands above the last."""
+    out = segments.withColumn("bit", F.lit(-1))
+    above = F.filter(F.sequence(F.lit(0), width - 1), lambda b: b > F.col("bit"))
+    for _ in range(radius):
+        out = out.withColumn("bit", F.explode(above)).withColumn("value", F.col("value").bitwiseXOR(F.expr("shiftleft(1L, bit)")))
+    return out.drop("bit")
+
+
 def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, distance) for the vectors that ``queries`` selects, against all."""
     dims = vectors.select(F.max(F.size("embedding"))).first()[0] or 1
@@ -54,20 +64,23 @@ def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     asked = rows.where(queries)
     waiting = store(segments(asked.dropDuplicates(["code"])).select(F.col("code").alias("query"), "segment", "value"), "asked")
     found, need = None, min(k + 1, total)
+    width = F.least(F.lit(size), F.lit(dims) - F.col("segment") * size)
     for radius in range(size + 1):
-        ring = [sum(1 << b for b in c) for c in combinations(range(size), radius)]
-        masks = F.array(*(F.lit(m).cast("bigint") for m in ring))
-        probes = waiting.select("query", "segment", F.explode(F.transform(masks, lambda m: F.col("value").bitwiseXOR(m))).alias("value"))
+        probes = ring(waiting, radius, width)
         # a query's probes outgrow what the planner expects of an explode: never broadcast them
         new = probes.join(table.hint("merge"), ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code")).alias("distance"))
-        both = new if found is None else found.union(new).distinct()
-        # per query, codes in order of distance until need ids are passed
-        before = Window.partitionBy("query").orderBy("distance", "code").rowsBetween(Window.unboundedPreceding, -1)
-        sized = both.join(known.select("code", F.size("ids").alias("n")), "code").withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        kth = F.max(F.when(F.col("ahead") < need, F.col("distance"))).over(Window.partitionBy("query"))
-        found = store(sized.withColumn("kth", kth).where(F.col("distance") <= F.col("kth")).select("query", "code", "distance"), "found")
-        full = found.join(known.select("code", F.size("ids").alias("n")), "code").groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("kth")).where((F.col("n") >= need) & (F.col("kth") < len(starts) * (radius + 1)))
+        both = store((new if found is None else found.union(new).distinct()).join(known.select("code", F.size("ids").alias("n")), "code"), "both")
+        # a query's codes up to the distance at which need ids are reached
+        counts = both.groupBy("query", "distance").agg(F.sum("n").alias("n"))
+        before = Window.partitionBy("query").orderBy("distance").rowsBetween(Window.unboundedPreceding, -1)
+        ahead = counts.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        kth = ahead.where(F.col("ahead") < need).groupBy("query").agg(F.max("distance").alias("kth"))
+        old = [t for t in (found, both) if t is not None]
+        near = both.join(kth, "query").where(F.col("distance") <= F.col("kth"))
+        found = store(near.select("query", "code", "distance"), "found")
+        full = near.groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("kth")).where((F.col("n") >= need) & (F.col("kth") < len(starts) * (radius + 1)))
         waiting = store(waiting.join(full.select("query"), "query", "left_anti"), "waiting")
+        drop(*old)
         if waiting.isEmpty():
             break
     near = found.join(known, "code").select("query", "distance", F.explode("ids").alias("vec_id"))
