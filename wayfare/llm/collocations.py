@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import documents, store
+from wayfare.llm.common import documents, drop, store
 
 LEAST, MOST, TOP = 10, 3, 2000
 #: A longer candidate with so many hundredths of a phrase's occurrences makes the phrase go.
@@ -272,7 +272,9 @@ def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST, top: int
     longer = grams.withColumn("w", words).where(F.size("w") > 2).select("lang", F.explode(F.array_distinct(spans)).alias("phrase"), F.col("a").alias("over")).groupBy("lang", "phrase").agg(F.max("over").alias("over"))
     kept = scored.join(longer, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("over") < inside * F.col("a"), F.lit(True)))
     ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    out = store(ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"), "collocations")
+    drop(counted, grams)
+    return out
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
