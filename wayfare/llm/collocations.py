@@ -36,7 +36,7 @@ from wayfare.llm.common import documents, drop, store
 LEAST, MOST, TOP = 10, 3, 2000
 #: A longer candidate with so many hundredths of a phrase's occurrences makes the phrase go.
 INSIDE = 50
-BUCKET, CHUNK, HOT = 1 << 20, 1 << 20, 500
+BUCKET, CHUNK, HOT = 1 << 19, 1 << 20, 500
 #: A hot word's count is joined in so many copies.
 SALTS = 16
 #: Piece ends become line feeds, word ends spaces, A-Z lower case; a table over bytes.
