@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,9 @@ from wayfare.llm.classlm import looked_up, numbers
 from wayfare.llm.common import documents, drop, store
 
 #: Steps of a merge piece, links of a chunk, words that a task keeps.
-PIECE, CHUNK_LINKS, CACHE_WORDS = 1 << 16, 3 << 20, 600_000
+PIECE, CHUNK_LINKS, CACHE_WORDS = 1 << 16, 2 << 20, 250_000
+#: Bytes of text that are aligned together.
+TOGETHER = 1 << 20
 #: A space between two characters that are no white space.
 BREAK = re.compile(r"(?<=\S) (?=\S)")
 CHUNK = "chunk long, docs array<long>, counts array<int>, hashes array<string>, linked binary, pairs array<long>, held array<int>"
@@ -236,15 +239,15 @@ def chunks(docs: DataFrame, a_path: str, b_path: str, most: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
 
         for b in batches:
-            texts, doc_ids, z = b.column(1).to_pylist(), b.column(0).to_pylist(), 0
-            while z < len(texts):
-                a, size = z, 0
-                while z < len(texts) and (size < 1 << 20 or z == a):
-                    size += len(texts[z] or "")
-                    z += 1
-                count, h, o, k = align(texts[a:z], words)
+            if not len(b):
+                continue
+            size = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(size // TOGETHER)) + 1).tolist(), len(b)]
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                doc_ids, texts = (b.column(i).slice(a, z - a).to_pylist() for i in (0, 1))
+                count, h, o, k = align(texts, words)
                 of.append(o + len(ids))
-                ids += doc_ids[a:z]
+                ids += doc_ids
                 hashes += h
                 counts.append(count)
                 keys.append(k)
