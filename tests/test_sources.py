@@ -137,12 +137,145 @@ def test_batches_of_one_window(spark, tmp_path):
     target = f"{tmp_path}/s"
     df = lambda *rows: spark.createDataFrame(list(rows), "n long, w string")
     ids = lambda: sorted((r.w, r.n) for r in spark.read.parquet(target).collect())
-    writers.stream_replace(df((1, "a"), (1, "a"), (2, "b")), 0, target, "w")
-    writers.stream_replace(df((3, "a")), 1, target, "w")
-    writers.stream_replace(df((3, "a")), 1, target, "w")
+    writers.stream_replace(df((1, "a"), (1, "a"), (2, "b")), 0, target, "w", "a")
+    writers.stream_replace(df((3, "a")), 1, target, "w", "a")
+    writers.stream_replace(df((3, "a")), 1, target, "w", "a")
     assert ids() == [("a", 1), ("a", 1), ("a", 3), ("b", 2)]
-    writers.stream_replace(df((7, "a")), 0, target, "w", load="next")
+    writers.stream_replace(df((7, "a")), 0, target, "w", "a.b")
     assert ids() == [("a", 7), ("b", 2)]
+    writers.stream_replace(df((8, "a"), (8, "c")), 1, target, "w", "a")  # the first batch of this load in a window that another load holds
+    assert ids() == [("a", 8), ("b", 2), ("c", 8)]
+
+
+def test_a_stream_keeps_the_tables_types(spark, tmp_path):
+    target = f"{tmp_path}/s"
+    writers.stream_replace(spark.createDataFrame([(1, "a")], "n long, w string"), 0, target, "w", "x")
+    writers.stream_replace(spark.createDataFrame([("2", "a")], "n string, w string"), 1, target, "w", "x")
+    for bad in (spark.createDataFrame([("two", "a")], "n string, w string"), spark.createDataFrame([(1, "a", 1)], "n long, w string, more int")):
+        with pytest.raises(Exception):  # noqa: B017
+            writers.stream_replace(bad, 2, target, "w", "x")
+    assert sorted(r.n for r in spark.read.parquet(target).collect()) == [1, 2] and spark.read.parquet(target).schema["n"].dataType == LongType()
+
+
+def test_partition_columns_of_any_name(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    df = spark.createDataFrame([(1, "f0"), (2, "f1"), (3, "f1"), (4, "f 2/é")], "id long, _feed_hash string")
+    writers.create_partitioned(df, target, "_feed_hash")
+    assert writers.partition_columns(spark, target) == ["_feed_hash"]
+    new = df.where("id = 2").withColumn("id", F.lit(20).cast("long"))
+    r = writers.write(new, target, strategy="identity_equals", col="_feed_hash", value="f1")
+    rows = lambda: sorted((r.id, r._feed_hash) for r in writers.stored(spark, target).collect())
+    assert (r.rows, r.replaced) == (1, 2) and rows() == [(1, "f0"), (4, "f 2/é"), (20, "f1")]
+    assert writers.write(new.limit(0), target, strategy="identity_equals", col="_feed_hash", value="f 2/é").replaced == 1
+    writers.append(df.where("id = 3"), target)
+    assert rows() == [(1, "f0"), (3, "f1"), (20, "f1")] and len(writers.data_files(spark, target)) == 3
+    writers.truncate(spark, target)
+    assert rows() == [] and writers.partition_columns(spark, target) == ["_feed_hash"]
+
+
+def test_a_window_for_which_nothing_comes_is_left_empty(spark, by_day, tmp_path):
+    df, target = by_day
+    ids = lambda t: sorted(r.id for r in writers.stored(spark, t).collect())
+    assert writers.write(df.limit(0), target, strategy="date_equals", col="at", value="2024-01-02").replaced == 4
+    assert ids(target) == [0, 1, 2, 3, 8, 9, 10, 11]
+    assert writers.write(df.limit(0), target, strategy="full").replaced == 8
+    assert ids(target) == [] and writers.partition_columns(spark, target) == ["at_day"]
+    assert writers.append(df, target).rows == 12
+    plain = f"{tmp_path}/plain"
+    writers.write(df.limit(0), plain)
+    assert ids(plain) == [] and writers.write(df, plain).rows == 12
+    part = f"{tmp_path}/part"
+    for k in ("x", "y"):
+        writers.write_partition(df.select("id"), part, "k", k)
+    assert writers.write_partition(df.select("id").limit(0), part, "k", "x").replaced == 12
+    assert {r.k for r in writers.stored(spark, part).collect()} == {"y"}
+    with pytest.raises(ValueError):
+        writers.write_partition(df.selectExpr("id", "'z' k"), part, "k", "y")
+    with pytest.raises(ValueError):
+        writers.write_partition(df.selectExpr("id", "1 more"), part, "k", "y")
+    assert writers.stored(spark, part).count() == 12
+
+
+def test_only_the_folders_of_a_window_are_listed(spark, tmp_path, monkeypatch):
+    target, listed, plain = f"{tmp_path}/many", [], writers._children
+    days = spark.range(400).selectExpr("id", "date_add(date'2023-01-01', cast(id as int)) d", "cast(id % 3 as string) k")
+    days.repartition(4, "d").write.partitionBy("d", "k").parquet(target)
+    monkeypatch.setattr(writers, "_children", lambda s, folder: (listed.append(folder), plain(s, folder))[1])
+    new = days.where("id = 40").withColumn("id", F.lit(4000).cast("long"))
+    assert writers.write(new, target, strategy="date_equals", col="d", value="2023-02-10").replaced == 1
+    assert writers.write(days.limit(0), target, strategy="time_between", col="d", start="2023-03-01", end="2023-03-03").replaced == 2
+    # the table's names are read a page at a time, for one file that has its columns; else only what the window names
+    assert len({x for x in listed if "/d=" in x and ".new" not in x and not any(w in x for w in ("02-10", "03-01", "03-02"))}) <= 2
+    got = {r.id for r in writers.stored(spark, target).collect()}
+    assert got == {*range(400), 4000} - {40, 59, 60}
+    assert writers.window_folders(spark, target, ["d", "k"], {"d": "date"}, "identity_equals", "k", "1")[0].endswith("k=1")
+    hours = writers._values("at_hour", "time_between", "at", None, "2024-01-01 05:30:00", "2024-01-01 07:00:00")[0]
+    assert hours == ["2024-01-01-05", "2024-01-01-06", "2024-01-01-07"]
+    assert writers._values("at_month", "time_between", "at", None, date(2023, 12, 31), date(2024, 2, 1))[0] == ["2023-12", "2024-01", "2024-02"]
+    assert writers._values("at_hour", "time_between", "at", None, "2000-01-01", "2024-01-01") == (None, ("2000-01-01-00", "2024-01-01-00"))
+
+
+def test_a_refused_move_loses_nothing(spark, by_day, monkeypatch):
+    df, target = by_day
+    plain, calls = writers._move, []
+
+    def refuse(spark, source, goal):
+        calls.append(source)
+        if len(calls) == n:
+            raise OSError("refused")
+        plain(spark, source, goal)
+
+    new = df.where("id in (0, 4)").withColumn("id", F.col("id") + 100)
+    for n in (2, 3, 4):  # after the journal: what goes, then what comes
+        calls.clear()
+        monkeypatch.setattr(writers, "_move", refuse)
+        with pytest.raises(OSError):
+            writers.write(new, target, strategy="time_between", col="at", start="2024-01-01", end="2024-01-03")
+        monkeypatch.setattr(writers, "_move", plain)
+        writers.finish(spark, target)
+        assert sorted(r.id for r in writers.stored(spark, target).collect()) == [8, 9, 10, 11, 100, 104]
+        writers.write(df, target, strategy="full")
+
+
+def test_writers_take_turns(spark, by_day, monkeypatch):
+    df, target = by_day
+    plain = writers._commit
+
+    def late(spark, target, made, stale, prefix=""):
+        monkeypatch.setattr(writers, "_commit", plain)
+        writers.write(df.limit(0), target, strategy="date_equals", col="at", value="2024-01-02")  # another writer comes first
+        plain(spark, target, made, stale, prefix)
+
+    monkeypatch.setattr(writers, "_commit", late)
+    with pytest.raises(RuntimeError):
+        writers.write(df.where("id = 4"), target, strategy="date_equals", col="at", value="2024-01-02")
+    assert writers.stored(spark, target).count() == 8
+
+
+def test_compaction_packs_without_a_shuffle(spark, tmp_path):
+    target = f"{tmp_path}/c"
+    df = spark.range(0, 60_000, 1, 1).selectExpr("id", "cast(id % 2 as string) k", "sha2(cast(id as string), 256) t")
+    for i in range(12):
+        writers.append(df.where(F.col("id").between(i * 5000, i * 5000 + 4999)).coalesce(1), target) if i else df.where("id < 5000").coalesce(1).write.partitionBy("k").parquet(target)
+    sizes = [x[3] for x in writers.data_files(spark, target)]
+    aim = 3 * max(sizes) + 1000
+    assert writers.compact(spark, target, aim) == 24
+    files = writers.data_files(spark, target)
+    assert 6 <= len(files) <= 12 and all(x[3] <= 2 * aim for x in files) and {x[0] for x in files} == {"k=0", "k=1"}
+    for _, _, path, _ in files:
+        ids = [r.id for r in spark.read.parquet(path).collect()]
+        assert all(b - a == 2 for a, b in zip(ids, ids[1:], strict=False) if a // 5000 == b // 5000)  # a file's rows stay in order
+    assert sorted(r.id for r in spark.read.parquet(target).select("id").collect()) == list(range(60_000))
+
+
+def test_an_emptied_day_is_emptied(spark, tmp_path):
+    target = f"{tmp_path}/inc"
+    facts = spark.createDataFrame([(date(2024, 1, 1 + i % 3), i) for i in range(9)], "service_date date, n long")
+    build = lambda facts: facts.groupBy("service_date").agg(F.sum("n").alias("n"))
+    for df, days in ((facts, {1, 2, 3}), (facts.where("day(service_date) <> 2"), {1, 3})):
+        for per_day in (False, True):
+            incremental.incremental_overwrite(build, {"facts": (df, True)}, target, "service_date", date(2024, 1, 1), date(2024, 1, 4), lookback_days=0, per_day=per_day)
+            assert {r.service_date.day for r in spark.read.parquet(target).collect()} == days
 
 
 def test_incremental_is_repeatable(spark, tmp_path):

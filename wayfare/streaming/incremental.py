@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.times import utc_to_local
-from wayfare.sources.writers import replace_partitions
+from wayfare.sources.writers import write
 
 
 def windowed_inputs(inputs: dict[str, tuple[DataFrame, bool]], event_col: str, start: date, end: date) -> dict[str, DataFrame]:
@@ -19,14 +19,17 @@ def windowed_inputs(inputs: dict[str, tuple[DataFrame, bool]], event_col: str, s
 
 
 def incremental_overwrite(build: Callable[..., DataFrame], inputs: dict[str, tuple[DataFrame, bool]], target: str, event_col: str, start: date, end: date, lookback_days: int = 3, floor: date | None = None, per_day: bool = False) -> list[tuple[date, date]]:
-    """Builds [start - look-back, end) and replaces those days' partitions; running it again changes nothing."""
+    """Builds [start - look-back, end) and replaces those days, also those for which nothing was built.
+
+    The table is partitioned by ``event_col``.  Running it again changes nothing.
+    """
     first = max(start - timedelta(days=lookback_days), floor or date.min)
     days = [first + timedelta(days=i) for i in range((end - first).days)]
     spans = [(d, d + timedelta(days=1)) for d in days] if per_day else [(first, end)] if days else []
     for low, high in spans:
         out = build(**windowed_inputs(inputs, event_col, low, high))
         inside = (F.col(event_col) >= F.lit(low).cast("date")) & (F.col(event_col) < F.lit(high).cast("date"))
-        replace_partitions(out.where(inside), target, event_col)
+        write(out.where(inside), target, strategy="time_between", col=event_col, start=low, end=high, by=[event_col])
     return spans
 
 
