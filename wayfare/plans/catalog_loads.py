@@ -108,6 +108,25 @@ def replace_by_value(s, d):
     return shown(w.stored(s, target))
 
 
+@query("SNK-2_replace_feed", "SELECT o_orderkey AS k, o_totalprice + CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END AS price, o_orderpriority AS _feed_hash FROM orders WHERE o_orderpriority <> '1-URGENT'")
+def replace_feed(s, d):
+    """A table by ``_feed_hash``: one feed comes anew, another one is taken back and leaves nothing."""
+    o, target = orders(s, d).select("k", "price").join(table(s, d, "orders").select(c("o_orderkey").alias("k"), c("o_orderpriority").alias("_feed_hash")), "k"), w.scratch(s)
+    w.create_partitioned(o, target, "_feed_hash")
+    w.write(dearer(o.where("_feed_hash = '2-HIGH'")), target, strategy="identity_equals", col="_feed_hash", value="2-HIGH")
+    w.write(o.limit(0), target, strategy="identity_equals", col="_feed_hash", value="1-URGENT")
+    return w.stored(s, target)
+
+
+@query("SNK-3_emptied_day", f"SELECT * FROM ({ORDERS}) WHERE placed <> '1995-03-15' AND NOT (placed >= '1996-02-01' AND placed < '1996-03-01')")
+def emptied_day(s, d):
+    """A day and a month for which nothing came."""
+    o, target = held(s, d, "placed", "day")
+    w.write(o.limit(0), target, strategy="date_equals", col="placed", value="1995-03-15")
+    w.write(o.limit(0), target, strategy="time_between", col="placed", start="1996-02-01", end="1996-03-01")
+    return shown(w.stored(s, target))
+
+
 @query("SNK-3_replace_by_day", raised("placed = '1995-03-15'"))
 def replace_by_day(s, d):
     o, target = held(s, d)
@@ -151,6 +170,15 @@ def write_partition(s, d):
     return shown(w.stored(s, target))
 
 
+@query("SNK-8_emptied_partition", f"SELECT * FROM ({ORDERS}) WHERE status <> 'P'")
+def emptied_partition(s, d):
+    target, o = w.scratch(s), orders(s, d)
+    for status in ("F", "O", "P"):
+        w.write_partition(o.where(c("status") == status), target, "status", status)
+    w.write_partition(o.limit(0), target, "status", "P")
+    return shown(w.stored(s, target))
+
+
 @query("SNK-9_normalise_types", "SELECT CAST(o_orderkey AS VARCHAR) AS k, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS nothing FROM orders")
 def normalise_types(s, d):
     return w.normalise_types(orders(s, d).select("k", "status", F.lit(None).alias("nothing")), force_string=True)
@@ -182,11 +210,22 @@ def stream_replace(s, d):
 
     def put(batch: DataFrame, n: int) -> None:
         first = batch.select(c("o_orderkey").alias("k"), c("o_orderstatus").alias("status"), c("o_totalprice").alias("price"), c("o_orderdate").alias("placed"))
-        w.stream_replace(first, n, target, "status")
+        w.stream_replace(first, n, target, "status", "day")
 
     drained(streamed(s, d, "orders"), target, put)
     for _ in range(2):
-        w.stream_replace(later, 1_000_000, target, "status")
+        w.stream_replace(later, 1_000_000, target, "status", "day")
+    return shown(w.stored(s, target))
+
+
+@query("SNK-11_stream_two_loads", f"SELECT k, status, CASE WHEN status = 'F' THEN price + 1 ELSE price END AS price, placed FROM ({ORDERS}) WHERE status <> 'F' OR k % 5 = 0")
+def stream_two_loads(s, d):
+    """A second load, in two batches of one window with prices as texts, replaces what the first one left there."""
+    o, target = orders(s, d), w.scratch(s)
+    w.stream_replace(o, 0, target, "status", "first")
+    again = dearer(o.where("status = 'F' and k % 5 = 0")).withColumn("price", c("price").cast("string"))
+    for n, part in enumerate((again.where("k % 2 = 0"), again.where("k % 2 = 1"), again.where("k % 2 = 1"))):
+        w.stream_replace(part, min(n, 1), target, "status", "first.next")
     return shown(w.stored(s, target))
 
 
@@ -253,6 +292,17 @@ def incremental_by_day(s, d):
     return days(s, target)
 
 
+@query("ST-1_emptied_day", EVENTS + PER_DAY.format("service_date >= DATE '2024-01-05' AND service_date < DATE '2024-01-15' AND service_date NOT IN (DATE '2024-01-08', DATE '2024-01-09')"))
+def emptied_days(s, d):
+    """Two days that a correction took back: the load that runs again leaves them empty, once over all days, once a day at a time."""
+    target, customers = w.scratch(s), (table(s, d, "customer"), False)
+    span = {"start": date(2024, 1, 5), "end": date(2024, 1, 15), "lookback_days": 0}
+    for taken, singly in (("", False), ("2024-01-08", False), ("2024-01-09", True)):
+        left = events(s, d).where(~c("service_date").cast("string").between("2024-01-08", taken))
+        incremental.incremental_overwrite(per_day, {"events": (left, True), "customers": customers}, target, "service_date", per_day=singly, **span)
+    return days(s, target)
+
+
 LATE = "CASE WHEN service_date < DATE '2024-01-12' THEN event_id % 10 <> 0 ELSE TRUE END AND service_date >= DATE '2024-01-05' AND service_date < DATE '2024-01-20'"
 
 
