@@ -33,6 +33,41 @@ def test_feed_bundles(spark, tmp_path):
     assert readers.new_bundles(meta, meta.limit(1)).count() == 1
 
 
+def test_large_and_odd_members(spark, tmp_path):
+    n = 120_000
+    body = "stop_name,stop_id,,stop_id\r\n" + "".join(f'"Stop ""{i}"", north",x,y,{i}\r\n' for i in range(n)) + '"two\nlines",x,y,last\r\n\r\nshort\r\n,,,\r\n'
+    bundle(tmp_path, "a.zip", body)
+    bundle(tmp_path, "b.zip", "stop_id\n")
+    bundle(tmp_path, "c.zip", "stop_id,stop_lat,more\n7, 1.5 ,\\,8,9\n")
+    raw = (tmp_path / "a.zip").read_bytes()
+    (tmp_path / "cut.zip").write_bytes(raw[: len(raw) // 2])
+    at = raw.index(b"stops.txt") + 5000
+    (tmp_path / "sum.zip").write_bytes(raw[:at] + bytes([raw[at] ^ 255]) + raw[at + 1 :])
+    rows = readers.read_bundles(spark, f"{tmp_path}/*.zip")
+    stops = readers.bundle_tables(rows, {"stops": ["stop_id", "stop_name", "stop_lat"], "shapes": ["shape_id"]}, f"{tmp_path}/parsed")
+    got = {(r.stop_id, r.stop_name, r.stop_lat) for r in stops["stops"].collect()}
+    assert {(str(i), f'Stop "{i}", north', None) for i in range(n)} < got and len(got) == n + 4
+    assert got >= {("last", "two\nlines", None), (None, "short", None), (None, None, None), ("7", None, " 1.5 ")}
+    assert stops["shapes"].count() == 0 and stops["shapes"].columns == ["feed_hash", "shape_id"]
+    assert sorted(r.path.rsplit("/", 1)[1] for r in readers.broken_bundles(spark, f"{tmp_path}/*.zip").collect()) == ["cut.zip", "sum.zip"]
+    assert readers.feed_metadata(rows, "UTC").count() == 3
+    assert max(len(r.records) for r in rows.select("records").collect()) == readers.RECORDS
+
+
+def test_a_large_member_makes_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "GROUP", 4)
+    lines = "".join(f"{i},{hash(i * 7919) % 999983},{(i * 31337) % 1000003}\n" for i in range(200_000))
+    bundle(tmp_path, "a.zip", "stop_id,stop_name,stop_lat\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 17))
+    try:
+        stops = readers.read_feed_bundles(spark, f"{tmp_path}/a.zip", {"stops": ["stop_id"]}, f"{tmp_path}/parsed")["stops"]
+        used = stops.select("stop_id", F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(used) >= 4 and sum(r["count"] for r in used) == 200_000 and max(r["count"] for r in used) < 150_000
+
+
 def test_seed_and_table(spark, tmp_path):
     (tmp_path / "seed.csv").write_text("mezzanine_id,station_code\n1,A01\n")
     seed = readers.read_seed(spark, f"{tmp_path}/seed.csv", "mezzanine_id int, station_code string")

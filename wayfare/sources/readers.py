@@ -6,12 +6,15 @@ import csv
 import hashlib
 import io
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfare.sources.writers import scratch
 
@@ -59,65 +62,126 @@ def date_spine(spark: SparkSession, start: str, end_exclusive: str, unit: str =
 
 
 def read_bundles(spark: SparkSession, glob: str) -> DataFrame:
-    """The rows of all bundles in files, as :func:`parse_bundles` gives them; broken files are named by :func:`broken_bundles`."""
+    """The records of all bundles in files, as :func:`parse_bundles` gives them; broken files are named by :func:`broken_bundles`."""
     return parse_bundles(spark.read.format("binaryFile").load(glob).select("path", F.col("modificationTime").alias("retrieved"), "content"))
 
 
+#: Errors of a file that is no archive, or of which a member is cut off or does not have its checksum.
+BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
+#: Bytes read at a time, and records of a block.
+BLOCK, RECORDS = 1 << 20, 5000
+PARSED = "feed_hash string, path string, retrieved timestamp, table string, header string, records array<string>"
+
+
+def bundle_hash(bundle: zipfile.ZipFile) -> str:
+    """Over member names and contents in name order, so a bundle zipped anew is the same feed; reads every member to its end."""
+    digest = hashlib.md5()
+    for name in sorted(n for n in bundle.namelist() if not n.endswith("/")):
+        digest.update(name.encode() + b"\0")
+        with bundle.open(name) as f:
+            while block := f.read(BLOCK):
+                digest.update(block)
+        digest.update(b"\0")
+    return digest.hexdigest()
+
+
+def records(lines: Iterable[str]) -> Iterator[str]:
+    """CSV records: lines, or several where a quoted value goes on; empty ones are left out."""
+    held, quotes = [], 0
+    for line in lines:
+        held.append(line)
+        quotes += line.count('"')
+        if quotes % 2 == 0:
+            record = "".join(held).rstrip("\r\n")
+            held, quotes = [], 0
+            if record:
+                yield record
+    if held:
+        yield "".join(held).rstrip("\r\n")
+
+
 def parse_bundles(files: DataFrame) -> DataFrame:
-    """(feed_hash, path, retrieved, table, row): each CSV row of each bundle (path, retrieved, content) as a map of texts.
+    """Blocks of the CSV records of each known member of each bundle (path, retrieved, content), with the member's header.
 
-    The hash covers member names and contents in name order, so a bundle zipped anew is the same feed.
-    Bundles are read one at a time; a broken one gives no rows.
+    An archive's members are inflated a block at a time, never one whole; the first reading gives
+    the feed's hash (see :func:`bundle_hash`) and finds broken ones, which give no rows.  The records are
+    parsed by Spark (:func:`bundle_tables`), so a large member becomes many tasks.  A member without records
+    gives one block without any.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, at, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for path, at, content in zip(*(b.column(i) for i in range(3)), strict=True):
                 try:
-                    bundle = zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile:
+                    bundle = zipfile.ZipFile(io.BytesIO(content.as_buffer()))
+                    feed = bundle_hash(bundle)
+                except BROKEN:
                     continue
-                members = sorted(n for n in bundle.namelist() if not n.endswith("/"))
-                digest = hashlib.md5()
-                for name in members:
-                    digest.update(name.encode() + b"\0" + bundle.read(name) + b"\0")
-                for name in members:
+                for name in sorted(bundle.namelist()):
                     known = name.rsplit("/", 1)[-1].removesuffix(".txt")
-                    if known not in FEED_TABLES:
+                    if known not in FEED_TABLES or name.endswith("/"):
                         continue
-                    with bundle.open(name) as f:
-                        rows = csv.DictReader(io.TextIOWrapper(f, "utf-8-sig", newline=""))
-                        while part := [[(k, v) for k, v in r.items() if k and isinstance(v, str)] for _, r in zip(range(5000), rows, strict=False)]:
-                            n = len(part)
-                            yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()] * n), pa.array([path] * n), pa.array([at] * n, b.schema.field(1).type), pa.array([known] * n), pa.array(part, pa.map_(pa.string(), pa.string()))], ["feed_hash", "path", "retrieved", "table", "row"])
+                    with io.TextIOWrapper(bundle.open(name), "utf-8-sig", errors="replace", newline="") as lines:
+                        found = records(lines)
+                        header = next(found, None)
+                        part = list(islice(found, RECORDS))
+                        while header is not None:
+                            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in ((feed, pa.string()), (path.as_py(), pa.string()), (at.as_py(), b.schema.field(1).type), (known, pa.string()), (header, pa.string()), (part, pa.list_(pa.string())))], names)
+                            part = list(islice(found, RECORDS))
+                            if not part:
+                                break
 
-    return files.select("path", "retrieved", "content").mapInArrow(run, "feed_hash string, path string, retrieved timestamp, table string, row map<string,string>")
+    names = ["feed_hash", "path", "retrieved", "table", "header", "records"]
+    return files.select("path", "retrieved", "content").mapInArrow(run, PARSED)
 
 
 def broken_bundles(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, error) of the files that are no ZIP archives."""
+    """(path, error) of the files that are no ZIP archives, or of which a member cannot be read to its end."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for path, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 try:
-                    zipfile.ZipFile(io.BytesIO(content))
-                except zipfile.BadZipFile as e:
+                    bundle_hash(zipfile.ZipFile(io.BytesIO(content.as_buffer())))
+                except BROKEN as e:
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([str(e)])], ["path", "error"])
 
     return spark.read.format("binaryFile").load(glob).select("path", "content").mapInArrow(run, "path string, error string")
 
 
+def header_columns(header: str) -> list[str | None]:
+    """The names in a header; of equal ones the last counts, and one without a name is no column."""
+    names = [n.strip() for n in next(csv.reader([header], strict=False), [])]
+    return [n if n and n not in names[i + 1 :] else None for i, n in enumerate(names)]
+
+
+#: Blocks of a row group: as many row groups as tasks can read a large member.
+GROUP = 16
+
+
 def bundle_tables(rows: DataFrame, columns: dict[str, list[str]], folder: str | None = None) -> dict[str, DataFrame]:
-    """One all-text table per member named in ``columns``, with its feed's hash.
+    """One all-text table per member named in ``columns``, with its feed's hash; empty values are NULL.
 
-    Bundles are parsed once, to ``folder`` (partitioned by table); each table reads its own part.
+    Bundles are read once, to ``folder`` (partitioned by table, in row groups that are read by themselves).
+    Each table is parsed by Spark's CSV functions, once for each header that its members have; producers
+    give their members one of few headers.
     """
     spark = rows.sparkSession
     folder = folder or scratch(spark)
-    rows.write.partitionBy("table").parquet(folder)
+    rows.write.partitionBy("table").option("parquet.block.row.count.limit", GROUP).option("compression", "zstd").parquet(folder)
     parsed = spark.read.schema(rows.schema).parquet(folder)
-    return {t: parsed.where(F.col("table") == t).select("feed_hash", *(F.nullif(F.try_element_at("row", F.lit(c)), F.lit("")).alias(c) for c in cols)) for t, cols in columns.items()}
+    headers = [(r.table, r.header) for r in parsed.select("table", "header").distinct().orderBy("table", "header").collect()]
+    out = {}
+    for t, cols in columns.items():
+        parts = []
+        for header in [h for name, h in headers if name == t] or [""]:
+            there = header_columns(header)
+            schema = StructType([StructField(f"_c{i}", StringType()) for i in range(max(len(there), 1))])
+            value = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), {"escape": '"', "mode": "PERMISSIVE"})
+            mine = parsed.where((F.col("table") == t) & (F.col("header") == header)).select("feed_hash", F.explode("records").alias("record")).withColumn("v", value)
+            parts.append(mine.select("feed_hash", *((F.nullif(F.col(f"v._c{there.index(c)}"), F.lit("")) if c in there else F.lit(None).cast("string")).alias(c) for c in cols)))
+        out[t] = reduce(DataFrame.unionAll, parts)
+    return out
 
 
 def read_feed_bundles(spark: SparkSession, glob: str, columns: dict[str, list[str]], folder: str | None = None) -> dict[str, DataFrame]:
