@@ -345,29 +345,70 @@ def backfill(s, d):
     return days(s, target)
 
 
-def result_of(s, stream: DataFrame, mode: str) -> DataFrame:
-    """What a stream over all that is there gives, by way of a table."""
+def streamed_batches(s: SparkSession, d: str) -> DataFrame:
+    """Events as a stream of three batches by time, a tenth of them a batch too late and a tenth too early; rows of later years let the watermark pass all."""
+    folder, e = w.scratch(s), table(s, d, "events").select("event_id", "user_id", "event_type", "value", c("ts").cast("timestamp").alias("ts"))
+    first, last = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    third = F.floor((F.unix_micros("ts") - first) * 3 / (last - first + 1)) + F.when(c("event_id") % 10 == 0, 1).when(c("event_id") % 10 == 1, -1).otherwise(0)
+    for n in range(3):
+        e.where(F.least(F.greatest(third, F.lit(0)), F.lit(2)) == n).coalesce(1).write.mode("append").parquet(folder)
+    for years in (1, 2):
+        end = F.timestamp_micros(F.lit(last)) + F.make_interval(years=F.lit(years))
+        s.range(1).select(F.lit(0).cast("long").alias("event_id"), F.lit(0).cast("long").alias("user_id"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), end.alias("ts")).write.mode("append").parquet(folder)
+    return s.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def given(s: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
+    """What a stream gives in append mode over all batches, without the rows of later years."""
     target = w.scratch(s)
-    drained(stream, target, lambda batch, n: batch.write.mode("append" if mode == "append" else "overwrite").parquet(target), mode)
-    return s.read.schema(stream.schema).parquet(target)
+    drained(stream, target, lambda batch, n: batch.write.mode("overwrite").parquet(f"{target}/batch={n}"))
+    return s.read.schema(stream.schema).parquet(target).where(F.year(ts) == 2024)
+
+
+#: Rows come up to two thirds of the tables' month late.
+LATENESS = "25 days"
+
+
+def first_events(s, d):
+    return given(s, streams.stream_first_seen(streamed_batches(s, d), ["user_id", "event_type"], "ts", "event_id", LATENESS), "ts")
 
 
 @query("ST-7_stream_first_seen", "SELECT DISTINCT user_id, event_type FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL")
 def stream_first_seen(s, d):
-    return result_of(s, streams.stream_first_seen(streamed(s, d, "events"), ["user_id", "event_type"], "ts", "60 days"), "append").select("user_id", "event_type")
+    return first_events(s, d).select("user_id", "event_type")
+
+
+@query("ST-7_stream_first_event", "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL) WHERE n = 1")
+def stream_first_event(s, d):
+    """The first event, which is often not the first to arrive."""
+    return first_events(s, d).select("user_id", "event_type", "event_id")
 
 
 @query("ST-8_stream_hourly", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY 1, 2")
 def stream_hourly(s, d):
-    out = result_of(s, streams.stream_hourly(streamed(s, d, "events"), "ts", ["event_type"], sums=("value",)), "complete")
-    return out.select(text("hour").alias("hour"), "event_type", "n", F.round("value", 4).alias("value"))
+    """In update mode into a table by day: each batch puts the figures of the hours that it touched."""
+    target = w.scratch(s)
+    hours = streams.stream_hourly(streamed_batches(s, d), "ts", ["event_type"], LATENESS, ("value",))
+    drained(hours, target, streams.hourly_to(target, ["event_type"], "live"), "update")
+    return w.stored(s, target).where(F.year("hour") == 2024).select(text("hour").alias("hour"), "event_type", "n", F.round("value", 4).alias("value"))
 
 
-@query("ST-9_stream_sessions", """WITH e AS (SELECT user_id, date_trunc('second', ts) AS moment, event_id FROM events),
-g AS (SELECT *, CASE WHEN lag(moment) OVER w IS NULL OR epoch(moment) - epoch(lag(moment) OVER w) >= 3600 THEN 1 ELSE 0 END AS fresh FROM e WINDOW w AS (PARTITION BY user_id ORDER BY moment, event_id)),
+STREAM_SESSIONS = """WITH e AS (SELECT user_id, {} AS moment, event_id FROM events),
+g AS (SELECT *, CASE WHEN lag(moment) OVER w IS NULL OR epoch_us(moment) - epoch_us(lag(moment) OVER w) >= 3600000000 THEN 1 ELSE 0 END AS fresh FROM e WINDOW w AS (PARTITION BY user_id ORDER BY moment, event_id)),
 n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY moment, event_id ROWS UNBOUNDED PRECEDING) AS session FROM g)
-SELECT user_id, count(*) AS n, strftime(min(moment), '%Y-%m-%d %H:%M:%S') AS session_start, strftime(max(moment), '%Y-%m-%d %H:%M:%S') AS session_end FROM n GROUP BY user_id, session""")
+SELECT user_id, count(*) AS n, {} AS session_start, {} AS session_end FROM n GROUP BY user_id, session"""
+SECONDS = [f"strftime({x}(moment), '%Y-%m-%d %H:%M:%S')" for x in ("min", "max")]
+
+
+@query("ST-9_stream_sessions", STREAM_SESSIONS.format("date_trunc('second', ts)", *SECONDS))
 def stream_sessions(s, d):
-    whole = streamed(s, d, "events").select("user_id", F.date_trunc("second", "ts").alias("moment"))
-    out = result_of(s, streams.stream_sessions(whole, ["user_id"], "moment"), "complete")
+    seconds = streamed_batches(s, d).select("user_id", F.date_trunc("second", "ts").alias("moment"))
+    out = given(s, streams.stream_sessions(seconds, ["user_id"], "moment", watermark=LATENESS), "session_start")
     return out.select("user_id", "n", text("session_start").alias("session_start"), text("session_end").alias("session_end"))
+
+
+@query("ST-9_exact_sessions", STREAM_SESSIONS.format("ts", "epoch_us(min(moment))", "epoch_us(max(moment))"))
+def exact_sessions(s, d):
+    """Sessions to the microsecond."""
+    out = given(s, streams.stream_sessions(streamed_batches(s, d).select("user_id", "ts"), ["user_id"], "ts", watermark=LATENESS), "session_start")
+    return out.select("user_id", "n", F.unix_micros("session_start").alias("session_start"), F.unix_micros("session_end").alias("session_end"))

@@ -142,7 +142,25 @@ def stored(spark: SparkSession, target: str, paths: list[str] | None = None) ->
     return spark.read.schema(schema).option("basePath", target).parquet(*([target] if paths is None else paths))
 
 
-JOURNAL = "_replacing"
+JOURNAL, BATCH = "_replacing", "_batch"
+
+
+def _note(spark: SparkSession, path: str, what: object) -> None:
+    at, fs = _path(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(json.dumps(what).encode()))
+    out.close()
+
+
+def _noted(spark: SparkSession, path: str) -> object:
+    """What a small file says, None without one."""
+    at, fs = _path(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
 
 
 def _move(spark: SparkSession, source: str, goal: str) -> None:
@@ -165,8 +183,11 @@ def _move_in(spark: SparkSession, source: str, goal: str, prefix: str) -> None:
             _move(spark, f"{source}/{name}", f"{goal}/{name if status.isDirectory() else prefix + name}")
 
 
-def _commit(spark: SparkSession, target: str, made: str, stale: list[str], prefix: str = "") -> None:
-    """Moves the files of ``made`` into the table, with ``prefix`` before their names, and removes ``stale`` (files or folders)."""
+def _commit(spark: SparkSession, target: str, made: str, stale: list[str], prefix: str = "", batch: tuple[str, int] | None = None) -> None:
+    """Moves the files of ``made`` into the table, with ``prefix`` before their names, and removes ``stale`` (files or folders).
+
+    ``batch`` is the load's last batch from then on.
+    """
     root, fs = _path(spark, target)
     fs.mkdirs(root)
     top = fs.getFileStatus(root).getPath().toString().rstrip("/") + "/"
@@ -175,12 +196,10 @@ def _commit(spark: SparkSession, target: str, made: str, stale: list[str], prefi
         raise RuntimeError(f"the table changed while its replacement was made: {gone[:3]}")
     if fs.exists(journal):
         raise RuntimeError(f"another writer replaces rows of {target}")
-    plan = {"made": made, "stale": [x.removeprefix(top) for x in stale], "prefix": prefix, "old": f"_old.{uuid.uuid4().hex}"}
-    draft = _path(spark, f"{target}/{JOURNAL}.{uuid.uuid4().hex}")[0]
-    out = fs.create(draft, True)
-    out.write(bytearray(json.dumps(plan).encode()))
-    out.close()
-    _move(spark, draft.toString(), journal.toString())
+    plan = {"made": made, "stale": [x.removeprefix(top) for x in stale], "prefix": prefix, "old": f"_old.{uuid.uuid4().hex}", "batch": batch}
+    draft = f"{target}/{JOURNAL}.{uuid.uuid4().hex}"
+    _note(spark, draft, plan)
+    _move(spark, draft, journal.toString())
     finish(spark, target)
 
 
@@ -189,9 +208,7 @@ def finish(spark: SparkSession, target: str) -> None:
     journal, fs = _path(spark, f"{target}/{JOURNAL}")
     if not fs.exists(journal):
         return
-    stream = fs.open(journal)
-    plan = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    stream.close()
+    plan = _noted(spark, f"{target}/{JOURNAL}")
     old = f"{target}/{plan['old']}"
     for below in plan["stale"]:
         # what stands there after it was moved away is new
@@ -199,6 +216,9 @@ def finish(spark: SparkSession, target: str) -> None:
             _move(spark, f"{target}/{below}", f"{old}/{below}")
     if exists(spark, plan["made"]):
         _move_in(spark, plan["made"], target, plan["prefix"])
+    if plan["batch"]:
+        load, n = plan["batch"]
+        _note(spark, f"{target}/{BATCH}.{load}", n)
     fs.delete(_path(spark, plan["made"])[0], True)
     fs.delete(journal, False)
     fs.delete(_path(spark, old)[0], True)
@@ -374,6 +394,43 @@ def replace_partitions(df: DataFrame, target: str, col: str) -> None:
     _commit(spark, target, made, [fs.getFileStatus(_path(spark, x)[0]).getPath().toString() for x in there if exists(spark, x)])
 
 
+def load_name(load: str) -> str:
+    return hashlib.md5(load.encode()).hexdigest()[:16]
+
+
+def upsert(df: DataFrame, target: str, keys: list[str], by: str, load: str, batch_id: int) -> int:
+    """Rows of ``df`` take the place of those of equal keys; returns how many came.  The table is partitioned by ``by``, which the keys determine.
+
+    Only the partitions that ``df`` has rows of are read and written.  A load's batches come in
+    order, each once: one that was there before, or an older one, changes nothing.
+    """
+    spark, name = df.sparkSession, load_name(load)
+    there = exists(spark, target)
+    if there:
+        finish(spark, target)
+        last = _noted(spark, f"{target}/{BATCH}.{name}")
+        if last is not None and last >= batch_id:
+            return 0
+    df = df.persist()
+    try:
+        made, stale, rest, parts = f"{target}.{uuid.uuid4().hex}.new", [], None, [by]
+        if there and _some_file(spark, target):
+            df, parts, _ = _fitted(df, target)
+            escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+            values = [r[0] for r in df.select(F.col(by).cast("string")).distinct().collect()]
+            names = ["__HIVE_DEFAULT_PARTITION__" if v is None else escape(v) for v in values]
+            folders = [f for f in (f"{target}/{by}={n}" for n in names) if exists(spark, f)]
+            if folders:
+                stale = [path for _, _, path, _ in data_files(spark, target, folders)]
+                old, new = stored(spark, target, folders), df.select(*(F.col(k).alias(f"_{k}") for k in keys))
+                rest = old.join(new, reduce(Column.__and__, (old[k].eqNullSafe(new[f"_{k}"]) for k in keys)), "left_anti")
+        rows = _put(df, made, parts, more=rest)
+        _commit(spark, target, made, stale, batch=(name, batch_id))
+    finally:
+        df.unpersist()
+    return rows
+
+
 def stream_replace(batch: DataFrame, batch_id: int, target: str, window_col: str, load: str) -> None:
     """For ``foreachBatch``: the first batch of a window in a load replaces the window, later ones add to it.
 
@@ -383,7 +440,7 @@ def stream_replace(batch: DataFrame, batch_id: int, target: str, window_col: str
     cannot take, is an error before anything changes.
     """
     spark, made = batch.sparkSession, f"{target}.{uuid.uuid4().hex}.new"
-    loaded = f"{hashlib.md5(load.encode()).hexdigest()[:16]}."
+    loaded = f"{load_name(load)}."
     own, parts = f"{loaded}{batch_id}.", [window_col]
     if there := exists(spark, target):
         finish(spark, target)

@@ -1,23 +1,114 @@
-"""Streaming twins of the batch operators, on built-in state only."""
+"""Streaming twins of the batch operators.
+
+Event times are compared in microseconds, whatever the session's time zone.  Rows that come
+later than the watermark allows are left out, as everywhere in Spark.  What a key's state holds is
+bounded by what the watermark has not passed yet.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from wayfare.sources.writers import partition_column, upsert
+
+
+def _schema(sdf: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {sdf.schema[n].dataType.simpleString()}" for n in names)
+
+
+def _wake(state: GroupState, micros: int) -> None:
+    """Wakes the key once the watermark has passed ``micros``."""
+    state.setTimeoutTimestamp(max(micros // 1000, state.getCurrentWatermarkMs() + 1))
+
+
+def stream_first_seen(sdf: DataFrame, keys: list[str], ts: str, tie: str, watermark: str = "1 day", forget_seconds: int | None = None) -> DataFrame:
+    """(keys, ts, tie) of the first event of each key, whatever the order of arrival: the rows that ``first_seen`` ranks 1.
 
+    A key's least event is held back until the watermark has passed it, for no earlier one can come
+    then.  The key itself is remembered, so that it is never first again; with ``forget_seconds``
+    only so long after its first event, which is for keys that do not come back (such as a trip's stops on
+    a day), and bounds the state.  Rows with a null key or
+    time have no first event, and do not move the watermark.
+    """
 
-def stream_first_seen(sdf: DataFrame, keys: list[str], ts: str, watermark: str = "1 day") -> DataFrame:
-    """The first arrival of each key; for input in order, the rows that ``first_seen`` ranks 1."""
-    return sdf.where(" and ".join(f"{k} is not null" for k in keys)).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    def run(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, who, told = state.get if state.exists else (None, None, False)
+        for f in frames:
+            if told or not len(f):
+                continue
+            least = f.sort_values(["_at", tie]).iloc[0]
+            if at is None or (least["_at"], least[tie]) < (at, who):
+                at, who = int(least["_at"]), least[tie].item() if hasattr(least[tie], "item") else least[tie]
+        passed = state.getCurrentWatermarkMs() * 1000
+        if not told and passed >= at:
+            told = True
+            yield pd.DataFrame([[*key, at, who]], columns=[*keys, "_at", tie])
+        if told and forget_seconds is not None and passed >= at + forget_seconds * 1_000_000:
+            state.remove()
+            return
+        state.update((at, who, told))
+        if not told or forget_seconds is not None:
+            _wake(state, at + (forget_seconds * 1_000_000 if told else 0))
+
+    there = sdf.where(" and ".join(f"{k} is not null" for k in [*keys, ts])).withWatermark(ts, watermark)
+    rows = there.select(*keys, ts, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"))
+    out = rows.groupBy(*keys).applyInPandasWithState(run, f"{_schema(sdf, keys)}, _at long, {_schema(sdf, [tie])}", f"at long, {_schema(sdf, [tie])}, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*keys, F.timestamp_micros("_at").alias(ts), tie)
 
 
 def stream_hourly(sdf: DataFrame, ts: str, keys: list[str], watermark: str = "3 days", sums: tuple[str, ...] = ()) -> DataFrame:
-    """Counts and sums by hour and keys."""
+    """Counts and sums by hour and keys; for update mode, in which hours behind the watermark leave the state."""
     out = sdf.withWatermark(ts, watermark).groupBy(F.window(ts, "1 hour"), *keys).agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in sums))
     return out.select(F.col("window.start").alias("hour"), *keys, "n", *sums)
 
 
-def stream_sessions(sdf: DataFrame, keys: list[str], ts: str, gap_seconds: int = 3600, watermark: str = "1 day") -> DataFrame:
-    """Sessions of whole-second times: a gap of the limit starts a new one, as in ``gap_sessions``."""
-    out = sdf.withWatermark(ts, watermark).groupBy(*keys, F.session_window(ts, f"{gap_seconds - 1} seconds")).agg(F.count("*").alias("n"), F.min(ts).alias("session_start"), F.max(ts).alias("session_end"))
-    return out.drop("session_window")
+def hourly_to(target: str, keys: list[str], load: str):
+    """For ``foreachBatch`` of :func:`stream_hourly`: the hours of a batch take the place of their former figures, day by day.
+
+    The table is partitioned by ``hour_day``.  A batch that runs again changes nothing.
+    """
+    name, expr = partition_column("hour", "day")
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        upsert(batch.withColumn(name, expr), target, ["hour", *keys], name, load, batch_id)
+
+    return put
+
+
+def stream_sessions(sdf: DataFrame, keys: list[str], ts: str, gap_seconds: float = 3600, watermark: str = "1 day") -> DataFrame:
+    """(keys, n, session_start, session_end): the sessions of ``gap_sessions``, a gap of exactly the limit starting a new one.
+
+    A key holds its open sessions; late rows, within the watermark, extend or join them.  A session is given
+    out, and leaves the state, once the watermark is the gap behind its end.
+    """
+    gap = round(gap_seconds * 1_000_000)
+
+    def run(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        spans = list(zip(*state.get, strict=True)) if state.exists else []
+        for f in frames:
+            spans += [(int(t), int(t), int(n)) for t, n in f["_at"].value_counts().items()]
+        joined: list[list[int]] = []
+        for start, end, n in sorted(spans):
+            if joined and start - joined[-1][1] < gap:
+                joined[-1] = [joined[-1][0], max(end, joined[-1][1]), joined[-1][2] + n]
+            else:
+                joined.append([start, end, n])
+        passed = state.getCurrentWatermarkMs() * 1000
+        over = [x for x in joined if x[1] + gap <= passed]
+        if over:
+            yield pd.DataFrame([[*key, n, start, end] for start, end, n in over], columns=[*keys, "n", "_start", "_end"])
+        if left := [x for x in joined if x[1] + gap > passed]:
+            state.update(tuple(list(x) for x in zip(*left, strict=True)))
+            _wake(state, min(x[1] for x in left) + gap)
+        elif state.exists:
+            state.remove()
+
+    there = sdf.where(F.col(ts).isNotNull()).withWatermark(ts, watermark)
+    rows = there.select(*keys, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"))
+    out = rows.groupBy(*keys).applyInPandasWithState(run, f"{_schema(sdf, keys)}, n long, _start long, _end long", "starts array<long>, ends array<long>, counts array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*keys, "n", F.timestamp_micros("_start").alias("session_start"), F.timestamp_micros("_end").alias("session_end"))
