@@ -160,10 +160,14 @@ def find(text: str) -> list[tuple[int, int, str]]:
             if m := _LOGIN.match(text, last + 1):
                 out.append((last + 1, m.end() - 1, "login"))
         else:
+            # a cue inside what an earlier one of its kind has looked at to the end says nothing new
+            if last + 1 < cues.get(kind, 0):
+                continue
             m = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT, "secret": _SECRET}[kind].match(text, last + 1)
             if m and kind == "secret" and not _DIGITS.search(m[1]):
+                cues[kind] = m.end()
                 continue
-            if m and m.start(m.lastindex) >= cues.get(kind, 0):
+            if m:
                 span = m.span(m.lastindex)
                 if kind == "iban":
                     end = iban_end(text, *span)
