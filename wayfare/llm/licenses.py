@@ -1,13 +1,14 @@
 """Operator 1: licence scan with a positional rare-token index.
 
-Templates are short licence texts.  Their words' document frequencies are counted
+Templates are the headings and paragraphs of licences.  Their words' document frequencies are counted
 over all documents, and the index holds the positions of each word in each template.
 A file's licence words are ranked by that frequency: of every template whose key
 phrases' words it has, it looks up the ``RARE`` rarest that stand in the file, so a
 template is found by what this file has of it.  Every hit votes for a template at a
-relative position, and a place where enough rare words agree is verified: all key
-phrases of the template must stand where the place says, give or take ``SLACK``
-words.  The score is the largest share of a template's words found in place.
+relative position, and a place where half of the words looked up agree is verified: all
+key phrases of the template must stand where the place says, give or take ``SLACK``
+words.  The score is the largest share of a template's words found in place.  A licence
+line (``SPDX-License-Identifier``) gives the label of each identifier in its expression.
 
 The three base phrases are templates whose words are all mandatory; every place
 of theirs is found, for any such place holds the phrase's rarest word.
@@ -32,27 +33,54 @@ from wayfare.llm.common import documents
 
 #: Phrase and label.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Label, licence text, its mandatory key phrases.
+#: Label, a paragraph or heading of the licence, its mandatory key phrases.
 TEMPLATES = [
+    ("mit", "the mit license", ["mit license"]),
     ("mit", "released under the mit license", ["mit license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", ["permission is hereby granted", "without restriction"]),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions", ["permission is hereby granted", "without restriction"]),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ["this permission notice shall be included in all copies or substantial portions of the software"]),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software", ["in no event shall the authors or copyright holders be liable for any claim damages or other liability"]),
     ("apache-2.0", "licensed under the apache license version 2 0", ["apache license"]),
-    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind", ["unless required by applicable law", "as is basis"]),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at", ["you may not use this file except in compliance with the license"]),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", ["unless required by applicable law", "as is basis"]),
+    ("bsd", "bsd license", ["bsd license"]),
+    ("bsd", "bsd 2 clause license", ["bsd 2 clause"]),
+    ("bsd", "bsd 3 clause license", ["bsd 3 clause"]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution and use", "source and binary forms"]),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ["redistributions of source code must retain the above copyright notice"]),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", ["redistributions in binary form must reproduce the above copyright notice"]),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ["neither the name of", "may be used to endorse or promote products derived from this software"]),
     ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
     ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa"]),
+    ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", ["attribution noncommercial"]),
+    ("cc-by-sa", "creative commons attribution sharealike 4 0 international license", ["attribution sharealike"]),
+    ("cc0-1.0", "cc0 1 0 universal", ["cc0 1 0"]),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3", ["gnu general public license", "version 3"]),
-    ("gpl-2.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2", ["gnu general public license", "free software foundation"]),
+    ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", ["gnu general public license", "either version 3"]),
+    ("gpl-2.0", "gnu general public license version 2 june 1991", ["gnu general public license version 2"]),
+    ("gpl-2.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", ["gnu general public license", "either version 2"]),
     ("lgpl", "gnu lesser general public license", ["gnu lesser general public license"]),
+    ("lgpl", "lgpl v3", ["lgpl v3"]),
+    ("lgpl", "lgpl v2 1", ["lgpl v2 1"]),
+    ("agpl-3.0", "gnu affero general public license version 3", ["gnu affero general public license"]),
+    ("agpl-3.0", "agpl v3", ["agpl v3"]),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ["permission to use copy modify and or distribute this software", "with or without fee"]),
+    ("isc", "isc license", ["isc license"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software", "public domain"]),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means", ["anyone is free to copy modify publish use compile sell or distribute this software"]),
     ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", ["eclipse public license"]),
+    ("bsl-1.0", "boost software license version 1 0", ["boost software license"]),
     ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ["provided as is without any express or implied warranty", "in no event will the authors be held liable"]),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", ["the origin of this software must not be misrepresented"]),
 ]
-#: Label and the identifier's words in a source file's licence line.
-SPDX = {"mit": "mit", "apache-2.0": "apache 2 0", "bsd": "bsd 3 clause", "gpl-2.0": "gpl 2 0", "gpl-3.0": "gpl 3 0", "lgpl": "lgpl 3 0", "mpl-2.0": "mpl 2 0", "isc": "isc", "unlicense": "unlicense", "epl-2.0": "epl 2 0", "zlib": "zlib"}
-TEMPLATES += [(label, f"spdx license identifier {words}", [f"spdx license identifier {words}"]) for label, words in SPDX.items()]
+#: An identifier's words in a source file's licence line, and its label.
+SPDX = {"mit": "mit", "apache 2 0": "apache-2.0", "bsd 2 clause": "bsd", "bsd 3 clause": "bsd", "gpl 2 0": "gpl-2.0", "gpl 3 0": "gpl-3.0", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl", "agpl 3 0": "agpl-3.0", "mpl 2 0": "mpl-2.0", "isc": "isc", "unlicense": "unlicense", "epl 2 0": "epl-2.0", "zlib": "zlib", "cc0 1 0": "cc0-1.0", "bsl 1 0": "bsl-1.0"}
+#: The licence line; what follows it is an expression of identifiers joined by the words of ``JOINS``.
+LINE, JOINS = "spdx license identifier", (b"or", b"and", b"with")
+#: An expression ends where so many words hold no further join.
+STEP = 6
+TEMPLATES += [("", LINE, [LINE])]
 RARE, SLACK = 5, 2
 #: A-Z lower-cased; separators become spaces; bytes from 0x80 up belong to words.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -73,11 +101,6 @@ class Template:
     ranked: list[bytes] = field(default_factory=list)
     must: set[bytes] = field(default_factory=set)
 
-    @property
-    def need(self) -> int:
-        """So many rare words must agree on a place."""
-        return 1 if self.base else (min(len(self.ranked), RARE) + 1) // 2
-
 
 @dataclass
 class Index:
@@ -120,6 +143,7 @@ class Index:
                 for t, j in rare.get(w, ()):
                     votes[t, i - j] += 1
         starts, base, labels, score, places = [], set(), set(), 0.0, []
+        looked = Counter(t for places in rare.values() for t in {t for t, _ in places})
         for (t, at), _ in sorted(votes.items()):
             template = self.templates[t]
             if template.base:
@@ -127,10 +151,13 @@ class Index:
                     starts.append(at)
                     base.add(template.label)
                     score = 1.0
-            elif sum(votes.get((t, at + d), 0) for d in range(-SLACK, SLACK + 1)) >= template.need and all(self.stands(words, at + k, key) for k, key in template.keys):
-                labels.add(template.label)
+            elif sum(votes.get((t, at + d), 0) for d in range(-SLACK, SLACK + 1)) * 2 >= looked[t] and all(self.stands(words, at + k, key) for k, key in template.keys):
+                found = {template.label} if template.label else identifiers(words, max(at, 0))
+                if not found:
+                    continue
+                labels |= found
                 same = sum(0 <= at + i < len(words) and words[at + i] == w for i, w in enumerate(template.words))
-                places.append(f"{template.label}:{max(at, 0)}")
+                places += [f"{label}:{max(at, 0)}" for label in found]
                 score = max(score, same / len(template.words))
         return {"n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None), "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | labels)), "score": score, "places": ",".join(sorted(set(places)))}
 
@@ -139,6 +166,23 @@ class Index:
         return any(words[max(p, 0) : p + len(key)] == key for p in range(at - SLACK, at + SLACK + 1) if p >= 0)
 
 
+def identifiers(words: list[bytes], at: int) -> set[str]:
+    """The labels of the identifiers in the licence line near ``at``; unknown ones are passed over up to the next join."""
+    line, out = LINE.encode().split(), set()
+    starts = [p for p in range(max(at - SLACK, 0), at + SLACK + 1) if words[p : p + len(line)] == line]
+    for p in starts:
+        p += len(line)
+        while True:
+            for name, label in SPDX.items():
+                if words[p : p + len(name.split())] == name.encode().split():
+                    out.add(label)
+            joins = [k for k in range(p, min(p + STEP, len(words))) if words[k] in JOINS]
+            if not joins:
+                break
+            p = joins[0] + 1
+    return out
+
+
 def licence_words() -> list[str]:
     return sorted({w for text in [*BASE, *(t for _, t, _ in TEMPLATES)] for w in text.split()})
 
