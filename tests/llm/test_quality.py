@@ -37,7 +37,7 @@ def test_fit_is_a_minimum_and_scores_are_plain_sums(spark):
     grade = [min(2, t.count("good") // 3) for t in texts]
     hasher = Hasher()
     rows = [(*features(t, hasher), g) for t, g in zip(texts, grade, strict=True)]
-    model = fit(rows, steps=3000, least_share=None)
+    model = fit(rows, steps=3000, ridge=1e-3)
 
     def score(words, shape, m):
         return sum(float(m["words"][w]) for w in words) + float(shape @ m["shape"])

@@ -10,7 +10,7 @@ The fit uses a bounded sample (``sample`` labelled documents, the smallest by a
 hash of their id); scoring covers every document and whole texts.  Null text
 counts as empty.  A document labelled several times takes its lowest grade.
 With no usable label at all, every document is kept and its scores are null.
-Repeated rows are scored once each; other columns are ignored.
+Repeated rows are scored once each; other columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -28,8 +28,6 @@ from wayfare.llm.common import documents
 
 BITS = 18
 SAMPLE = 6000
-#: A word needs a weight only if one in so many sampled documents has it.
-LEAST_SHARE = 150
 WORD = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, score double, expected_grade double, p_at_least_1 double, p_at_least_2 double, kept boolean"
 SHAPES = 9
@@ -65,11 +63,11 @@ def features(text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(hasher.__getitem__, words), np.int64, len(words)), shape
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 500, ridge: float = 1e-3, least_share: int | None = LEAST_SHARE) -> dict | None:
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 500, ridge: float = 3e-4, least_share: int | None = None) -> dict | None:
     """Full-batch Adam on the ordinal log likelihood.
 
-    Words that fewer than one in ``least_share`` of the sampled documents have get no weight;
-    with None every word of the sample gets one, and only the ridge holds it.
+    Every word of the sample gets a weight, which only the ridge holds; with ``least_share`` only those
+    that one in so many sampled documents has.
     """
     if len({g for _, _, g in rows}) < 2:
         return None
@@ -162,8 +160,8 @@ def grade_documents(docs: DataFrame, model: dict | None, least: float = 0.5) ->
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
 
 
-def train(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: int = SAMPLE) -> dict | None:
-    return fit(sample_features(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), sample))
+def train(spark: SparkSession, docs: DataFrame, sf_dir: str, sample: int = SAMPLE, least_share: int | None = None) -> dict | None:
+    return fit(sample_features(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), sample), least_share=least_share)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
