@@ -8,18 +8,21 @@ estimates the similarity of a proposed pair.  The estimate only drops pairs that
 lie far below the threshold (by some seven standard deviations); what remains is
 confirmed on the full sets.
 
-A band bucket never emits its pairs.  In each round every bucket compares one
-component's smallest member with all members outside that component; links merge
-components, and buckets whose members are all in one component leave.  What is
-still apart after ``ROUNDS`` rounds is gathered by shared buckets into clusters,
-clusters are cut into blocks of at most ``BLOCK`` shingles, and tasks compare two
-blocks each: sketches first, full sets where components differ, and only links that
-join two components come out.  So no link that matters is lost, and neither tasks
-nor tables grow with the square of a group.
+A band bucket never emits all its pairs.  In each round up to ``PIVOTS`` members of a
+bucket, of different components, are compared with all its members outside their own
+component, and leave it; links merge components, and buckets whose members are all in one
+component are done.  A bucket of few members is so compared whole in one round, and of a large
+group of near copies almost all are joined.  What is still apart after ``ROUNDS`` rounds is
+gathered by shared buckets into clusters.  A cluster's largest component, which need not be
+compared with itself, and the rest are each cut into blocks of some ``BLOCK`` shingles, and tasks
+compare a block of the rest with one other block: sketches first, full sets where components
+differ, and only links that join two components come out.  So no link that matters is lost, and no
+table grows with the square of a group; a block is copied once for each block of the rest.
 
 Null or blank text has an empty set and links with nothing.  With fewer than five
 words the whole sequence is the one shingle.  A null doc_id stays null; repeated
-rows share a class.  Other columns are ignored.
+rows share a class.  Other columns are ignored.  An empty table gives an empty one; texts
+are read whole, however long.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ from wayfare.llm.graph import components
 WIDTH, PERCENT = 5, 85
 ROWS, BANDS = 4, 24
 SAMPLES, SKETCH_WORDS = ROWS * BANDS, 8
-ROUNDS = 2
+ROUNDS, PIVOTS = 2, 8
 #: Shingles in a block of a cluster (8 bytes each).
 BLOCK = 4_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -228,10 +231,15 @@ def links_within(members: DataFrame, percent: int) -> DataFrame:
             if found := list(joining_links(list(group), i != j, percent)):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
 
-    blocks = members.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("cluster", "cls", "root", "sketch", "items", "block", other)
+    size = members.groupBy("cluster", "root").agg(F.sum("n_shingles").alias("n"))
+    blocks = size.groupBy("cluster").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
+    cut = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    blocks = blocks.select("cluster", F.col("most.root").alias("large"), cut(F.col("most.n")).alias("large_blocks"), cut(F.col("n") - F.col("most.n")).alias("blocks"))
+    dealt = members.join(blocks, "cluster").withColumn("is_large", F.col("root") == F.col("large"))
+    # blocks of the rest are numbered from 0, those of the largest component from there on
+    own = F.when(F.col("is_large"), F.col("blocks") + F.pmod(F.xxhash64("cls"), "large_blocks")).otherwise(F.pmod(F.xxhash64("cls"), "blocks")).cast("int")
+    last = F.when(F.col("is_large"), F.col("blocks")).otherwise(F.col("blocks") + F.col("large_blocks")) - 1
+    dealt = dealt.withColumn("block", own).select("cluster", "cls", "root", "sketch", "items", "block", F.explode(F.sequence(F.lit(0), last)).alias("other"))
     pairs = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "root", "block", "sketch", "items")
     return pairs.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "a binary, b binary")
 
@@ -241,6 +249,14 @@ def open_buckets(labels: DataFrame) -> DataFrame:
     return labels.groupBy("key").agg(F.min(F.struct("root", "cls")).alias("lo"), F.max(F.struct("root", "cls")).alias("hi")).where("lo.root <> hi.root")
 
 
+def pivots_of(labels: DataFrame, step: int) -> DataFrame:
+    """(key, pivots): of the buckets with several components, members of up to PIVOTS of them: the least of each share of the components."""
+    share = F.pmod(F.xxhash64("root", F.lit(step)), F.lit(PIVOTS))
+    least = [F.min(F.when(share == k, F.struct("root", "cls"))).alias(f"p{k}") for k in range(PIVOTS)]
+    found = labels.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *least).where("lo <> hi")
+    return found.select("key", F.array_compact(F.array(*(f"p{k}" for k in range(PIVOTS)))).alias("pivots"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document: set size, the smallest doc_id it reaches by links of ``percent`` or more, and whether it is that one;
     ``text_hash`` tells rows of equal id apart."""
@@ -256,14 +272,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = store(shingle_sets(docs, wanted), "sets")
     labels, links, done = rows.select("cls", "key", F.col("cls").alias("root")), None, []
     for step in range(ROUNDS):
-        # a bucket with one component is done; else its pivot is the smallest member of one component,
-        # from the low end first and from the high end next, where components are small
-        ends = open_buckets(labels).select("key", (F.col("hi") if step % 2 else F.col("lo")).alias("pivot"))
-        pairs = labels.join(ends, "key").where("root <> pivot.root").select(F.least("pivot.cls", "cls").alias("a"), F.greatest("pivot.cls", "cls").alias("b")).distinct()
+        met = labels.join(pivots_of(labels, step), "key")
+        pairs = met.select("cls", "root", F.explode("pivots").alias("pivot")).where("root <> pivot.root").select(F.least("pivot.cls", "cls").alias("a"), F.greatest("pivot.cls", "cls").alias("b")).distinct()
         new = store(confirm(proposed(pairs, classes, percent), sets, percent), "confirmed")
         links = new if links is None else links.union(new)
         roots = components(links)
-        labels = store(rows.join(roots, rows.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root")), "labels")
+        # a pivot has met all members of its bucket
+        left = met.where(~F.exists("pivots", lambda p: p["cls"] == F.col("cls"))).select("cls", "key")
+        labels = store(left.join(roots, left.cls == roots.node, "left").select("cls", "key", F.coalesce("root", "cls").alias("root")), "labels")
         done += [new, roots, labels]
     apart = labels.join(open_buckets(labels).select("key", F.col("lo.cls").alias("pivot")), "key")
     apart = store(apart.select("cls", "root", "pivot").distinct(), "apart")
