@@ -92,11 +92,23 @@ def index_stop_sequence(locations: DataFrame) -> DataFrame:
     return rows.select("location_ping_id", "service_date", "trip_stop_sequence_imputed")
 
 
-def fill_stop_sequence(locations: DataFrame, index: DataFrame) -> DataFrame:
-    """Pings at a stop without a number of their own take the one before or, failing that, after."""
+def fill_stop_sequence(locations: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """Pings at a stop without a number of their own take the one before or, failing that, after.
+
+    The numbers of :func:`index_stop_sequence` are found in place, among all of a trip's pings: no join, and one
+    shuffle by trip.  An ``index`` made elsewhere is joined in instead.
+    """
     keys, order = [*TRIP, "stop_id_imputed"], ["event_timestamp", "location_ping_id"]
-    rows = locations.join(index.drop("service_date"), "location_ping_id", "left")
-    return rows.withColumn("trip_stop_sequence_imputed", both_ways("trip_stop_sequence_imputed", keys, order))
+    number = "trip_stop_sequence_imputed"
+    if index is not None:
+        return locations.join(index.drop("service_date"), "location_ping_id", "left").withColumn(number, both_ways(number, keys, order))
+    earlier = lambda by: over(by, order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = locations.withColumn("_at", F.coalesce(at_stop(), F.lit(False)))
+    rows = rows.withColumn("_before", F.last(F.when(F.col("_at"), F.col("stop_id_imputed")), ignorenulls=True).over(earlier(TRIP)))
+    first = F.coalesce(F.count_if("_at").over(earlier(keys)), F.lit(0)) == 0
+    rows = rows.withColumn("_new", (F.col("_at") & (first | differs("_before", F.col("stop_id_imputed")))).cast("int"))
+    rows = rows.withColumn(number, F.when(F.col("_at"), running_sum("_new", TRIP, order)))
+    return rows.withColumn(number, both_ways(number, keys, order)).drop("_at", "_before", "_new")
 
 
 def both_ways(col: str, keys: list[str], order: list[str]) -> Column:

@@ -102,8 +102,7 @@ z AS (SELECT *, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY se
 
 
 def filled(s, d) -> DataFrame:
-    located = bus.impute_trip_id(pings(s, d))
-    return bus.fill_stop_sequence(located, bus.index_stop_sequence(located))
+    return bus.fill_stop_sequence(bus.impute_trip_id(pings(s, d)))
 
 
 @query("D-B6_fill_stop_sequence", FILLED + " SELECT location_ping_id, seq AS trip_stop_sequence_imputed FROM z")
@@ -495,6 +494,19 @@ def several_values(s, d):
     return checks.several_values(table(s, d, "part"), ["p_brand"], "p_type")
 
 
+CHECKS = {"order has a customer": "o_custkey IS NULL", "status is known": "o_orderstatus NOT IN ('F', 'O')", "price in range": "o_totalprice < 1000 OR o_totalprice > 400000", "placed after 1993": "NOT (o_orderdate >= TIMESTAMP '1993-01-01')", "urgent orders are open": "o_orderpriority = '1-URGENT' AND NOT (o_orderstatus = 'O')"}
+
+
+@query("Q-1_checks_in_one_scan", "WITH o AS (SELECT * FROM orders), r AS (" + " UNION ALL ".join(f"SELECT '{name}' AS \"check\", 'warn' AS severity, count(*) FILTER ({bad}) AS failures FROM o" for name, bad in CHECKS.items()) + ") SELECT * FROM r UNION ALL SELECT 'one order a key', 'error', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'customer is known', 'warn', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
+def checks_in_one_scan(s, d):
+    """Five row-wise checks of a table are one scan of it; the others are jobs of their own."""
+    o = table(s, d, "orders")
+    bad = [checks.is_null("o_custkey"), checks.not_accepted("o_orderstatus", ["F", "O"]), checks.out_of_range("o_totalprice", 1000, 400000), checks.is_false("o_orderdate >= timestamp_ntz'1993-01-01'"), checks.is_false("o_orderstatus = 'O'", "o_orderpriority = '1-URGENT'")]
+    rows = [checks.Check(name, table=o, fails=f) for name, f in zip(CHECKS, bad, strict=True)]
+    more = [checks.Check("one order a key", checks.unique(o, "o_orderkey"), "error"), checks.Check("customer is known", checks.relationships(o, "o_custkey", table(s, d, "customer"), "c_custkey"))]
+    return checks.summarise([*rows, *more])
+
+
 @query("Q-18_several_signatures", "WITH g AS (SELECT l_orderkey % 50 AS k, l_orderkey AS m, string_agg(CAST(l_suppkey AS VARCHAR), '>' ORDER BY l_linenumber, CAST(l_suppkey AS VARCHAR)) AS sig FROM lineitem GROUP BY 1, 2) SELECT k, count(DISTINCT sig) AS n_signatures FROM g GROUP BY 1 HAVING count(DISTINCT sig) > 1")
 def several_signatures(s, d):
     return checks.several_signatures(table(s, d, "lineitem").withColumns({"k": c("l_orderkey") % 50, "m": c("l_orderkey")}), "k", "m", "l_suppkey", "l_linenumber")

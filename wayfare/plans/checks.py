@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +11,14 @@ from wayfare.functions.keys import safe_ratio
 from wayfare.operators.aggregates import join_text, null_rate
 
 
-@dataclass
 class Check:
-    name: str
-    failing: DataFrame
-    severity: str = "warn"
+    """A named check: its failing rows, or the condition under which a row of ``table`` fails."""
+
+    def __init__(self, name: str, failing: DataFrame | None = None, severity: str = "warn", table: DataFrame | None = None, fails: Column | None = None):
+        if (failing is None) == (fails is None) or (table is None) != (fails is None):
+            raise ValueError("a check has failing rows, or a table and a condition")
+        self.name, self.severity, self.table, self.fails = name, severity, table, fails
+        self.failing = table.where(fails) if failing is None else failing
 
 
 def _where(df: DataFrame, where: str | None) -> DataFrame:
@@ -23,16 +26,47 @@ def _where(df: DataFrame, where: str | None) -> DataFrame:
 
 
 def summarise(checks: list[Check]) -> DataFrame:
-    """(check, severity, failures), in one job over all checks."""
-    rows = [c.failing.agg(F.count("*").alias("failures")).select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures") for c in checks]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionAll(r)
-    return out
+    """(check, severity, failures), in one job over all checks; the row-wise checks of a table are one scan of it.
+
+    Tables are the same if they are the same DataFrame object.
+    """
+    one = lambda name, severity, n: F.struct(F.lit(name).alias("check"), F.lit(severity).alias("severity"), n.alias("failures"))
+    by_table: dict[int, list[Check]] = {}
+    for c in checks:
+        if c.fails is not None:
+            by_table.setdefault(id(c.table), []).append(c)
+    rows = [c.failing.agg(F.count("*").alias("n")).select(one(c.name, c.severity, F.col("n")).alias("r")) for c in checks if c.fails is None]
+    for own in by_table.values():
+        counts = own[0].table.agg(*(F.count_if(c.fails).alias(f"n{i}") for i, c in enumerate(own)))
+        rows.append(counts.select(F.explode(F.array(*(one(c.name, c.severity, F.col(f"n{i}")) for i, c in enumerate(own)))).alias("r")))
+    return reduce(DataFrame.unionAll, rows).select("r.*")
+
+
+def _and(where: str | None, bad: Column) -> Column:
+    return F.expr(where) & bad if where else bad
+
+
+def is_null(col: str, where: str | None = None) -> Column:
+    return _and(where, F.col(col).isNull())
+
+
+def not_accepted(col: str, values: list, where: str | None = None) -> Column:
+    return _and(where, ~F.col(col).isin(values))
+
+
+def out_of_range(col: str, low: object = None, high: object = None, where: str | None = None) -> Column:
+    bad = F.lit(False)
+    bad = bad | (F.col(col) < low) if low is not None else bad
+    bad = bad | (F.col(col) > high) if high is not None else bad
+    return _and(where, bad)
+
+
+def is_false(expr: str, where: str | None = None) -> Column:
+    return _and(where, ~F.expr(expr))
 
 
 def not_null(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
-    return _where(df, where).where(F.col(col).isNull())
+    return df.where(is_null(col, where))
 
 
 def unique(df: DataFrame, col: str, where: str | None = None) -> DataFrame:
@@ -44,7 +78,7 @@ def unique_combination(df: DataFrame, cols: list[str], where: str | None = None)
 
 
 def accepted_values(df: DataFrame, col: str, values: list, where: str | None = None) -> DataFrame:
-    return _where(df, where).where(~F.col(col).isin(values))
+    return df.where(not_accepted(col, values, where))
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str, where: str | None = None) -> DataFrame:
@@ -53,14 +87,11 @@ def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str
 
 
 def accepted_range(df: DataFrame, col: str, low: object = None, high: object = None, where: str | None = None) -> DataFrame:
-    bad = F.lit(False)
-    bad = bad | (F.col(col) < low) if low is not None else bad
-    bad = bad | (F.col(col) > high) if high is not None else bad
-    return _where(df, where).where(bad)
+    return df.where(out_of_range(col, low, high, where))
 
 
 def expression_is_true(df: DataFrame, expr: str, where: str | None = None) -> DataFrame:
-    return _where(df, where).where(~F.expr(expr))
+    return df.where(is_false(expr, where))
 
 
 def equal_rowcount(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -118,10 +149,23 @@ def several_values(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count_distinct(col).alias("n_values"), join_text(col, ", ", distinct=True).alias("found")).where("n_values > 1")
 
 
+def signatures(df: DataFrame, keys: list[str], item: str, order: str) -> DataFrame:
+    """(keys, n, signature): how many items a group has, and a 128-bit hash of them in their order (equal places by the item's text).
+
+    The place of an item comes from a window, whose sort spills, and the hash from a partial aggregate, so a group of any
+    size needs constant memory; no text of a group is made.  Null items have no place.
+    """
+    text = F.col(item).cast("string")
+    place = F.when(text.isNotNull(), F.count(text).over(Window.partitionBy(*keys).orderBy(order, text.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)))
+    rows = df.select(*keys, text.alias("_item"), place.alias("_place"))
+    halves = (F.coalesce(F.bit_xor(F.when(F.col("_place").isNotNull(), F.xxhash64(*h))), F.lit(0)).cast("bigint") for h in (("_place", "_item"), (F.lit("ordered"), "_item", "_place")))
+    return rows.groupBy(*keys).agg(F.count("_place").alias("n"), F.struct(*(h.alias(n) for h, n in zip(halves, ("a", "b"), strict=True))).alias("signature"))
+
+
 def several_signatures(df: DataFrame, key: str, member: str, item: str, order: str) -> DataFrame:
-    """Keys whose members do not all have the same ordered items."""
-    signs = df.groupBy(key, member).agg(join_text(item, ">", order=order).alias("signature"))
-    return signs.groupBy(key).agg(F.count_distinct("signature").alias("n_signatures")).where("n_signatures > 1")
+    """Keys whose members do not all have the same ordered items, and how many orders there are."""
+    signs = signatures(df, [key, member], item, order)
+    return signs.groupBy(key).agg(F.count_distinct("n", "signature").alias("n_signatures")).where("n_signatures > 1")
 
 
 def small_groups(df: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
