@@ -31,6 +31,7 @@ def stage_bus_events(raw: DataFrame) -> DataFrame:
 
 
 def trip_type(pattern: Column, known: Column) -> Column:
+    """Pattern codes and the trip types that they stand for."""
     other = "Other not in service"
     return classify([(pattern.like("PI%"), "Pullin"), (pattern.like("PO%"), "Pullout"), (pattern.like("DH%"), "Deadhead"), (pattern.rlike("^[A-Z](98|99)"), other), (pattern == "0", other), (pattern.like("TTT%"), other), (known, "In service")], other)
 

@@ -35,6 +35,9 @@ def stage_open_payment(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {table: df.select(*map(typed, df.columns)) for table, df in raw.items()}
 
 
+# Codes of sale and use transactions and of media, and the names that the data model gives them.
+
+
 def sale_action() -> Column:
     kind = F.col("sale_transaction_type")
     return classify([(kind.isin(1, 3), "Activate"), (kind.isin(2, 4), "Add"), (kind == 0, "New"), (kind == 5, "Purchase"), (kind == 6, "Other")], "Unknown action type")
@@ -112,12 +115,17 @@ def fare_quality_card(txns: DataFrame) -> DataFrame:
 
 
 def fare_quality_open_payment(txns: DataFrame) -> DataFrame:
-    """Duplicates by time and device; a complete variable fare must have one entry and one exit."""
-    same, pay = Window.partitionBy("event_timestamp", "device_id"), Window.partitionBy("micropayment_id")
+    """Duplicates by time and device; a complete variable fare must have one entry and one exit.
+
+    Rows without a payment have no balance, so they are dealt out by themselves instead of meeting in one task.
+    """
+    alone = F.when(F.col("micropayment_id").isNull(), F.xxhash64("transaction_id", "event_timestamp", "device_id"))
+    same, pay = Window.partitionBy("event_timestamp", "device_id"), Window.partitionBy("micropayment_id", alone)
     complete = F.coalesce(F.col("charge_type") == "complete_variable_fare", F.lit(False))
     count = lambda actions: F.count_if(complete & F.col("fare_action").isin(*actions)).over(pay)
     first = F.min("transaction_id").over(same)
     rows = txns.withColumns({"has_duplicates": F.count("*").over(same) > 1, "_first": F.coalesce(F.col("transaction_id") == first, F.lit(True)), "_in": count(ENTER), "_out": count(EXIT), "_any": F.bool_or(complete).over(pay) & F.col("micropayment_id").isNotNull()})
+    # fixed values: the reasons that the data model names
     have = [(f"has_{c}", F.col(c).isNotNull(), f"Missing {c}") for c in ("transaction_id", "service_date", "event_timestamp", "fare_action", "micropayment_id")]
     bad = lambda cond: ~(F.col("_any") & cond)
     balance = [("one_entry", bad(F.col("_in") > 1), "Multiple entry records for complete variable fare"), ("one_exit", bad(F.col("_out") > 1), "Multiple exit records for complete variable fare"), ("has_entry", bad(F.col("_in") == 0), "No entry record for complete variable fare"), ("has_exit", bad(F.col("_out") == 0), "No exit record for complete variable fare")]

@@ -47,7 +47,7 @@ def station_events(gate_events: DataFrame, fare_txns: DataFrame, mezzanines: Dat
     is_one = lambda *values: F.coalesce(F.col("event_type").isin(*values), no)
     gates = gate_events.where(F.col("stop_id").isNotNull() & (F.col("source_system") == GATES)).select("service_date", "stop_id", "event_timestamp", "event_type", is_one("Passenger entry").alias("is_entry"), is_one("Passenger exit").alias("is_exit"), no.alias("is_entry_transaction"), no.alias("is_exit_transaction"), "source_system")
     seed = mezzanines.select(F.col("mezzanine_id").cast("string").alias("_id"), "station_code")
-    fares = fare_txns.join(F.broadcast(seed), fare_txns["stop_id"] == F.col("_id")).select("service_date", F.col("station_code").alias("stop_id"), "event_timestamp", F.col("fare_action").alias("event_type"), "source_system")
+    fares = fare_txns.join(seed, fare_txns["stop_id"] == F.col("_id")).select("service_date", F.col("station_code").alias("stop_id"), "event_timestamp", F.col("fare_action").alias("event_type"), "source_system")
     fares = fares.join(rail_stops.select("service_date", "stop_id").distinct(), ["service_date", "stop_id"], "left_semi")
     fares = fares.withColumns({"is_entry": no, "is_exit": no, "is_entry_transaction": is_one("Enter", "Transfer entrance"), "is_exit_transaction": is_one("Exit", "Transfer exit")})
     out = union_all(gates, fares).withColumn("hour_of_day", F.hour("event_timestamp"))
