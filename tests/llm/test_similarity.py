@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from wayfare.llm import neardup
+from wayfare.llm import hamming, neardup
 from wayfare.llm.hamming import search
 from wayfare.llm.neardup import near_duplicates, one_of_each
 from wayfare.llm.syncmers import anchors, compared, fingerprints, matches
@@ -158,3 +158,20 @@ def test_exact_search(spark):
     few = search(vectors.where("vec_id in (0, 50, 51)"), F.col("vec_id") == 0, 7).collect()
     assert sorted(r.vec_id for r in few) == [50, 51]
     assert search(vectors.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_far_queries_are_compared_with_all_codes(spark, monkeypatch):
+    rng, calls, plain = random.Random(9), [], hamming.scanned
+    monkeypatch.setattr(hamming, "TOGETHER", 3)
+    monkeypatch.setattr(hamming, "scanned", lambda *a: (calls.append(a[0].select("query").distinct().count()), plain(*a))[1])
+    rows = [(i, [rng.gauss(0, 1) for _ in range(128)]) for i in range(200)]
+    rows += [(200 + i, [x if rng.random() > 0.03 else -x for x in rows[i % 4][1]]) for i in range(100)]  # queries 0 and 100 have near ones, others have none
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.distance) for r in search(vectors, F.col("vec_id") % 20 == 0, 5).collect())
+    bits = {i: [x > 0 for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 300, 20):
+        near = sorted((sum(x != y for x, y in zip(bits[q], bits[i], strict=True)), i) for i in bits if i != q)[:5]
+        want += [(q, k + 1, i, d) for k, (d, i) in enumerate(near)]
+    assert got == sorted(want)
+    assert calls and 0 < calls[0] < 15

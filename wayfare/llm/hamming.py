@@ -6,7 +6,9 @@ floor(D / segments) bits.  Round r therefore probes every segment's values at
 Hamming distance exactly r from the query's, made by
 one bit after the other; after it all codes closer than segments * (r + 1) are
 known.  A query leaves once its k-th verified distance is that small, so results
-are exact.  The k-th distance comes from a query's counts per distance.
+are exact.  The k-th distance comes from a query's counts per distance.  Where a round would
+probe more values for a query than there are codes, the queries that are left are compared with all
+codes instead, ``TOGETHER`` of them at a time: only codes as near as a query's k-th so far come out.
 
 Equal codes are one row with their k + 1 smallest ids, so copies of one vector
 cannot swell a bucket.  Neighbours are ordered by distance, then id; a vector is
@@ -18,6 +20,9 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +54,25 @@ def ring(segments: DataFrame, radius: int, width: Column) -> DataFrame:
     return out.drop("bit")
 
 
+#: Queries that are compared with all codes at a time; they are broadcast, some 100 bytes each.
+TOGETHER = 4096
+
+
+def scanned(waiting: DataFrame, table: DataFrame, found: DataFrame, known: DataFrame, need: int, dims: int) -> list[DataFrame]:
+    """(query, code, distance) as stored tables: for the queries that wait, all codes no farther than their need-th so far, from all codes."""
+    so_far = found.join(known.select("code", F.size("ids").alias("n")), "code").groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("far"))
+    left = store(waiting.select("query").distinct().join(so_far, "query", "left").select("query", F.when(F.col("n") >= need, F.col("far")).otherwise(dims).alias("far")), "far")
+    batches = -(-left.count() // TOGETHER)
+    codes_only, out = table.select("code").distinct(), []
+    for b in range(batches):
+        # a share by hash is TOGETHER queries give or take a few hundredths
+        some = left.where(F.pmod(F.xxhash64("query"), F.lit(batches)) == b)
+        pairs = codes_only.join(F.broadcast(some), distance(F.col("query"), F.col("code")) <= F.col("far"))
+        out.append(store(pairs.select("query", "code", distance(F.col("query"), F.col("code")).alias("distance")), "scanned"))
+    drop(left)
+    return out
+
+
 def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, distance) for the vectors that ``queries`` selects, against all."""
     dims = vectors.select(F.max(F.size("embedding"))).first()[0] or 1
@@ -66,18 +90,27 @@ def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     found, need = None, min(k + 1, total)
     width = F.least(F.lit(size), F.lit(dims) - F.col("segment") * size)
     for radius in range(size + 1):
-        probes = ring(waiting, radius, width)
-        # a query's probes outgrow what the planner expects of an explode: never broadcast them
-        new = probes.join(table.hint("merge"), ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code")).alias("distance"))
+        made: list[DataFrame] = []
+        far = found is not None and len(starts) * math.comb(size, radius) > n
+        if far:
+            made = scanned(waiting, table, found, known, need, dims)
+            new = reduce(DataFrame.union, made)
+        else:
+            probes = ring(waiting, radius, width)
+            # a query's probes outgrow what the planner expects of an explode: never broadcast them
+            new = probes.join(table.hint("merge"), ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code")).alias("distance"))
         both = store((new if found is None else found.union(new).distinct()).join(known.select("code", F.size("ids").alias("n")), "code"), "both")
         # a query's codes up to the distance at which need ids are reached
         counts = both.groupBy("query", "distance").agg(F.sum("n").alias("n"))
         before = Window.partitionBy("query").orderBy("distance").rowsBetween(Window.unboundedPreceding, -1)
         ahead = counts.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
         kth = ahead.where(F.col("ahead") < need).groupBy("query").agg(F.max("distance").alias("kth"))
-        old = [t for t in (found, both) if t is not None]
+        old = [t for t in (found, both, *made) if t is not None]
         near = both.join(kth, "query").where(F.col("distance") <= F.col("kth"))
         found = store(near.select("query", "code", "distance"), "found")
+        if far:
+            drop(*old)
+            break
         full = near.groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("kth")).where((F.col("n") >= need) & (F.col("kth") < len(starts) * (radius + 1)))
         waiting = store(waiting.join(full.select("query"), "query", "left_anti"), "waiting")
         drop(*old)
