@@ -4,16 +4,18 @@ import os
 import random
 import re
 import sys
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from wayfare.llm import hamming, neardup
 from wayfare.llm.hamming import search
 from wayfare.llm.neardup import near_duplicates, one_of_each
-from wayfare.llm.syncmers import anchors, compared, fingerprints, matches
+from wayfare.llm.syncmers import DRIFT, anchors, compared, fingerprints, matches
 
 sys.path.insert(0, os.path.dirname(__file__))
 from brute_syncmers import brute  # noqa: E402
+from brute_syncmers import x as xx  # noqa: E402
 
 RNG = random.Random(7)
 WORDS = ["alpha", "beta", "Gamma", "delta,", "eps", "zeta", "eta.", "theta", "iota", "kappa"]
@@ -136,6 +138,53 @@ def test_long_texts_keep_all_anchors(spark):
     assert got[9].near_next > 0 and got[9].matched_next >= 10 and got[9].near_edited > 0.4
 
 
+def plain_compared(rows):
+    """Likenesses of the query's fingerprints, from lists and counts."""
+
+    def marks(text):
+        words = [w.encode() for w in re.split("[\x20\x09-\x0D]+", text) if w]
+        h = [xx(w) for w in words]
+        if len(h) < 4:
+            return [(0, xx(*h))] if h else []
+        p = [xx(a, b) for a, b in zip(h, h[1:], strict=False)]
+        return [(i, xx(p[i], p[i + 2])) for i in range(len(p) - 2) if min(p[i], p[i + 2]) <= p[i + 1]] or [(0, xx(*h))]
+
+    def alike(a, b):
+        first = [{}, {}]
+        for side, m in enumerate((a, b)):
+            for at, h in m:
+                first[side].setdefault(h, at)
+        steps = Counter((first[0][h] - first[1][h]) // DRIFT for h in first[0] if h in first[1])
+        union = len({*first[0], *first[1]})
+        return max((n + steps[k + 1] for k, n in steps.items()), default=0) / union if union else 1.0
+
+    rows = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for i, (doc, text) in enumerate(rows):
+        text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
+        n = len(text)
+        edited = text[: n - n // 3] + after[: n // 3]
+        out[doc] = (alike(marks(text), marks(edited)), alike(marks(text), marks(after)))
+    return out
+
+
+def test_likeness_by_places(spark):
+    rows = list(enumerate(made_texts()))
+    rng = random.Random(21)
+    words = [f"p{rng.randint(0, 10**6)}" for _ in range(1200)]
+    passages = [words[i : i + 200] for i in range(0, 1200, 200)]
+    shuffled = [passages[i] for i in (4, 1, 5, 0, 3, 2)]
+    for k, other in enumerate((words, sum(shuffled, []), words[:300] + ["new"] * 20 + words[300:], words[90:] + words[:90], [*words[:600], *words[:600]])):
+        rows += [(1001 + 2 * k, " ".join(words)), (1000 + 2 * k, " ".join(other))]
+    docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, at int").repartition(5)
+    got = {r.doc_id: (r.near_edited, r.near_next) for r in compared(docs, 6).collect()}
+    want = plain_compared(rows)
+    assert {d: tuple(round(x, 12) for x in v) for d, v in got.items()} == {d: tuple(round(x, 12) for x in v) for d, v in want.items()}
+    same, mixed, longer, turned, half = (got[1001 + 2 * k][1] for k in range(5))
+    assert same == 1.0 and mixed < 0.5 < turned < longer < same and half < same
+    assert compared(docs.limit(0), 4).count() == 0
+
+
 def test_four_words_have_an_anchor(spark):
     rows = [(k, f"a{k} b{k} c{k} d{k}") for k in range(60)] + [(60, " \n")]
     got = {r.doc_id: r for r in compared(spark.createDataFrame(rows, "doc_id long, text string"), 3).collect()}

@@ -5,9 +5,13 @@ if the least of its three s-mers lies at its first or last place.  The choice
 depends on the k-mer alone, so equal passages give equal anchors wherever they
 stand.  The fingerprint holds all chosen k-mers, each with its hash, its place and
 how many of the same hash stand before it.  Two fingerprints are matched by place:
-the n-th anchor of a hash with the n-th of the same hash.  Their likeness is the
-share of the distinct hashes of their union that are matched, which is the chosen
-k-mers' Jaccard similarity, exact for texts of any length.
+the n-th anchor of a hash with the n-th of the same hash.  Each distinct hash that is
+matched votes for the difference of its two places, in steps of ``DRIFT`` words, and two
+neighbouring steps have the most votes: these hashes stand in place, the others elsewhere.
+The likeness is the share of the distinct hashes of the union that are matched in
+place, so passages in another order count less than in the same one; it is exact for texts
+of any length.  :func:`fingerprints` counts all matched hashes, wherever they stand (their
+Jaccard similarity).
 
 With fewer than four words the whole sequence is the one anchor; the query does the
 same for four words whose one k-mer is not chosen (``always``).  Null or blank
@@ -25,6 +29,8 @@ from pyspark.sql import functions as F
 from wayfare.llm.common import documents
 
 K, S = 4, 2
+#: Places may drift by so many words, by what was put in or taken out before them.
+DRIFT = 64
 
 
 def bound(value: Column, body) -> Column:
@@ -103,10 +109,27 @@ def matched(a: Column, b: Column) -> Column:
     return bound(F.sort_array(F.concat(side(a, 0), side(b, 1))), pairs)
 
 
-def likeness(a: Column, b: Column, pairs: Column) -> Column:
-    """Share of the union's distinct hashes that ``pairs``, the matching of a and b, holds; 1 if both are empty."""
-    both = F.size(distinct(pairs))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(bound(both, lambda n: n / (F.size(distinct(a)) + F.size(distinct(b)) - n))).cast("double")
+def in_place(pairs: Column) -> Column:
+    """How many of the distinct matched hashes agree on a difference of places: the most in two neighbouring steps of DRIFT words."""
+
+    def most(steps: Column) -> Column:
+        new = F.filter(F.transform(steps, lambda x, i: F.when((i == 0) | (x != F.get(steps, i - 1)), i)), lambda i: i.isNotNull())
+
+        def votes(starts: Column) -> Column:
+            until = lambda j: F.coalesce(F.get(starts, j), F.size(steps))
+            own = lambda at, j: until(j + 1) - at + F.when(F.get(steps, F.get(starts, j + 1)) == F.get(steps, at) + 1, until(j + 2) - until(j + 1)).otherwise(0)
+            return F.coalesce(F.array_max(F.transform(starts, own)), F.lit(0))
+
+        return bound(new, votes)
+
+    return bound(F.sort_array(F.transform(distinct(pairs), lambda p: F.floor((p["a"] - p["b"]) / DRIFT))), most)
+
+
+def likeness(a: Column, b: Column, pairs: Column, placed: bool = False) -> Column:
+    """Share of the union's distinct hashes that ``pairs``, the matching of a and b, holds (``placed``: in place); 1 if both are empty."""
+    union = F.size(distinct(a)) + F.size(distinct(b)) - F.size(distinct(pairs))
+    share = (in_place(pairs) if placed else F.size(distinct(pairs))) / union
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(share).cast("double")
 
 
 def matches(a: Column, b: Column) -> Column:
@@ -151,7 +174,7 @@ def compared(docs: DataFrame, parts: int | None = None, always: bool = True) ->
     marks, edited, after = F.col("marks"), F.col("edited_marks"), F.col("after_marks")
 
     def near(other: Column) -> Column:
-        return bound(matched(marks, other), lambda p: F.struct(F.size(p).cast("long").alias("n"), likeness(marks, other, p).alias("share")))
+        return bound(matched(marks, other), lambda p: F.struct(F.size(p).cast("long").alias("n"), likeness(marks, other, p, placed=always).alias("share")))
 
     d = d.select("doc_id", "n_chars", "edited_sha256", written(marks).alias("fingerprint"), written(edited).alias("edited_fingerprint"), written_places(marks).alias("places"), written_places(edited).alias("edited_places"), near(edited).alias("edited"), near(after).alias("next"))
     return d.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.col("edited.share").alias("near_edited"), F.col("next.share").alias("near_next"), "places", "edited_places", F.col("edited.n").alias("matched_edited"), F.col("next.n").alias("matched_next"))
