@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfare.llm import neardup, packing, pii, quality, substrings
-from wayfare.llm.common import documents, store
+from wayfare.llm.common import documents, drop, store
 
 #: SQL has no form for the classifier or the tokens; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -76,7 +76,10 @@ STAGES = [("quality", good_quality), ("neardup", without_near_duplicates), ("sub
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, last = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            drop(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
