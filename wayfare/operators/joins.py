@@ -30,38 +30,45 @@ def expand_ranges(df: DataFrame, start: str, end: str, out: str, unit: str = "da
     return df.where(F.col(start) <= F.col(end)).withColumn(out, F.explode(steps))
 
 
-#: Ranges are covered by blocks of 2**SHORTEST days, and of four times as many on each further level; LEVELS reach past the year 9999.
-SHORTEST, LEVELS = 5, 10
+#: Ranges are covered by blocks of 2**SHORTEST days, and of four times as many on each further level.
+SHORTEST = 5
+
+
+def _ends(start: Column, end: Column) -> tuple[Column, Column, Column]:
+    """A closed range of days in shortest blocks, first and last, and the highest level that a block inside it can have."""
+    p, q = F.shiftright(F.unix_date(start), SHORTEST), F.shiftright(F.unix_date(end), SHORTEST)
+    return p, q, F.floor(F.log2((q - p + 1).cast("double")) / 2 + 1e-9).cast("int")
 
 
 def cover(start: Column, end: Column) -> Column:
     """Blocks (level, block) that cover a closed range of days, none inside another: two or three for a month, under 60 up to 9999-12-31."""
+    p, q, levels = _ends(start, end)
     steps = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    p, q = F.shiftright(F.unix_date(start), SHORTEST), F.shiftright(F.unix_date(end), SHORTEST)
-    at = lambda k: lambda b: F.struct(F.lit(k).alias("level"), b.alias("block"))
-    first = lambda k: -F.shiftright(-p, 2 * k)
-    last = lambda k: F.shiftright(q + 1, 2 * k) - 1
-    parts = []
-    for k in range(LEVELS):
+
+    def own(k: Column) -> Column:
+        first = lambda n: -F.call_function("shiftright", -p, 2 * n)
+        last = lambda n: F.call_function("shiftright", q + 1, 2 * n) - 1
         lo, hi, up, top = first(k), last(k), first(k + 1), last(k + 1)
         # what whole blocks of the next level hold is left to it
-        own = steps(lo, hi) if k == LEVELS - 1 else F.when(up > top, steps(lo, hi)).otherwise(F.concat(steps(lo, up * 4 - 1), steps(top * 4 + 4, hi)))
-        parts.append(F.transform(own, at(k)))
-    return F.flatten(F.array(*parts))
+        mine = F.when(up > top, steps(lo, hi)).otherwise(F.concat(steps(lo, up * 4 - 1), steps(top * 4 + 4, hi)))
+        return F.transform(mine, lambda b: F.struct(k.alias("level"), b.alias("block")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), levels), own))
 
 
 def match_ranges(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, on: tuple[str, ...] = ()) -> DataFrame:
     """Points joined to the closed date ranges that hold them, by equal blocks of days (and keys) rather than by comparison.
 
     A range is a row for each block of its :func:`cover`, however long it is; a point looks up
-    its block on each level that the ranges use (one number, found beforehand).
+    its block on each level that the ranges can use (one number, found beforehand).
     """
-    day = lambda c: F.col(c).cast("date")
-    blocks = ranges.where(F.col(start) <= F.col(end)).withColumn("_at", F.explode(cover(day(start), day(end))))
+    low, high = (F.col(c).cast("date") for c in (start, end))
+    there = ranges.where(F.col(start) <= F.col(end))
+    top = there.agg(F.max(_ends(low, high)[2])).first()[0] or 0
+    blocks = there.withColumn("_at", F.explode(cover(low, high)))
     blocks = blocks.withColumns({"_level": F.col("_at.level"), "_block": F.col("_at.block")}).drop("_at")
-    top = blocks.agg(F.max("_level")).first()[0] or 0
     seen = points.where(F.col(point).isNotNull()).withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top))))
-    seen = seen.withColumn("_block", F.expr(f"shiftright(unix_date(cast(`{point}` as date)) , {SHORTEST} + 2 * _level)"))
+    seen = seen.withColumn("_block", F.expr(f"shiftright(unix_date(cast(`{point}` as date)), {SHORTEST} + 2 * _level)"))
     return seen.join(blocks, ["_level", "_block", *on]).where(F.col(point).between(F.col(start), F.col(end))).drop("_level", "_block")
 
 

@@ -264,11 +264,15 @@ def _fitted(df: DataFrame, target: str) -> tuple[DataFrame, list[str], StructTyp
     return check_schema(df, schema), parts, schema
 
 
-def _put(df: DataFrame, path: str, parts: list[str], mode: str = "errorifexists", more: DataFrame | None = None, foreign: Column | None = None) -> int:
-    """Writes ``df`` (and ``more``); the number of rows of ``df``, of which none may be ``foreign``."""
+def _put(df: DataFrame, path: str, parts: list[str], mode: str = "errorifexists", more: DataFrame | None = None, foreign: Column | None = None, dealt: bool = False) -> int:
+    """Writes ``df`` (and ``more``); the number of rows of ``df``, of which none may be ``foreign``.
+
+    With ``dealt``, rows are brought together by partition first, in tasks of an even size, so that small batches make few files.
+    """
     seen = Observation()
     df = df.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.lit(False) if foreign is None else foreign).alias("foreign"))
-    w = (df if more is None else df.unionByName(more)).write.mode(mode)
+    rows = df if more is None else df.unionByName(more)
+    w = (rows.hint("rebalance", *map(F.col, parts)) if dealt else rows).write.mode(mode)
     (w.partitionBy(*parts) if parts else w).parquet(path)
     if seen.get["foreign"]:
         raise ValueError(f"{seen.get['foreign']} rows of other partitions")
@@ -424,7 +428,7 @@ def upsert(df: DataFrame, target: str, keys: list[str], by: str, load: str, batc
                 stale = [path for _, _, path, _ in data_files(spark, target, folders)]
                 old, new = stored(spark, target, folders), df.select(*(F.col(k).alias(f"_{k}") for k in keys))
                 rest = old.join(new, reduce(Column.__and__, (old[k].eqNullSafe(new[f"_{k}"]) for k in keys)), "left_anti")
-        rows = _put(df, made, parts, more=rest)
+        rows = _put(df, made, parts, more=rest, dealt=True)
         _commit(spark, target, made, stale, batch=(name, batch_id))
     finally:
         df.unpersist()
