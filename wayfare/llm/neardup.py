@@ -44,7 +44,7 @@ from wayfare.llm.graph import components
 WIDTH, PERCENT = 5, 85
 ROWS, BANDS = 4, 24
 SAMPLES, SKETCH_WORDS = ROWS * BANDS, 8
-ROUNDS, PIVOTS = 2, 8
+ROUNDS, PIVOTS = 2, 2
 #: Shingles in a block of a cluster (8 bytes each).
 BLOCK = 4_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -59,7 +59,7 @@ class Words(dict):
     """Word -> 64-bit hash."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = out = xxhash.xxh3_64_intdigest(word)
         return out

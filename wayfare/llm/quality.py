@@ -38,7 +38,7 @@ class Hasher(dict):
     """Word -> bucket of its hash; the first SHAPES buckets are kept for shape features."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = out = SHAPES + zlib.crc32(word.encode()) % ((1 << BITS) - SHAPES)
         return out
