@@ -30,7 +30,8 @@ from wayfare.llm.common import documents
 
 K, S = 4, 2
 #: Places may drift by so many words, by what was put in or taken out before them.
-DRIFT = 64
+DRIFT_BITS = 6
+DRIFT = 1 << DRIFT_BITS
 
 
 def bound(value: Column, body) -> Column:
@@ -109,8 +110,8 @@ def matched(a: Column, b: Column) -> Column:
     return bound(F.sort_array(F.concat(side(a, 0), side(b, 1))), pairs)
 
 
-def in_place(pairs: Column) -> Column:
-    """How many of the distinct matched hashes agree on a difference of places: the most in two neighbouring steps of DRIFT words."""
+def in_place(matched: Column) -> Column:
+    """How many of the distinct ``matched`` hashes agree on a difference of places: the most in two neighbouring steps of DRIFT words."""
 
     def most(steps: Column) -> Column:
         new = F.filter(F.transform(steps, lambda x, i: F.when((i == 0) | (x != F.get(steps, i - 1)), i)), lambda i: i.isNotNull())
@@ -122,13 +123,13 @@ def in_place(pairs: Column) -> Column:
 
         return bound(new, votes)
 
-    return bound(F.sort_array(F.transform(distinct(pairs), lambda p: F.floor((p["a"] - p["b"]) / DRIFT))), most)
+    return bound(F.sort_array(F.transform(matched, lambda p: F.shiftright(p["a"] - p["b"], DRIFT_BITS))), most)
 
 
 def likeness(a: Column, b: Column, pairs: Column, placed: bool = False) -> Column:
     """Share of the union's distinct hashes that ``pairs``, the matching of a and b, holds (``placed``: in place); 1 if both are empty."""
-    union = F.size(distinct(a)) + F.size(distinct(b)) - F.size(distinct(pairs))
-    share = (in_place(pairs) if placed else F.size(distinct(pairs))) / union
+    size = F.size(distinct(a)) + F.size(distinct(b))
+    share = bound(distinct(pairs), lambda both: (in_place(both) if placed else F.size(both)) / (size - F.size(both)))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(share).cast("double")
 
 
