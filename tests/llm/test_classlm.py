@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 
@@ -90,3 +91,18 @@ def test_moves_are_the_best_of_all_classes():
             tried.append(likelihood(pairs(of)))
         # the gain leaves out pairs of the word with itself, so near ties may differ
         assert tried[got[w]] >= max(tried) - 0.02 * abs(max(tried) - likelihood(pairs(cls))) - 2
+
+
+def test_stored_chunks_hold_no_ids(spark, monkeypatch):
+    """A chunk is stored with its words and tokens, not with 8 bytes more for each word."""
+    sizes, plain = {}, classlm.store
+
+    def kept(df, label):
+        out = plain(df, label)
+        sizes.setdefault(label, sum(f.stat().st_size for f in Path(out.stored_at.removeprefix("file:")).glob("*.parquet")))
+        return out
+
+    monkeypatch.setattr(classlm, "store", kept)
+    docs = spark.range(2000).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(0, 49), k -> cast(id * 50 + k as string))) text").coalesce(1)
+    assert score_documents(docs).where("n_tokens = 51").count() == 2000
+    assert sizes["chunks"] < 8 * 100_000

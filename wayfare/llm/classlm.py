@@ -114,9 +114,11 @@ def before_of(cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str], by: str) -> DataFrame:
+def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str], by_id: bool = False) -> DataFrame:
     """Chunks with ``at`` (places in the word list) and ``fields``, for what ``table`` has as ``word``: words, or their ids."""
-    words = chunk_table.select("chunk", F.posexplode(by).alias("at", "word"))
+    words = chunk_table.select("chunk", F.posexplode("words").alias("at", "word"))
+    if by_id:
+        words = words.withColumn("word", F.xxhash64("word"))
     found = words.join(table.hint("shuffle_hash"), "word").groupBy("chunk").agg(F.collect_list(F.struct("at", *fields)).alias("known"))
     return chunk_table.join(found, "chunk", "left").withColumns({c: F.col(f"known.{c}") for c in ["at", *fields]}).drop("known")
 
@@ -153,7 +155,9 @@ def gathered(chunk_table: DataFrame, moved: DataFrame, words_too: bool) -> DataF
                 yield from (whole.slice(k, 20_000) for k in range(0, len(some), 20_000))
 
     names = ["word", "cls", "side", "n", "pairs"]
-    wanted = looked_up(chunk_table, moved, ["cls"], "ids").select("held", "lengths", "tokens", "ids", "first", "at", "cls")
+    # words' ids are made where they are read: stored, they would take a third of the input's size
+    ids = F.transform("words", lambda w: F.xxhash64(w)) if words_too else F.lit(None).cast("array<long>")
+    wanted = looked_up(chunk_table.withColumn("ids", ids), moved, ["cls"], by_id=True).select("held", "lengths", "tokens", "ids", "first", "at", "cls")
     return store(wanted.mapInArrow(run, "word long, cls int, side binary, n binary, pairs array<long>"), "around")
 
 
@@ -234,8 +238,7 @@ def exchanged(found: DataFrame, pairs: np.ndarray) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    ids = F.transform("words", lambda w: F.xxhash64(w))
-    chunk_table = store(chunks(docs).withColumn("ids", ids), "chunks")
+    chunk_table = store(chunks(docs), "chunks")
     entries = chunk_table.select(F.explode(F.arrays_zip("words", "counts", "first")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"), F.col("w.first").alias("first"))
     words = store(entries.groupBy("word").agg(F.sum("c").alias("c"), F.first("first").alias("first")), "words")
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
@@ -274,7 +277,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 known = np.add.reduceat((c > 0).astype(np.int64)[flat], starts)
                 yield pa.RecordBatch.from_arrays([row.column("docs").flatten(), row.column("held").flatten(), pa.array(n), pa.array(known), pa.array([total] * len(n), pa.int64()), pa.array(own - n * base_spread), pa.array(score)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    wanted = looked_up(chunk_table, table, ["c", "cls"], "words").select("docs", "held", "lengths", "tokens", "words", "at", "c", "cls")
+    wanted = looked_up(chunk_table, table, ["c", "cls"]).select("docs", "held", "lengths", "tokens", "words", "at", "c", "cls")
     return wanted.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
