@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfare.llm import neardup, packing, pii, quality, substrings
-from wayfare.llm.common import documents, drop, store
+from wayfare.llm.common import documents, drop, slices, small_batches, store
 
 #: SQL has no form for the classifier or the tokens; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -38,7 +38,7 @@ def rewritten(docs: DataFrame, change: Callable[..., str], found: DataFrame | No
     place, plain = docs.columns.index("text"), found is None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts, spans = b.column(0).field(place).to_pylist(), b.column(1).to_pylist()
             made = [t if t is None or not (plain or s) else change(t) if plain else change(t, s) for t, s in zip(texts, spans, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.string())], ["row", "made"])
@@ -50,15 +50,19 @@ def rewritten(docs: DataFrame, change: Callable[..., str], found: DataFrame | No
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.select_good(docs, quality.train(spark, docs, sf_dir))
+    with small_batches(spark):
+        model = quality.train(spark, docs, sf_dir)
+    return quality.select_good(docs, model)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.one_of_each(docs, SIMILAR)
+    with small_batches(spark):
+        return neardup.one_of_each(docs, SIMILAR)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = substrings.repeated_spans(docs, substrings.PASSAGE_BYTES)
+    with small_batches(spark):
+        found = substrings.repeated_spans(docs, substrings.PASSAGE_BYTES)
     return rewritten(docs, lambda text, spans: substrings.cut(text.encode(), spans, substrings.is_passage)[0].decode(errors="ignore"), found)
 
 

@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import corpus_pipeline as p  # noqa: E402
 from test_similarity import plain_components  # noqa: E402
 
-from wayfare.llm.common import documents, store  # noqa: E402
+from wayfare.llm.common import BATCH, ROWS, documents, slices, small_batches, store  # noqa: E402
 from wayfare.llm.pii import masked  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -100,3 +100,22 @@ def test_stages_without_labels_keep_all(spark, tmp_path):
     documents(spark, SF).limit(20).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
     assert p.good_quality(spark, documents(spark, str(tmp_path)), str(tmp_path)).count() == 20
+
+
+def test_stages_hand_few_rows_to_python(spark, monkeypatch):
+    """Stored tables of the middle stages are made from small batches, and the session's own setting comes back."""
+    before, seen, plain = spark.conf.get(BATCH), [], p.substrings.store
+    for module in (p.neardup, p.substrings):
+        monkeypatch.setattr(module, "store", lambda df, label: (seen.append(int(spark.conf.get(BATCH))), plain(df, label))[1])
+    docs = documents(spark, SF)
+    p.without_near_duplicates(spark, docs, SF)
+    p.without_repeats(spark, docs, SF)
+    assert max(seen) == ROWS and spark.conf.get(BATCH) == before
+    spark.conf.set(BATCH, "100")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(BATCH) == "100"
+    finally:
+        spark.conf.unset(BATCH)
+    batch = docs.select("doc_id").toArrow().to_batches()[0]
+    assert [x for b in slices([batch], 7) for x in b.column(0).to_pylist()] == batch.column(0).to_pylist()

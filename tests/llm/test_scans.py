@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from wayfare.llm.bpe import Encoder, TextDecoder, Transducer, bpe_digest
 from wayfare.llm.licenses import BASE, RARE, SPDX, TEMPLATES, Index, document_frequencies, licence_words, scan_licences, words_of
-from wayfare.llm.packing import pack
+from wayfare.llm.packing import library_words, pack
 from wayfare.llm.pii import BASE as PII_BASE
 from wayfare.llm.pii import find, find_pii, luhn, masked
 
@@ -126,6 +127,19 @@ def test_packing(docs):
     assert pack(docs.limit(0), PATH).count() == 0
 
 
+def test_workers_keep_no_words_after_packing(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = spark.range(0, 4000, 1, 8).selectExpr("id doc_id", "concat('word', id, ' other', id * 7) text")
+    assert pack(texts, path).agg({"length": "sum"}).first()[0] > 8000
+
+    def held(batches):
+        for _ in batches:
+            words = library_words(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(words) + len(words.words)])], ["n"])
+
+    assert {r.n for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_pii_anchors_and_long_values(spark):
     secret = "k" * 5000 + "1"
     assert find(f"ftp://{'u' * 400}:{'p' * 3000}@host") == [(6, 6 + 400 + 1 + 3000, "login")]

@@ -41,7 +41,7 @@ class LibraryWords(dict):
     """Stretch of text without spaces -> its ids as bytes, by the tokenizers library's BPE model.
 
     Only what the library would do to each stretch anyway (normal form, words, byte
-    symbols) happens here, once per distinct stretch and worker.
+    symbols) happens here, once per distinct stretch and task.
     """
 
     def __init__(self, path: str):
@@ -87,18 +87,22 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, limit: int = 4096) -> Data
         words = library_words(path)
         end, part = np.asarray([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         used = [0] * limit.bit_length()
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                few, rows = batch.slice(at, 256), []
-                for doc, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist(), strict=True):
-                    ids = b"".join(map(words.__getitem__, stretches(text or ""))) + end
-                    total, start = len(ids) // 4, 0
-                    for n in binary_lengths(total, limit):
-                        k = n.bit_length() - 1
-                        rows.append((doc, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), total, (k << 56) + (part << 32) + used[k], 0, k))
-                        used[k] += 1
-                        start += n
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 7 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"])
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), 256):
+                    few, rows = batch.slice(at, 256), []
+                    for doc, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist(), strict=True):
+                        ids = b"".join(map(words.__getitem__, stretches(text or ""))) + end
+                        total, start = len(ids) // 4, 0
+                        for n in binary_lengths(total, limit):
+                            k = n.bit_length() - 1
+                            rows.append((doc, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), total, (k << 56) + (part << 32) + used[k], 0, k))
+                            used[k] += 1
+                            start += n
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 7 else pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"])
+        finally:  # workers live on, and a later step has no use for the words
+            words.clear()
+            words.words.clear()
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, SCHEMA)
 

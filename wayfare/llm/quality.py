@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import documents
+from wayfare.llm.common import documents, slices
 
 BITS = 18
 SAMPLE = 6000
@@ -137,7 +137,7 @@ def select_good(docs: DataFrame, model: dict | None, least: float = 0.5) -> Data
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(tails(b.column(place), model, hasher)[1][1] >= least))
 
     return docs if model is None else docs.mapInArrow(run, docs.schema)
