@@ -86,3 +86,23 @@ def test_pieces_of_a_merge():
         steps = np.arange(0, len(a) + len(b) + 1)
         merged = sorted([(e, 0) for e in a] + [(e, 1) for e in b])
         assert alignment.diagonal(a, b, steps).tolist() == [sum(side == 0 for _, side in merged[:d]) for d in steps]
+
+
+def test_looked_up_by_any_list(spark):
+    """The class model's look-up, by words, their ids, or another list of a chunk; unknown values and empty lists have no row."""
+    chunks = spark.createDataFrame([(1, ["a", "b", "c"], [30, 10]), (2, ["c"], [20, 30, 40]), (3, [], [])], "chunk long, words array<string>, pairs array<long>")
+    by_pair = spark.createDataFrame([(10, 1), (20, 2), (30, 3)], "word long, n long")
+    by_word = spark.createDataFrame([("a", 1), ("c", 3)], "word string, n long")
+
+    def found(*args, **kwargs):
+        return {r.chunk: sorted(zip(r.at or [], r.n or [], strict=True)) for r in alignment.looked_up(chunks, *args, **kwargs).collect()}
+
+    assert found(by_pair, ["n"], by="pairs") == {1: [(0, 3), (1, 1)], 2: [(0, 2), (1, 3)], 3: []}
+    assert found(by_word, ["n"]) == {1: [(0, 1), (2, 3)], 2: [(0, 3)], 3: []}
+    assert found(by_word.selectExpr("xxhash64(word) word", "n"), ["n"], by_id=True) == {1: [(0, 1), (2, 3)], 2: [(0, 3)], 3: []}
+
+
+def test_registered_query(spark, words):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sorted((r.doc_id or -1, *r[1:]) for r in alignment.op13_alignment(spark, sf).collect()) == expected(words, rows)

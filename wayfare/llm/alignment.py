@@ -282,7 +282,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, chunk_links: int
     wide = sentencepiece.SentencePieceProcessor(model_file=b_path).get_piece_size()
     made = store(chunks(docs, a_path, b_path, chunk_links), "aligned")
     pairs = store(pair_counts(made), "pairs")
-    known = looked_up(made.drop("held"), with_best(pairs, wide), ["n", "best"], "pairs").drop("pairs")
+    known = looked_up(made.drop("held"), with_best(pairs, wide), ["n", "best"], by="pairs").drop("pairs")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

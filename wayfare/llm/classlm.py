@@ -114,9 +114,9 @@ def before_of(cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str], by_id: bool = False) -> DataFrame:
-    """Chunks with ``at`` (places in the word list) and ``fields``, for what ``table`` has as ``word``: words, or their ids."""
-    words = chunk_table.select("chunk", F.posexplode("words").alias("at", "word"))
+def looked_up(chunk_table: DataFrame, table: DataFrame, fields: list[str], by: str = "words", *, by_id: bool = False) -> DataFrame:
+    """Chunks with ``at`` (places in the list ``by``) and ``fields``, for what ``table`` has as ``word``: the list's values, or their ids."""
+    words = chunk_table.select("chunk", F.posexplode(by).alias("at", "word"))
     if by_id:
         words = words.withColumn("word", F.xxhash64("word"))
     found = words.join(table.hint("shuffle_hash"), "word").groupBy("chunk").agg(F.collect_list(F.struct("at", *fields)).alias("known"))
