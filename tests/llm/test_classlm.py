@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 
 from wayfare.llm import classlm
 from wayfare.llm.classlm import score_documents
@@ -106,3 +107,43 @@ def test_stored_chunks_hold_no_ids(spark, monkeypatch):
     docs = spark.range(2000).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(0, 49), k -> cast(id * 50 + k as string))) text").coalesce(1)
     assert score_documents(docs).where("n_tokens = 51").count() == 2000
     assert sizes["chunks"] < 8 * 100_000
+
+
+def shuffled_rows(spark):
+    """Rows written to shuffles by all stages of the session so far."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    none = jvm.java.util.ArrayList()
+    stages = spark._jsc.sc().statusStore().stageList(none, False, False, gateway.new_array(jvm.double, 0), none)
+    return {(stages.apply(i).stageId(), stages.apply(i).attemptId()): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+
+def test_a_word_of_a_chunk_is_shuffled_once_a_round(spark):
+    docs = spark.range(0, 4000, 1, 3).selectExpr("id doc_id", "concat_ws(' ', transform(sequence(0, 49), k -> cast((id * 50 + k) % 20000 as string))) text")
+    before = shuffled_rows(spark)
+    assert score_documents(docs).where("n_known = 51").count() == 4000
+    rows = sum(n for stage, n in shuffled_rows(spark).items() if stage not in before)
+    assert 0 < rows <= 2.5 * 3 * 20000  # three chunks have all words; class-pair counts are some ten thousand rows
+
+
+def test_scores_are_the_same_in_small_batches(spark, monkeypatch):
+    """A word's rows may lie in several batches, and its places be dealt in several pieces."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").repartition(5)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, got = spark.conf.get(name), []
+    for rows, dealt in ((before, classlm.DEALT), ("2", 3)):
+        monkeypatch.setattr(classlm, "DEALT", dealt)
+        spark.conf.set(name, rows)
+        got.append({r.doc_id: r for r in score_documents(docs).collect()})
+    spark.conf.set(name, before)
+    for d, r in got[0].items():
+        other = got[1][d]
+        assert (r.n_known, r.train_tokens) == (other.n_known, other.train_tokens)
+        assert abs(r.base_score - other.base_score) <= 1e-9 * abs(r.base_score) and abs(r.score - other.score) <= 1e-9 * abs(r.score)
+
+
+def test_first_classes():
+    words = [b"\n", b"a", b"ab", b"xab", b"\xc3\xa9", b"z\xc3\xa9", b"ba", *(str(n).encode() for n in range(200))]
+    array = pa.array(words, pa.binary())
+    assert classlm.first_classes(array).tolist() == [classlm.first_class(w) for w in words]
+    assert classlm.first_classes(array.slice(3)).tolist() == [classlm.first_class(w) for w in words[3:]]
