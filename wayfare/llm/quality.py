@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +63,33 @@ def features(text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(hasher.__getitem__, words), np.int64, len(words)), shape
 
 
+def least(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int, kept: int = 10) -> np.ndarray:
+    """Where a smooth loss, given with its gradient, is least: L-BFGS, each step halved until the loss falls."""
+    (now, grad), past = loss(x), []
+    for _ in range(steps):
+        if np.abs(grad).max() < 1e-6:
+            break
+        move, along = -grad, []
+        for s, g in reversed(past):
+            along.append(s @ move / (s @ g))
+            move = move - along[-1] * g
+        move = move * (past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else min(1.0, 1 / np.abs(grad).sum()))
+        for (s, g), a in zip(past, reversed(along), strict=True):
+            move = move + (a - g @ move / (s @ g)) * s
+        size = 1.0
+        while (found := loss(x + size * move))[0] > now + 1e-4 * size * (grad @ move) and size > 1e-9:
+            size /= 2
+        if found[0] >= now:
+            break
+        s, g = size * move, found[1] - grad
+        if s @ g > 1e-12:
+            past = [*past, (s, g)][-kept:]
+        x, (now, grad) = x + s, found
+    return x
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps: int = 500, ridge: float = 3e-4, least_share: int | None = None) -> dict | None:
-    """Full-batch Adam on the ordinal log likelihood.
+    """The least ordinal log loss with a ridge, by at most ``steps`` steps of L-BFGS.
 
     Every word of the sample gets a weight, which only the ridge holds; with ``least_share`` only those
     that one in so many sampled documents has.
@@ -84,22 +109,28 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = 3, steps:
     y = np.array([g for _, _, g in rows])
     n, d = len(rows), len(kept) + SHAPES
     share = [np.clip((y <= k).mean(), 1e-3, 1 - 1e-3) for k in range(grades - 1)]
-    w, cut = np.zeros(d), np.log(share) - np.log1p(-np.array(share))
-    m, v = np.zeros(d + grades - 1), np.zeros(d + grades - 1)
+    cut = np.log(share) - np.log1p(-np.array(share))
     sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-    for step in range(1, steps + 1):
+
+    def cuts(x: np.ndarray) -> np.ndarray:
+        """The first threshold, and each later one by the logarithm of what it adds: they stay in order."""
+        return np.cumsum(np.append(x[d], np.exp(np.clip(x[d + 1 :], -20, 20))))
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        w, cut = x[:d], cuts(x)
         score = np.bincount(doc, w[SHAPES + col], n) + shape @ w[:SHAPES]
         edges = np.column_stack([np.zeros(n), *(sig(c - score) for c in cut), np.ones(n)])
         hi, lo = edges[np.arange(n), y + 1], edges[np.arange(n), y]
         p = np.maximum(hi - lo, 1e-9)
         up, down = hi * (1 - hi) / p, lo * (1 - lo) / p
         by_score = up - down  # of the loss, per unit of score
-        grad = np.concatenate([shape.T @ by_score, np.bincount(col, by_score[doc], len(kept))]) / n + ridge * w
+        by_word = np.concatenate([shape.T @ by_score, np.bincount(col, by_score[doc], len(kept))]) / n + ridge * w
         by_cut = np.array([(down[y == k + 1].sum() - up[y == k].sum()) / n for k in range(grades - 1)])
-        g = np.concatenate([grad, by_cut])
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        w, cut = w - move[:d], np.maximum.accumulate(cut - move[d:])
+        by_cut = np.cumsum(by_cut[::-1])[::-1] * np.append(1, np.diff(cut))
+        return -np.log(p).mean() + ridge / 2 * (w @ w), np.concatenate([by_word, by_cut])
+
+    x = least(loss, np.concatenate([np.zeros(d), cut[:1], np.log(np.maximum(np.diff(cut), 1e-3))]), steps)
+    w, cut = x[:d], cuts(x)
     weights = np.zeros(1 << BITS, np.float32)
     weights[kept] = w[SHAPES:]
     return {"words": weights, "shape": w[:SHAPES], "cuts": cut}
