@@ -36,12 +36,15 @@ def stage_avl_stops(raw: DataFrame) -> DataFrame:
 
 
 def vehicle_locations_realtime(positions: DataFrame, trips: DataFrame, stops: DataFrame) -> DataFrame:
-    """Positions with trip and stop; the first of a trip's at each stop is a stop visit if the trip carries riders."""
+    """Positions with trip and stop; the first of a trip's at each stop is a stop visit if the trip carries riders.
+
+    Positions of equal update texts, which may be cut to seconds, are told apart by ``upddts``.
+    """
     s = stops.select("versionid", F.col("stopid").alias("currentstopid"), "geostopid")
     t = trips.select("service_date", F.col("vendor_1_tripid").alias("currenttripid"), "isrevenue", "route", "tapatternid", "tripstarttime", "tripendtime")
     rows = positions.join(s, ["versionid", "currentstopid"], "left").join(t, ["service_date", "currenttripid"], "left")
     rows = rows.withColumn("location_ping_id", surrogate_key("vehicleid", "locationupdatedts", "vehicleworkid", "latitude", "longitude", "currentstopid"))
-    rows = first_seen(rows, ["service_date", "route", "currenttripid", "tripstartdts"], "currentstopid", ["locationupdatedts"], "location_ping_id")
+    rows = first_seen(rows, ["service_date", "route", "currenttripid", "tripstartdts"], "currentstopid", ["locationupdatedts", "upddts"], "location_ping_id")
     visit = F.coalesce((F.col("seen_rank") == 1) & (F.col("isrevenue") == 1) & F.col("geostopid").isNotNull(), F.lit(False))
     route = F.upper("route")
     idle = classify([(route.like("DH%"), "Deadhead"), (route.like("PI%"), "Pullin"), (route.like("PO%"), "Pullout")], "Other not in service")
