@@ -30,6 +30,6 @@ def dense(spark, tmp_path):
     return tmp_path
 
 
-@pytest.mark.parametrize("name", ["D-B16_vehicle_locations_realtime"])
+@pytest.mark.parametrize("name", ["D-B16_vehicle_locations_realtime", "D-B17_stop_visits_realtime"])
 def test_first_positions_within_a_second(spark, dense, name):
     assert len(against_sql(spark, dense, name, "events")) >= 12
