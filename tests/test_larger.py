@@ -4,10 +4,13 @@ import random
 from datetime import datetime, timedelta
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.test_registry import rows
+from wayfare.llm import hamming
 
 
 def against_sql(spark, folder, name, *tables):
@@ -33,3 +36,29 @@ def dense(spark, tmp_path):
 @pytest.mark.parametrize("name", ["D-B16_vehicle_locations_realtime", "D-B17_stop_visits_realtime"])
 def test_first_positions_within_a_second(spark, dense, name):
     assert len(against_sql(spark, dense, name, "events")) >= 12
+
+
+def test_no_segment_is_much_narrower_than_the_others(spark):
+    for n in (0, 2, 300, 2000, 50_000, 720_000, 10**7, 10**12):
+        for dims in (1, 7, 64, 100, 128, 1000):
+            parts = hamming.cuts(n, dims)
+            widths = [w for _, w in parts]
+            assert [s for s, _ in parts] == [sum(widths[:i]) for i in range(len(parts))] and sum(widths) == dims
+            assert max(widths) - min(widths) <= 1 and max(widths) <= 30
+    # a probe of a narrow last segment would find a sixteenth of all codes
+    assert hamming.probed(hamming.cuts(720_000, 64), 0, 720_000) < 100
+
+
+@pytest.mark.parametrize("dims", [64, 70, 64 * hamming.FLAT + 1])
+def test_search_over_uneven_bits(spark, monkeypatch, dims):
+    monkeypatch.setattr(hamming, "PAIRS", 200)  # several tasks
+    rng = np.random.default_rng(dims)
+    n = 600 if dims < 100 else 60
+    x = rng.standard_normal((n, dims)).astype("float32")
+    x[n // 2 : n // 2 + n // 6] = x[: n // 6]
+    x[n // 2 : n // 2 + n // 12, 3] *= -1
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.distance) for r in hamming.search(vectors, F.col("vec_id") % 20 == 0, 5).collect())
+    apart = ((x > 0)[:, None, :] != (x > 0)[None, :, :]).sum(2)
+    want = [(q, k + 1, i, d) for q in range(0, n, 20) for k, (d, i) in enumerate(sorted((int(apart[q, i]), i) for i in range(n) if i != q)[:5])]
+    assert got == want

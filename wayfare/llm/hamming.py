@@ -1,14 +1,15 @@
 """Operator 3: exact top-k search over binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per dimension (set where the component is above 0).
-Codes are cut into segments; two codes at distance D agree on some segment up to
+Codes are cut into segments of equal width, give or take a bit; two codes at distance D agree on some segment up to
 floor(D / segments) bits.  Round r therefore probes every segment's values at
 Hamming distance exactly r from the query's, made by
 one bit after the other; after it all codes closer than segments * (r + 1) are
 known.  A query leaves once its k-th verified distance is that small, so results
-are exact.  The k-th distance comes from a query's counts per distance.  Where a round would
-probe more values for a query than there are codes, the queries that are left are compared with all
-codes instead, ``TOGETHER`` of them at a time: only codes as near as a query's k-th so far come out.
+are exact.  The k-th distance comes from a query's counts per distance.  Where a round's probes would
+cost more than all codes (``PROBE``), the queries that are left are compared with all codes
+instead, ``TOGETHER`` of them at a time, dealt to tasks of ``PAIRS`` comparisons: only codes as near as
+a query's k-th so far come out.
 
 Equal codes are one row with their k + 1 smallest ids, so copies of one vector
 cannot swell a bucket.  Neighbours are ordered by distance, then id; a vector is
@@ -34,8 +35,15 @@ def packed(bits: Column, start: int, size: int) -> Column:
     return F.aggregate(F.slice(bits, start + 1, size), F.lit(0).cast("bigint"), lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(b))
 
 
-def distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+#: Codes of so many words are compared by a plain sum, which is compiled; longer ones by array functions.
+FLAT = 64
+
+
+def distance(a: Column, b: Column, dims: int) -> Column:
+    words = -(-dims // 64)
+    if words > FLAT:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, n: acc + n)
+    return reduce(Column.__add__, (F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)))
 
 
 def codes(vectors: DataFrame, dims: int) -> DataFrame:
@@ -56,49 +64,66 @@ def ring(segments: DataFrame, radius: int, width: Column) -> DataFrame:
 
 #: Queries that are compared with all codes at a time; they are broadcast, some 100 bytes each.
 TOGETHER = 4096
+#: Comparisons of a task, and how many of them cost as much as a code that a probe finds (which is shuffled, made distinct and stored).
+PAIRS, PROBE = 50_000_000, 300
+
+
+def cuts(n: int, dims: int) -> list[tuple[int, int]]:
+    """(start, width) of the segments for ``n`` codes: some log2(n) bits each, none much narrower than the others."""
+    size = min(max(round(max(n, 2).bit_length() - 0.5), 8), 30, dims)
+    parts = -(-dims // size)
+    edges = [dims * i // parts for i in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
 
+def probed(segments: list[tuple[int, int]], radius: int, n: int) -> float:
+    """Values that a round probes for a query, or the codes that evenly spread bits hold there if these are more."""
+    return sum(math.comb(w, radius) * max(1, n / 2**w) for _, w in segments)
 
-def scanned(waiting: DataFrame, table: DataFrame, found: DataFrame, known: DataFrame, need: int, dims: int) -> list[DataFrame]:
-    """(query, code, distance) as stored tables: for the queries that wait, all codes no farther than their need-th so far, from all codes."""
+
+def scanned(waiting: DataFrame, found: DataFrame, known: DataFrame, n: int, need: int, dims: int) -> list[DataFrame]:
+    """(query, code, distance) as stored tables: for the queries that wait, all codes no farther than their need-th so far, from all ``n`` codes."""
     so_far = found.join(known.select("code", F.size("ids").alias("n")), "code").groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("far"))
     left = store(waiting.select("query").distinct().join(so_far, "query", "left").select("query", F.when(F.col("n") >= need, F.col("far")).otherwise(dims).alias("far")), "far")
-    batches = -(-left.count() // TOGETHER)
-    codes_only, out = table.select("code").distinct(), []
+    waits = left.count()
+    batches = -(-waits // TOGETHER)
+    # few bytes, much work: dealt by the comparisons
+    codes_only, out = known.select("code").repartition(n * min(waits, TOGETHER) // PAIRS + 1), []
     for b in range(batches):
         # a share by hash is TOGETHER queries give or take a few hundredths
         some = left.where(F.pmod(F.xxhash64("query"), F.lit(batches)) == b)
-        pairs = codes_only.join(F.broadcast(some), distance(F.col("query"), F.col("code")) <= F.col("far"))
-        out.append(store(pairs.select("query", "code", distance(F.col("query"), F.col("code")).alias("distance")), "scanned"))
+        apart = distance(F.col("query"), F.col("code"), dims)
+        pairs = codes_only.join(F.broadcast(some), apart <= F.col("far"))
+        out.append(store(pairs.select("query", "code", apart.alias("distance")), "scanned"))
     drop(left)
     return out
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, distance) for the vectors that ``queries`` selects, against all."""
-    dims = vectors.select(F.max(F.size("embedding"))).first()[0] or 1
-    rows = store(codes(vectors, max(dims, 1)), "codes")
+    dims = max(vectors.select(F.max(F.size("embedding"))).first()[0] or 1, 1)
+    rows = store(codes(vectors, dims), "codes")
     by_id = Window.partitionBy("code").orderBy("vec_id")
     least = rows.select("code", "vec_id", F.row_number().over(by_id).alias("n")).where(F.col("n") <= k + 1)
     known = store(least.groupBy("code").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "known")
     n, total = known.count(), rows.count()
-    size = min(max(round(max(n, 2).bit_length() - 0.5), 8), 30, dims)
-    starts = range(0, dims, size)
-    segments = lambda df: df.select("code", F.posexplode(F.array(*(packed(F.col("bits"), s, min(size, dims - s)) for s in starts))).alias("segment", "value"))
+    parts = cuts(n, dims)
+    segments = lambda df: df.select("code", F.posexplode(F.array(*(packed(F.col("bits"), s, w) for s, w in parts))).alias("segment", "value"))
     table = store(segments(rows.dropDuplicates(["code"])), "segments")
     asked = rows.where(queries)
     waiting = store(segments(asked.dropDuplicates(["code"])).select(F.col("code").alias("query"), "segment", "value"), "asked")
     found, need = None, min(k + 1, total)
-    width = F.least(F.lit(size), F.lit(dims) - F.col("segment") * size)
-    for radius in range(size + 1):
+    width = F.get(F.array(*(F.lit(w) for _, w in parts)), F.col("segment"))
+    for radius in range(max(w for _, w in parts) + 1):
         made: list[DataFrame] = []
-        far = found is not None and len(starts) * math.comb(size, radius) > n
+        far = found is not None and probed(parts, radius, n) * PROBE > n
         if far:
-            made = scanned(waiting, table, found, known, need, dims)
+            made = scanned(waiting, found, known, n, need, dims)
             new = reduce(DataFrame.union, made)
         else:
             probes = ring(waiting, radius, width)
             # a query's probes outgrow what the planner expects of an explode: never broadcast them
-            new = probes.join(table.hint("merge"), ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code")).alias("distance"))
+            new = probes.join(table.hint("merge"), ["segment", "value"]).select("query", "code").distinct().select("query", "code", distance(F.col("query"), F.col("code"), dims).alias("distance"))
         both = store((new if found is None else found.union(new).distinct()).join(known.select("code", F.size("ids").alias("n")), "code"), "both")
         # a query's codes up to the distance at which need ids are reached
         counts = both.groupBy("query", "distance").agg(F.sum("n").alias("n"))
@@ -111,7 +136,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         if far:
             drop(*old)
             break
-        full = near.groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("kth")).where((F.col("n") >= need) & (F.col("kth") < len(starts) * (radius + 1)))
+        full = near.groupBy("query").agg(F.sum("n").alias("n"), F.max("distance").alias("kth")).where((F.col("n") >= need) & (F.col("kth") < len(parts) * (radius + 1)))
         waiting = store(waiting.join(full.select("query"), "query", "left_anti"), "waiting")
         drop(*old)
         if waiting.isEmpty():
