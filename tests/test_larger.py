@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.test_registry import rows
+from wayfare.functions.places import rounded
 from wayfare.llm import hamming
+from wayfare.operators import joins
 
 
 def against_sql(spark, folder, name, *tables):
@@ -62,3 +64,39 @@ def test_search_over_uneven_bits(spark, monkeypatch, dims):
     apart = ((x > 0)[:, None, :] != (x > 0)[None, :, :]).sum(2)
     want = [(q, k + 1, i, d) for q in range(0, n, 20) for k, (d, i) in enumerate(sorted((int(apart[q, i]), i) for i in range(n) if i != q)[:5])]
     assert got == want
+
+
+@pytest.fixture
+def places(spark):
+    """Pings and stops of three keys, most of them of one; some without a key, a place or a partner."""
+    rng = random.Random(11)
+    at = lambda: (rng.choice([None, 38.9, 38.9 + rng.randrange(40) / 10_000]), -77.0 + rng.randrange(40) / 10_000)
+    key = lambda: rng.choice(["a"] * 8 + ["b", None])
+    pings = spark.createDataFrame([(i, rng.choice([key(), "c"]), *at(), rng.randrange(7)) for i in range(500)], "ping long, k string, lat double, lon double, seq int")
+    stops = spark.createDataFrame([(i, rng.choice([key(), "d"]), *at(), rng.randrange(7)) for i in range(300)], "stop long, k string, s_lat double, s_lon double, s_seq int")
+    return pings, stops
+
+
+ON = (["k"], ("lat", "lon"), ("s_lat", "s_lon"))
+
+
+@pytest.mark.parametrize("pairs", [500, 10**9])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_dealt_pairs(spark, monkeypatch, places, pairs, how):
+    pings, stops = places
+    monkeypatch.setattr(joins, "PAIRS", pairs)
+    read = lambda df: sorted((r.ping, -1 if r.stop is None else r.stop) for r in df.collect())
+    want = pings.join(stops, "k", how)
+    out = joins.dealt(pings, stops, ["k"], how)
+    assert read(out) == read(want) and out.columns == want.columns
+    tasks = [r[1] for r in out.where("stop is not null").groupBy(F.spark_partition_id()).count().collect()]
+    assert pairs > 500 or max(tasks) < 6 * pairs < sum(tasks) / 5
+    box, plain = joins.dealt_box(pings, stops, *ON, how=how), joins.within_box(pings, stops, *ON)
+    assert read(box) == read(plain if how == "left" else plain.where("stop is not null"))
+
+
+def test_rounded_as_the_sql_rounds(spark):
+    rng = random.Random(2)
+    xs = [0.0, -0.0, 0.0005, 0.0015, 1.0005, 2.5, -0.0005, -7.1235, 1e9 + 0.0005, *(rng.uniform(-1e5, 1e5) for _ in range(500)), *(rng.randrange(10**6) / 2000 for _ in range(500))]
+    got = [r.x for r in spark.createDataFrame([(x,) for x in xs], "v double").select(rounded(F.col("v"), 3).alias("x")).collect()]
+    assert got == [r[0] for r in duckdb.execute("SELECT round(v, 3) FROM (SELECT unnest(?) AS v)", [xs]).fetchall()]
