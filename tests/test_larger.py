@@ -95,6 +95,14 @@ def test_dealt_pairs(spark, monkeypatch, places, pairs, how):
     assert read(box) == read(plain if how == "left" else plain.where("stop is not null"))
 
 
+def test_nearest_among_shared_keys(spark, monkeypatch, places):
+    pings, stops = places
+    monkeypatch.setattr(joins, "PAIRS", 500)
+    for steps in (None, F.abs(F.col("seq") - F.col("s_seq")), F.col("seq") - F.col("s_seq")):
+        plain, shared = (joins.nearest(pings, stops, *ON, "ping", "stop", "stop", steps=steps, shared=x).collect() for x in (False, True))
+        assert sorted(plain, key=lambda r: r.ping) == sorted(shared, key=lambda r: r.ping) and sum(r.stop is not None for r in plain) > 100
+
+
 def test_rounded_as_the_sql_rounds(spark):
     rng = random.Random(2)
     xs = [0.0, -0.0, 0.0005, 0.0015, 1.0005, 2.5, -0.0005, -7.1235, 1e9 + 0.0005, *(rng.uniform(-1e5, 1e5) for _ in range(500)), *(rng.randrange(10**6) / 2000 for _ in range(500))]

@@ -230,7 +230,7 @@ def within_box(s, d):
 @query("J-7_nearest", GEO + " SELECT ping, stop, round(w, 3) AS weighted FROM (SELECT ping, stop, m * f AS w, row_number() OVER (PARTITION BY ping ORDER BY m * f, f, stop) AS n FROM m) WHERE n = 1")
 def nearest(s, d):
     pings, stops = geo(s, d)
-    return j.nearest(pings, stops, ["k"], ("lat", "lon"), ("s_lat", "s_lon"), "ping", "stop", "stop", steps=F.abs(c("seq") - c("s_seq"))).select("ping", "stop", F.round("weighted", 3).alias("weighted"))
+    return j.nearest(pings, stops, ["k"], ("lat", "lon"), ("s_lat", "s_lon"), "ping", "stop", "stop", steps=F.abs(c("seq") - c("s_seq")), shared=True).select("ping", "stop", F.round("weighted", 3).alias("weighted"))
 
 
 @query("J-8_join_any", """
