@@ -1,6 +1,7 @@
 """What larger tables bring: against the SQL of the registered queries, and by the shape of plans."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import duckdb
@@ -13,6 +14,7 @@ from tests.test_registry import rows
 from wayfare.functions.places import rounded
 from wayfare.llm import hamming
 from wayfare.operators import joins
+from wayfare.plans import catalog_chains, schedule
 
 
 def against_sql(spark, folder, name, *tables):
@@ -108,3 +110,14 @@ def test_rounded_as_the_sql_rounds(spark):
     xs = [0.0, -0.0, 0.0005, 0.0015, 1.0005, 2.5, -0.0005, -7.1235, 1e9 + 0.0005, *(rng.uniform(-1e5, 1e5) for _ in range(500)), *(rng.randrange(10**6) / 2000 for _ in range(500))]
     got = [r.x for r in spark.createDataFrame([(x,) for x in xs], "v double").select(rounded(F.col("v"), 3).alias("x")).collect()]
     assert got == [r[0] for r in duckdb.execute("SELECT round(v, 3) FROM (SELECT unnest(?) AS v)", [xs]).fetchall()]
+
+
+def test_trips_become_days_last(spark):
+    """No shuffle or sort stands between the days of a trip and the result."""
+    n = catalog_chains.network(spark, "/root/testdata/sf0.001")
+    text = schedule.scheduled_stop_times(n["running"], n["times"], n["stops"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in text and not re.search("Join|Aggregate", text[: text.index("Generate")])
+    by_day = schedule.scheduled_stop_times(n["trips"], n["times"], n["stops"])
+    by_trip = schedule.scheduled_stop_times(n["running"], n["times"], n["stops"])
+    assert sorted(by_day.columns) == sorted(by_trip.columns) and by_trip.count() > 5000
+    assert by_day.select(*by_trip.columns).exceptAll(by_trip).isEmpty() and by_trip.exceptAll(by_day.select(*by_trip.columns)).isEmpty()

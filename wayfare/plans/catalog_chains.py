@@ -63,7 +63,8 @@ def network(s, d) -> dict[str, DataFrame]:
     supplier = table(s, d, "supplier").select(c("s_suppkey").alias("stop_id"), c("s_name").alias("stop_name"), (c("s_nationkey") / 100 + 38.9).alias("stop_lat"), F.lit(-77.0).alias("stop_lon"))
     stops = times.select("_feed_hash", "stop_id").distinct().join(supplier, "stop_id")
     by_mode = schedule.daily_feed_by_mode(found, trips, routes, services, dates)
-    return {"by_mode": by_mode, "trips": schedule.scheduled_trips(services, by_mode, trips, routes, schedule.trip_summary(times), "2030-01-01"), "times": times, "stops": stops}
+    given = (services, by_mode, trips, routes, schedule.trip_summary(times), "2030-01-01")
+    return {"by_mode": by_mode, "trips": schedule.scheduled_trips(*given), "running": schedule.running_trips(*given), "times": times, "stops": stops}
 
 
 @query("D-G11_daily_feed_by_mode", NETWORK + " SELECT strftime(day, '%Y-%m-%d') AS service_date, mode AS feed_mode, feed AS _feed_hash FROM best")
@@ -81,7 +82,7 @@ def scheduled_trips(s, d):
   FROM runs r LEFT JOIN stop_times t ON r.feed = t.feed AND r.trip = t.trip LEFT JOIN supplier ON s_suppkey = stop""")
 def scheduled_stop_times(s, d):
     n = network(s, d)
-    out = schedule.scheduled_stop_times(n["trips"], n["times"], n["stops"]).withColumn("arrival", text("scheduled_arrival_time"))
+    out = schedule.scheduled_stop_times(n["running"], n["times"], n["stops"]).withColumn("arrival", text("scheduled_arrival_time"))
     return longs(plain(out.select("service_date", "trip_id", "stop_sequence", "stop_id", "stop_name", "arrival"), "service_date"), "stop_sequence")
 
 

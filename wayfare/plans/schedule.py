@@ -133,20 +133,33 @@ def trip_summary(stop_times: DataFrame) -> DataFrame:
     )
 
 
-def scheduled_trips(services: DataFrame, feeds_by_mode: DataFrame, trips: DataFrame, routes: DataFrame, summary: DataFrame, as_of: str, zone: str = ZONE) -> DataFrame:
-    """The trips of each day up to ``as_of``; times count from twelve hours before local noon."""
+def running_trips(services: DataFrame, feeds_by_mode: DataFrame, trips: DataFrame, routes: DataFrame, summary: DataFrame, as_of: str) -> DataFrame:
+    """Trips that carry riders, with their days up to ``as_of`` as one array, ``service_dates`` (no more than a feed's days), so that joins by trip move a trip once."""
     days = services.where(F.col("service_date") <= F.lit(as_of).cast("date")).join(feeds_by_mode.select("service_date", "_feed_hash", "feed_mode"), ["service_date", "_feed_hash"])
+    days = days.groupBy("_feed_hash", "service_id", F.col("feed_mode").alias("trip_mode")).agg(F.collect_list("service_date").alias("service_dates"))
     routes = routes.select("_feed_hash", "route_id", "route_type", "route_short_name", "route_long_name")
     runs = trips.select("_feed_hash", "trip_id", "service_id", "route_id", "direction_id", "block_id", "shape_id").join(routes, ["_feed_hash", "route_id"], "left").withColumn("trip_mode", F.coalesce(mode_of(), F.lit("Unhandled")))
-    rows = runs.join(days.withColumnRenamed("feed_mode", "trip_mode"), ["_feed_hash", "service_id", "trip_mode"]).join(summary, ["_feed_hash", "trip_id"]).where("has_rider_service")
+    return runs.join(days, ["_feed_hash", "service_id", "trip_mode"]).join(summary.where("has_rider_service"), ["_feed_hash", "trip_id"]).drop("has_rider_service")
+
+
+def daily(rows: DataFrame) -> DataFrame:
+    """A row for each of ``service_dates``."""
+    return rows.withColumn("service_date", F.explode("service_dates")).drop("service_dates")
+
+
+def scheduled_trips(services: DataFrame, feeds_by_mode: DataFrame, trips: DataFrame, routes: DataFrame, summary: DataFrame, as_of: str, zone: str = ZONE) -> DataFrame:
+    """The trips of each day up to ``as_of``; times count from twelve hours before local noon."""
+    rows = daily(running_trips(services, feeds_by_mode, trips, routes, summary, as_of))
     at = {f"{x}_time": shift(service_anchor("service_date", zone), F.col(f"{x}_time_secs"), "second") for x in ("first_scheduled_arrival", "first_scheduled_departure", "last_scheduled_arrival", "last_scheduled_departure")}
-    return rows.withColumns(at).withColumn("_key", surrogate_key("_feed_hash", "service_date", "trip_id")).drop("has_rider_service", *(f"{x}_secs" for x in at))
+    return rows.withColumns(at).withColumn("_key", surrogate_key("_feed_hash", "service_date", "trip_id")).drop(*(f"{x}_secs" for x in at))
 
 
 def scheduled_stop_times(trips: DataFrame, stop_times: DataFrame, stops: DataFrame, zone: str = ZONE) -> DataFrame:
-    """Each day's trips at each stop, with the stop's place."""
-    rows = trips.select("service_date", "_feed_hash", "trip_id", "route_id", "route_type", "direction_id", "shape_id").join(stop_times.select("_feed_hash", "trip_id", "stop_id", "stop_sequence", "arrival_time_secs", "departure_time_secs"), ["_feed_hash", "trip_id"], "left")
-    rows = rows.join(stops.select("_feed_hash", "stop_id", "stop_name", "stop_lat", "stop_lon"), ["_feed_hash", "stop_id"], "left")
+    """Each day's trips at each stop, with the stop's place; ``trips`` are those of days, or :func:`running_trips`, which become days last."""
+    days = "service_dates" if "service_dates" in trips.columns else "service_date"
+    at = stop_times.select("_feed_hash", "trip_id", "stop_id", "stop_sequence", "arrival_time_secs", "departure_time_secs").join(stops.select("_feed_hash", "stop_id", "stop_name", "stop_lat", "stop_lon"), ["_feed_hash", "stop_id"], "left")
+    rows = trips.select(days, "_feed_hash", "trip_id", "route_id", "route_type", "direction_id", "shape_id").join(at, ["_feed_hash", "trip_id"], "left")
+    rows = daily(rows) if days == "service_dates" else rows
     anchor = service_anchor("service_date", zone)
     return rows.withColumns({"scheduled_arrival_time": shift(anchor, F.col("arrival_time_secs"), "second"), "scheduled_departure_time": shift(anchor, F.col("departure_time_secs"), "second")}).withColumn("_key", surrogate_key("_feed_hash", "service_date", "trip_id", "stop_sequence"))
 
