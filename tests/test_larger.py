@@ -15,6 +15,7 @@ from wayfare.functions.places import rounded
 from wayfare.llm import hamming
 from wayfare.operators import joins
 from wayfare.plans import catalog_chains, schedule
+from wayfare.streaming import streams
 
 
 def against_sql(spark, folder, name, *tables):
@@ -121,3 +122,25 @@ def test_trips_become_days_last(spark):
     by_trip = schedule.scheduled_stop_times(n["running"], n["times"], n["stops"])
     assert sorted(by_day.columns) == sorted(by_trip.columns) and by_trip.count() > 5000
     assert by_day.select(*by_trip.columns).exceptAll(by_trip).isEmpty() and by_trip.exceptAll(by_day.select(*by_trip.columns)).isEmpty()
+
+
+def test_first_events_of_many_keys(spark, tmp_path, monkeypatch):
+    """Keys share groups; ids over 2**53 stay exact beside nulls."""
+    monkeypatch.setattr(streams, "GROUPS", 7)
+    rng, big = random.Random(5), 2**60
+    rows = [(None if rng.random() < 0.1 else big + i, datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(9000)), rng.randrange(150), rng.choice(["x", "y", None])) for i in range(1500)]
+    schema = "id long, ts timestamp, u int, k string"
+    end = datetime(2030, 1, 1)
+    for batch in [rows[:500], rows[500:1000], rows[1000:], [(0, end, 0, "end")], [(0, end + timedelta(days=1), 0, "end")]]:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    out = []
+    q = streams.stream_first_seen(stream, ["u", "k"], "ts", "id", "7 days").writeStream.foreachBatch(lambda b, n: out.extend(b.collect())).trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").start()
+    q.awaitTermination(120)
+    assert not q.exception()
+    want = {}
+    for i, at, u, k in rows:
+        if k is not None:
+            want[u, k] = min(want.get((u, k), (end, False, 0)), (at, i is None, i or 0))
+    assert {(r.u, r.k): (r.ts, r.id is None, r.id or 0) for r in out if r.k != "end"} == want and sum(r.k != "end" for r in out) == len(want)
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators) <= 7 < len(want)

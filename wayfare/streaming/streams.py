@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegralType
 
 from wayfare.sources.writers import partition_column, upsert
 
@@ -26,6 +28,21 @@ def _wake(state: GroupState, micros: int) -> None:
     state.setTimeoutTimestamp(max(micros // 1000, state.getCurrentWatermarkMs() + 1))
 
 
+#: Keys share so many groups by hash; a group's state is one table of its keys.
+GROUPS = 1024
+
+
+def _packed(held: pd.DataFrame) -> bytes:
+    table, out = pa.Table.from_pandas(held, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(data)).read_all().to_pandas()
+
+
 def stream_first_seen(sdf: DataFrame, keys: list[str], ts: str, tie: str, watermark: str = "1 day", forget_seconds: int | None = None) -> DataFrame:
     """(keys, ts, tie) of the first event of each key, whatever the order of arrival: the rows that ``first_seen`` ranks 1.
 
@@ -33,32 +50,45 @@ def stream_first_seen(sdf: DataFrame, keys: list[str], ts: str, tie: str, waterm
     then.  The key itself is remembered, so that it is never first again; with ``forget_seconds``
     only so long after its first event, which is for keys that do not come back (such as a trip's stops on
     a day), and bounds the state.  Rows with a null key or
-    time have no first event, and do not move the watermark.
+    time have no first event, and do not move the watermark.  Keys meet in ``GROUPS`` groups, by hash, as a call of
+    Python for each key would cost far more than its rows.
     """
+    names = [*keys, "_at", "_none", tie]
 
-    def run(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, who, told = state.get if state.exists else (None, None, False)
+    def run(_: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = _unpacked(state.get[0]) if state.exists else None
         for f in frames:
-            if told or not len(f):
-                continue
-            least = f.sort_values(["_at", tie]).iloc[0]
-            if at is None or (least["_at"], least[tie]) < (at, who):
-                at, who = int(least["_at"]), least[tie].item() if hasattr(least[tie], "item") else least[tie]
+            new = f[names].assign(_told=False)
+            new = new if held is None else pd.concat([held, new], ignore_index=True)
+            # a key that was told stays as it is
+            held = new.sort_values(["_told", "_at", "_none", tie], ascending=[False, True, True, True], kind="stable").drop_duplicates(keys)
+        if held is None:
+            return
         passed = state.getCurrentWatermarkMs() * 1000
-        if not told and passed >= at:
-            told = True
-            yield pd.DataFrame([[*key, at, who]], columns=[*keys, "_at", tie])
-        if told and forget_seconds is not None and passed >= at + forget_seconds * 1_000_000:
-            state.remove()
+        due = ~held["_told"] & (held["_at"] <= passed)
+        if due.any():
+            yield held.loc[due, names]
+        held = held.assign(_told=held["_told"] | due)
+        wakes = held.loc[~held["_told"], "_at"]
+        if forget_seconds is not None:
+            gone = held["_at"] + forget_seconds * 1_000_000
+            held = held[~(held["_told"] & (gone <= passed))]
+            wakes = held["_at"] + held["_told"] * forget_seconds * 1_000_000
+        if not len(held):
+            if state.exists:
+                state.remove()
             return
-        state.update((at, who, told))
-        if not told or forget_seconds is not None:
-            _wake(state, at + (forget_seconds * 1_000_000 if told else 0))
+        state.update((_packed(held),))
+        if len(wakes):
+            _wake(state, int(wakes.min()))
 
     there = sdf.where(" and ".join(f"{k} is not null" for k in [*keys, ts])).withWatermark(ts, watermark)
-    rows = there.select(*keys, ts, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"))
-    out = rows.groupBy(*keys).applyInPandasWithState(run, f"{_schema(sdf, keys)}, _at long, {_schema(sdf, [tie])}", f"at long, {_schema(sdf, [tie])}, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
-    return out.select(*keys, F.timestamp_micros("_at").alias(ts), tie)
+    # whole numbers with nulls would become floats
+    plain = F.coalesce(tie, F.lit(0).cast(sdf.schema[tie].dataType)) if isinstance(sdf.schema[tie].dataType, IntegralType) else F.col(tie)
+    group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).alias("_group")
+    rows = there.select(*keys, ts, plain.alias(tie), F.col(tie).isNull().alias("_none"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"), group)
+    out = rows.groupBy("_group").applyInPandasWithState(run, f"{_schema(sdf, keys)}, _at long, _none boolean, {_schema(sdf, [tie])}", "held binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(*keys, F.timestamp_micros("_at").alias(ts), F.when(~F.col("_none"), F.col(tie)).alias(tie))
 
 
 def stream_hourly(sdf: DataFrame, ts: str, keys: list[str], watermark: str = "3 days", sums: tuple[str, ...] = ()) -> DataFrame:
