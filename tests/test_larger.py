@@ -14,7 +14,7 @@ from tests.test_registry import rows
 from wayfare.functions.places import rounded
 from wayfare.llm import hamming
 from wayfare.operators import joins
-from wayfare.plans import catalog_chains, schedule
+from wayfare.plans import catalog_chains, catalog_loads, schedule
 from wayfare.streaming import streams
 
 
@@ -124,6 +124,16 @@ def test_trips_become_days_last(spark):
     assert by_day.select(*by_trip.columns).exceptAll(by_trip).isEmpty() and by_trip.exceptAll(by_day.select(*by_trip.columns)).isEmpty()
 
 
+@pytest.mark.parametrize("name", ["ST-7_stream_first_event", "ST-7_stream_first_seen"])
+def test_batches_of_several_files(spark, dense, monkeypatch, name):
+    monkeypatch.setattr(catalog_loads, "A_FILE", 40)
+    folders, plain = [], catalog_loads.w.scratch
+    monkeypatch.setattr(catalog_loads.w, "scratch", lambda s: (folders.append(plain(s)), folders[-1])[1])
+    assert len(against_sql(spark, dense, name, "events")) == 24
+    files = spark.read.parquet(folders[0]).groupBy(F.input_file_name()).count().collect()
+    assert len(files) % 5 == 0 and len(files) >= 10 and max(n for _, n in files) < 150
+
+
 def test_first_events_of_many_keys(spark, tmp_path, monkeypatch):
     """Keys share groups; ids over 2**53 stay exact beside nulls."""
     monkeypatch.setattr(streams, "GROUPS", 7)

@@ -345,17 +345,26 @@ def backfill(s, d):
     return days(s, target)
 
 
+#: Rows of a file in a stream's batches.
+A_FILE = 500_000
+
+
 def streamed_batches(s: SparkSession, d: str) -> DataFrame:
     """Events as a stream of three batches by time, a tenth of them a batch too late and a tenth too early; rows of later years let the watermark pass all."""
     folder, e = w.scratch(s), table(s, d, "events").select("event_id", "user_id", "event_type", "value", c("ts").cast("timestamp").alias("ts"))
     first, last = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
     third = F.floor((F.unix_micros("ts") - first) * 3 / (last - first + 1)) + F.when(c("event_id") % 10 == 0, 1).when(c("event_id") % 10 == 1, -1).otherwise(0)
+    third = F.least(F.greatest(third, F.lit(0)), F.lit(2))
+    # each batch is as many files, so that no task writes or reads a batch alone
+    counts = [n for _, n in e.groupBy(third).count().collect()]
+    files = min(counts) // A_FILE + 1 if len(counts) == 3 else 1
     for n in range(3):
-        e.where(F.least(F.greatest(third, F.lit(0)), F.lit(2)) == n).coalesce(1).write.mode("append").parquet(folder)
+        batch = e.where(third == n)
+        (batch.repartition(files) if files > 1 else batch.coalesce(1)).write.mode("append").parquet(folder)
     for years in (1, 2):
         end = F.timestamp_micros(F.lit(last)) + F.make_interval(years=F.lit(years))
-        s.range(1).select(F.lit(0).cast("long").alias("event_id"), F.lit(0).cast("long").alias("user_id"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), end.alias("ts")).write.mode("append").parquet(folder)
-    return s.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        s.range(0, files, 1, files).select(F.lit(0).cast("long").alias("event_id"), F.lit(0).cast("long").alias("user_id"), F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), end.alias("ts")).write.mode("append").parquet(folder)
+    return s.readStream.schema(e.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def given(s: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
