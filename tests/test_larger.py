@@ -154,3 +154,21 @@ def test_first_events_of_many_keys(spark, tmp_path, monkeypatch):
             want[u, k] = min(want.get((u, k), (end, False, 0)), (at, i is None, i or 0))
     assert {(r.u, r.k): (r.ts, r.id is None, r.id or 0) for r in out if r.k != "end"} == want and sum(r.k != "end" for r in out) == len(want)
     assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators) <= 7 < len(want)
+
+
+@pytest.mark.parametrize("name", ["F-17_in_box"])
+def test_boxes_are_dealt_and_in_order(spark, monkeypatch, name):
+    """Several tasks share a nation's pairs, and a task's pings come by place, so that like lists of stops are neighbours."""
+    monkeypatch.setattr(joins, "PAIRS", 50)
+    orders = []
+    plain = joins.dealt
+    monkeypatch.setattr(joins, "dealt", lambda *a: (orders.append(plain(*a)), orders[-1])[1])
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 30
+    here = orders[0].select(F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("n"), "k", "lat", "lon").orderBy("n").collect()
+    assert len({r.task for r in here}) > 3
+    for task in {r.task for r in here}:
+        blocks: dict = {}
+        for r in here:
+            if r.task == task:
+                blocks.setdefault(r.k, []).append((r.lat, r.lon))
+        assert all(sum(a > b for a, b in zip(x, x[1:], strict=False)) <= 6 for x in blocks.values())
