@@ -156,7 +156,7 @@ def test_first_events_of_many_keys(spark, tmp_path, monkeypatch):
     assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators) <= 7 < len(want)
 
 
-@pytest.mark.parametrize("name", ["F-17_in_box"])
+@pytest.mark.parametrize("name", ["F-17_in_box", "J-6_within_box"])
 def test_boxes_are_dealt_and_in_order(spark, monkeypatch, name):
     """Several tasks share a nation's pairs, and a task's pings come by place, so that like lists of stops are neighbours."""
     monkeypatch.setattr(joins, "PAIRS", 50)
